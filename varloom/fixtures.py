@@ -11,6 +11,8 @@ engine parses; the ``exp_*`` views hold the same facts as columns and serve the
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -214,11 +216,21 @@ def views() -> dict[str, str]:
     return _views()
 
 
-def with_views(select: str, tables: dict[str, str] | None = None) -> str:
-    """``select`` with every view in front of it; ``tables`` names where base tables come from."""
-    parts = [f"{name} as (select * from {source})" for name, source in (tables or {}).items()]
-    parts += [f"{name} as ({text})" for name, text in views().items()]
-    return "with " + ",\n".join(parts) + "\n" + select
+def needed(select: str, texts: dict[str, str]) -> dict[str, str]:
+    """The texts that ``select`` uses, directly or through others, in their order."""
+    words = set(re.findall(r"\w+", select))
+    for name in reversed(texts):
+        if name in words:
+            words |= set(re.findall(r"\w+", texts[name]))
+    return {name: text for name, text in texts.items() if name in words}
+
+
+def with_views(select: str, extra: dict[str, str] | None = None) -> str:
+    """``select`` behind the views it needs; ``extra`` are further views, on top of these."""
+    texts = needed(select, views() | (extra or {}))
+    if not texts:
+        return select
+    return "with " + ",\n".join(f"{name} as ({text})" for name, text in texts.items()) + "\n" + select
 
 
 def cell_sql(part: str) -> str:
@@ -233,10 +245,19 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
-        self._tables = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in self.TABLES}
+        self._sf_dir = sf_dir
 
     def _select(self, select: str) -> DataFrame:
-        return self.spark.sql(with_views(select, self._tables))
+        tables = {t: f"select * from parquet.`{self._sf_dir}/{t}.parquet`" for t in self.TABLES}
+        text = with_views(select)
+        base = needed(text, tables)
+        return self.spark.sql(
+            "with " + ",\n".join(f"{n} as ({t})" for n, t in base.items()) + ",\n" + text.removeprefix("with ")
+        )
+
+    def table(self, name: str) -> DataFrame:
+        """A base table."""
+        return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         """A derived view as it is."""
@@ -253,11 +274,11 @@ class Inputs:
 
     def vcf(self) -> DataFrame:
         """VCF records, ingested to Parquet in the shared folder once per session and scale."""
-        return self._stored("vcf", self.raw_vcf, "ROW_ID")
+        return self.stored("vcf", self.raw_vcf, "ROW_ID")
 
     def gff(self) -> DataFrame:
         """Feature rows, ingested once."""
-        return self._stored("gff", self._raw_gff, "_row")
+        return self.stored("gff", self._raw_gff, "_row")
 
     def _raw_gff(self) -> DataFrame:
         return self.view("gff").withColumnsRenamed({"feature_start": "Start", "feature_end": "End"})
@@ -266,12 +287,15 @@ class Inputs:
         """The curated gene list."""
         return self.view("curated").withColumnRenamed("protein", "Protein Id")
 
-    def _stored(self, name: str, build, order: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self._tables["orders"], name)
+    def stored(self, name: str, build: Callable[[], DataFrame], order: str | None = None) -> DataFrame:
+        """The stored result of a stage, written to the shared folder at its first use."""
+        key = (self.spark.sparkContext.applicationId, self._sf_dir, name)
         if key not in _STORED:
             path = new_path(self.spark, name)
-            parallelism = self.spark.sparkContext.defaultParallelism
-            build().repartitionByRange(parallelism, order).write.parquet(path)
+            rows = build()
+            if order:
+                rows = rows.repartitionByRange(self.spark.sparkContext.defaultParallelism, order)
+            rows.write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 

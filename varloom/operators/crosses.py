@@ -56,7 +56,7 @@ def calls_with_sample(calls: DataFrame, samples: DataFrame) -> DataFrame:
     """Left join of the sample index; two index rows for one sample end the job."""
     columns = [c for c in samples.columns if c != "SampleID"]
     unique = samples.groupBy("SampleID").agg(
-        F.count("*").alias("_n"), F.first(F.struct(*columns)).alias("_sample")
+        F.count("*").alias("_n"), F.max(F.struct(*columns)).alias("_sample")
     )
     message = F.concat(F.lit("more than one index row for sample "), F.col("SampleID").cast("string"))
     # The check sits inside the value, so that no projection can drop it.

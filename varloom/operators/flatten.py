@@ -129,23 +129,24 @@ def _checked(entries: Column, want: int, mode: str, what: str) -> Column:
 
 
 def explode_ann(
-    alleles: DataFrame, keep_debug: bool = True, distinct: bool = False, mode: str = "permissive"
+    alleles: DataFrame, matched: bool = True, distinct: bool = False, mode: str = "permissive"
 ) -> DataFrame:
     """One row per ANN entry whose allele is the row's ALT, with its fields as columns.
 
-    ``ANN_IDX`` is the entry's place among the row's entries. With ``distinct`` entries that
+    ``matched=False`` gives every entry of the record to each of its alleles. ``ANN_IDX`` is the
+    entry's place among the row's entries. With ``distinct`` entries that
     differ only in their messages count once: all rows of one record come from one list, so this
     needs no shuffle.
     """
     names = list(ANN_FIELDS)
     entries = _checked(F.split("ANN", ","), len(names), mode, "ANN")
-    mine = F.filter(entries, lambda e: F.substring_index(e, "|", 1) == F.col("ALT"))
+    mine = F.filter(entries, lambda e: F.substring_index(e, "|", 1) == F.col("ALT")) if matched else entries
     if distinct:
         mine = F.array_distinct(F.transform(mine, lambda e: F.substring_index(e, "|", len(names) - 1)))
     rest = [c for c in alleles.columns if c != "ANN"]
     rows = alleles.select(*rest, F.posexplode(mine).alias("_pos", "_entry"))
     rows = rows.select(*rest, (F.col("_pos") + 1).alias("ANN_IDX"), F.split("_entry", "\\|").alias("_parts"))
-    wanted = names if keep_debug and not distinct else names[:-1]
+    wanted = names[:-1] if distinct else names
     return rows.select(*rest, "ANN_IDX", *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(wanted)])
 
 

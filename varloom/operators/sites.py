@@ -158,3 +158,8 @@ def depth_histogram(records: DataFrame, calls: DataFrame | None = None) -> DataF
         .groupBy("Depth")
         .agg(F.sum("_site").alias("n_sites"), F.sum("_call").alias("n_genotypes"))
     )
+
+
+def sample_rows(df: DataFrame, n: int = 50000, seed: int = 42) -> DataFrame:
+    """A random sample of exactly ``n`` rows, or all when there are fewer."""
+    return df.orderBy(F.rand(seed)).limit(n)

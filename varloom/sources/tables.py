@@ -38,7 +38,7 @@ def read_annotation_table(spark: SparkSession, path: str, source: str) -> DataFr
     """
     lines = spark.read.text(path)
     first = lines.first()["value"]
-    names = [n.replace("#", "") for n in first.split("\t")]
+    names = [n.strip('"').replace("#", "") for n in first.split("\t")]
     numbered = lines.select(F.monotonically_increasing_id().alias("_row"), "value")
     parts = numbered.filter(F.col("value") != first).select("_row", F.split("value", "\t").alias("_f"))
 
