@@ -78,7 +78,7 @@ def _samples(i: Inputs) -> DataFrame:
 
 
 def _ranked(i: Inputs, ordered: bool = False) -> DataFrame:
-    return PX.rank_variants(PX.split_calls(i.vcf(), STUDY), _gene_table(i)[1], STUDY, ordered)
+    return PX.rank_variants(PX.high_calls(i.vcf(), STUDY), _gene_table(i)[1], STUDY, ordered)
 
 
 # Stages hand their result over as a stored table. Queries named after a pipeline compute it from

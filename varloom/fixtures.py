@@ -247,13 +247,13 @@ class Inputs:
         self.spark = configure(spark)
         self._sf_dir = sf_dir
 
-    def _select(self, select: str) -> DataFrame:
-        tables = {t: f"select * from parquet.`{self._sf_dir}/{t}.parquet`" for t in self.TABLES}
+    def _select(self, select: str, spread: bool = False) -> DataFrame:
         text = with_views(select)
-        base = needed(text, tables)
-        return self.spark.sql(
-            "with " + ",\n".join(f"{n} as ({t})" for n, t in base.items()) + ",\n" + text.removeprefix("with ")
-        )
+        base = {t: self.table(t) for t in needed(text, dict.fromkeys(self.TABLES, ""))}
+        if spread:
+            base["orders"] = base["orders"].repartitionByRange(self.spark.sparkContext.defaultParallelism, "o_orderkey")
+        heads = ",\n".join(f"{t} as (select * from {{{t}}})" for t in base)
+        return self.spark.sql(f"with {heads},\n" + text.removeprefix("with "), **base)
 
     def table(self, name: str) -> DataFrame:
         """A base table."""
@@ -269,16 +269,17 @@ class Inputs:
         cells = f"transform(ids, s -> concat_ws(':', {fields}))"
         return self._select(
             f"select * except (k, ALT2, ids), {cells} as CELLS from"
-            f" (select *, ROW_ID as k, sequence(101, 101 + {_LAST}) as ids from vcf)"
+            f" (select *, ROW_ID as k, sequence(101, 101 + {_LAST}) as ids from vcf)",
+            spread=True,
         )
 
     def vcf(self) -> DataFrame:
         """VCF records, ingested to Parquet in the shared folder once per session and scale."""
-        return self.stored("vcf", self.raw_vcf, "ROW_ID")
+        return self.stored("vcf", self.raw_vcf)
 
     def gff(self) -> DataFrame:
         """Feature rows, ingested once."""
-        return self.stored("gff", self._raw_gff, "_row")
+        return self.stored("gff", self._raw_gff)
 
     def _raw_gff(self) -> DataFrame:
         return self.view("gff").withColumnsRenamed({"feature_start": "Start", "feature_end": "End"})
@@ -287,15 +288,12 @@ class Inputs:
         """The curated gene list."""
         return self.view("curated").withColumnRenamed("protein", "Protein Id")
 
-    def stored(self, name: str, build: Callable[[], DataFrame], order: str | None = None) -> DataFrame:
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The stored result of a stage, written to the shared folder at its first use."""
         key = (self.spark.sparkContext.applicationId, self._sf_dir, name)
         if key not in _STORED:
             path = new_path(self.spark, name)
-            rows = build()
-            if order:
-                rows = rows.repartitionByRange(self.spark.sparkContext.defaultParallelism, order)
-            rows.write.parquet(path)
+            build().write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
 

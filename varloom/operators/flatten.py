@@ -115,17 +115,12 @@ def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SC
     return records.withColumn("Reason", F.concat_ws(", ", *tests)).filter(F.col("Reason") != "")
 
 
-def _checked(entries: Column, want: int, mode: str, what: str) -> Column:
-    """Split entries; in failfast mode a wrong field count ends the job, else the entry is left out."""
-    if mode == "failfast":
-        split = F.transform(
-            entries,
-            lambda e: F.when(F.size(F.split(e, "\\|")) == want, e).otherwise(
-                F.raise_error(F.concat(F.lit(f"{what}: expected {want} fields in "), e))
-            ),
-        )
-        return split
-    return F.filter(entries, lambda e: F.size(F.split(e, "\\|")) == want)
+def _fields(text: Column, want: int, mode: str, what: str) -> Column:
+    """Split fields of one entry; NULL for a wrong field count, which ends the job in failfast mode."""
+    parts = F.split(text, "\\|")
+    message = F.concat(F.lit(f"{what}: expected {want} fields in "), text)
+    other = F.raise_error(message) if mode == "failfast" else F.lit(None)
+    return F.when(F.size(parts) == want, parts).otherwise(other)
 
 
 def explode_ann(
@@ -134,20 +129,26 @@ def explode_ann(
     """One row per ANN entry whose allele is the row's ALT, with its fields as columns.
 
     ``matched=False`` gives every entry of the record to each of its alleles. ``ANN_IDX`` is the
-    entry's place among the row's entries. With ``distinct`` entries that
-    differ only in their messages count once: all rows of one record come from one list, so this
-    needs no shuffle.
+    entry's place in the record's list. With ``distinct`` the messages are cut off and entries
+    that are then the same count once: all rows of one record come from one list, so this needs
+    no shuffle. Entries with a wrong field count are left out, see :func:`bad_records`; in
+    failfast mode they end the job.
     """
     names = list(ANN_FIELDS)
-    entries = _checked(F.split("ANN", ","), len(names), mode, "ANN")
-    mine = F.filter(entries, lambda e: F.substring_index(e, "|", 1) == F.col("ALT")) if matched else entries
+    entries = F.split("ANN", ",")
     if distinct:
-        mine = F.array_distinct(F.transform(mine, lambda e: F.substring_index(e, "|", len(names) - 1)))
+        names = names[:-1]
+        # Cut the last of 16 fields; a short entry keeps its length and fails the count below.
+        cut = F.regexp_replace("ANN", r"((?:^|,)(?:[^|,]*\|){14}[^|,]*)\|[^|,]*(?=,|$)", "$1")
+        entries = F.array_distinct(F.split(cut, ","))
     rest = [c for c in alleles.columns if c != "ANN"]
-    rows = alleles.select(*rest, F.posexplode(mine).alias("_pos", "_entry"))
-    rows = rows.select(*rest, (F.col("_pos") + 1).alias("ANN_IDX"), F.split("_entry", "\\|").alias("_parts"))
-    wanted = names[:-1] if distinct else names
-    return rows.select(*rest, "ANN_IDX", *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(wanted)])
+    rows = alleles.select(*rest, F.posexplode(entries).alias("_pos", "_entry"))
+    if matched and mode != "failfast":
+        rows = rows.filter(F.col("_entry").startswith(F.concat("ALT", F.lit("|"))))
+    parts = _fields(F.col("_entry"), len(names), mode, "ANN").alias("_parts")
+    rows = rows.select(*rest, (F.col("_pos") + 1).alias("ANN_IDX"), parts).filter(F.col("_parts").isNotNull())
+    rows = rows.select(*rest, "ANN_IDX", *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    return match_allele(rows) if matched else rows
 
 
 def match_allele(entries: DataFrame) -> DataFrame:
@@ -157,9 +158,9 @@ def match_allele(entries: DataFrame) -> DataFrame:
 
 def _explode_list(alleles: DataFrame, name: str, fields: list[str], mode: str) -> DataFrame:
     site = ["CHROM", "POS", "ALT"]
-    entries = _checked(F.split(name, ","), len(fields), mode, name)
-    rows = alleles.filter(F.col(name).isNotNull()).select(*site, F.explode(entries).alias("_entry"))
-    rows = rows.select(*site, F.split("_entry", "\\|").alias("_parts"))
+    rows = alleles.filter(F.col(name).isNotNull()).select(*site, F.explode(F.split(name, ",")).alias("_entry"))
+    rows = rows.select(*site, _fields(F.col("_entry"), len(fields), mode, name).alias("_parts"))
+    rows = rows.filter(F.col("_parts").isNotNull())
     return rows.select(*site, *[F.get("_parts", F.lit(i)).alias(f) for i, f in enumerate(fields)])
 
 

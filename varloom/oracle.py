@@ -49,7 +49,7 @@ _GATED = """, nullif(HGVS_c, '') as HGVS_c, HGVS_p, nullif(Dist_to_Feature, '')
 
 # Later views, in order; a query gets those it needs by getting all of them.
 _MORE = {
-    "ann": "select *, row_number() over (partition by k, ALT_IDX order by ANN_N) as ANN_IDX from exp_ann",
+    "ann": "select a.*, e.ANN_IDX from exp_ann a join (select k, ALT_IDX * 10 + ANN_N as ANN_N, row_number() over (partition by k order by ALT_IDX, ANN_N) as ANN_IDX from exp_entries) e on a.k = e.k and a.ANN_N = e.ANN_N",
     "dlof": "select distinct CHROM, POS, ALT, Gene_ID, Protein_ID, Total_Transcripts_LOF, Percent_Transcripts_LOF from exp_lof",
     "dnmd": "select distinct CHROM, POS, ALT, Gene_ID, Protein_ID, Total_Transcripts_NMD, Percent_Transcripts_NMD from exp_nmd",
     "ann_lost": f"""select a.*, l.Total_Transcripts_LOF, l.Percent_Transcripts_LOF, n.Total_Transcripts_NMD, n.Percent_Transcripts_NMD,

@@ -20,15 +20,23 @@ def alleles(records: DataFrame, params: Params) -> DataFrame:
     return flatten.decompose_alleles(parsed_records(records, params), params.info_schema)
 
 
+def having(records: DataFrame, text: str) -> DataFrame:
+    """Records with ``text`` anywhere in INFO: a cheap test ahead of parsing, never a final one."""
+    return records.filter(F.col("INFO").contains(text))
+
+
+def lof_and_nmd(records: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """LOF and NMD entries of raw records. Few records have any; only those are parsed."""
+    lof = flatten.explode_lof(alleles(having(records, "LOF="), params), params.mode)
+    nmd = flatten.explode_nmd(alleles(having(records, "NMD="), params), params.mode)
+    return lof, nmd
+
+
 def annotation_rows(records: DataFrame, params: Params) -> DataFrame:
     """One row per allele and ANN entry, with LOF and NMD joined and gated; Debug kept."""
-    rows = alleles(sites.sites_only(records).drop("ID", "FILTER"), params)
-    joined = flatten.join_counted_lof_nmd(
-        flatten.explode_ann(rows, mode=params.mode),
-        flatten.explode_lof(rows, params.mode),
-        flatten.explode_nmd(rows, params.mode),
-        params.lof_effects,
-    )
+    raw = sites.sites_only(records).drop("ID", "FILTER")
+    ann = flatten.explode_ann(alleles(raw, params), mode=params.mode)
+    joined = flatten.join_counted_lof_nmd(ann, *lof_and_nmd(raw, params), params.lof_effects)
     return flatten.add_variant_type(flatten.blank_fields(joined))
 
 
@@ -40,11 +48,11 @@ def split_annotations(records: DataFrame, params: Params) -> DataFrame:
 
 def debug_messages(records: DataFrame, params: Params) -> DataFrame:
     """One row per annotation row and message; several LOF or NMD entries repeat the row."""
-    rows = alleles(sites.sites_only(records), params)
-    ann = flatten.explode_ann(rows, mode=params.mode).select(
+    raw = sites.sites_only(records)
+    ann = flatten.explode_ann(alleles(raw, params), mode=params.mode).select(
         "CHROM", "POS", "REF", "ALT", "Effect", "Protein_ID", "Gene_ID", "Debug"
     )
-    joined = flatten.join_lof_nmd(ann, flatten.explode_lof(rows, params.mode), flatten.explode_nmd(rows, params.mode))
+    joined = flatten.join_lof_nmd(ann, *lof_and_nmd(raw, params))
     return flatten.parse_debug(joined).select(
         "CHROM", "POS", "REF", "ALT", "Effect", "Protein_ID", "Debug_Message", "Debug_Code"
     )
@@ -67,6 +75,7 @@ def high_impact_sites(records: DataFrame, ids: DataFrame, table: DataFrame, para
 
     LOF, NMD and repeated rows do not change which sites these are, so they are not computed.
     """
-    rows = flatten.explode_ann(alleles(sites.sites_only(records), params), mode=params.mode)
+    raw = having(sites.sites_only(records), f"|{params.impact}|")
+    rows = flatten.explode_ann(alleles(raw, params), mode=params.mode)
     high = rows.filter(F.col("Impact") == params.impact).select("CHROM", "POS", "Protein_ID", "Gene_ID")
     return sites.site_list(genes.variants_in_genes(genes.keep_proteins(high, ids), table))

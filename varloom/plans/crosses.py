@@ -7,35 +7,50 @@ from pyspark.sql import functions as F
 
 from varloom.operators import calls, crosses, flatten, ranking
 from varloom.operators.genes import annotate_variants
+from varloom.operators.sites import sites_only
 from varloom.params import Params
-from varloom.plans.annotations import parsed_records
+from varloom.plans.annotations import having, lof_and_nmd, parsed_records
 
 
-def call_rows(records: DataFrame, params: Params) -> DataFrame:
-    """One row per allele and distinct ANN entry, with call counts; the cells are still text."""
-    parsed = calls.genotypes(parsed_records(records.drop("ID", "FILTER"), params))
+def _call_rows(records: DataFrame, lof: DataFrame, nmd: DataFrame, params: Params) -> DataFrame:
+    parsed = calls.genotypes(parsed_records(records, params))
     alleles = calls.allele_call_counts(flatten.decompose_alleles(parsed, params.info_schema)).drop("GTS")
-    joined = flatten.join_counted_lof_nmd(
-        flatten.explode_ann(alleles, distinct=True, mode=params.mode),
-        flatten.explode_lof(alleles, params.mode),
-        flatten.explode_nmd(alleles, params.mode),
-        params.lof_effects,
-    )
+    ann = flatten.explode_ann(alleles, distinct=True, mode=params.mode)
+    joined = flatten.join_counted_lof_nmd(ann, lof, nmd, params.lof_effects)
     return flatten.add_variant_type(flatten.blank_fields(joined))
 
 
-def split_calls(records: DataFrame, params: Params) -> DataFrame:
-    """High-impact variant rows with their calls and the summary of their site.
+def call_rows(records: DataFrame, params: Params) -> DataFrame:
+    """One row per allele and distinct ANN entry, with call counts; the cells are still text."""
+    raw = records.drop("ID", "FILTER")
+    return _call_rows(raw, *lof_and_nmd(sites_only(raw), params), params)
+
+
+def high_calls(records: DataFrame, params: Params) -> DataFrame:
+    """High-impact rows of :func:`call_rows` with the summary of their site.
 
     The summary counts all rows of the site, so it is taken before the impact filter, from a few
-    narrow columns. Only the rows that stay carry their genotypes through a shuffle.
+    narrow columns. Only records with a high-impact entry carry their genotypes through a shuffle.
     """
-    rows = call_rows(records, params)
+    raw = records.drop("ID", "FILTER")
+    lof, nmd = lof_and_nmd(sites_only(raw), params)
     summary = calls.site_allele_summary(
-        rows.select("ROW_ID", "CHROM", "POS", "REF", "ALT", "ALT_IDX", "ANN_IDX", "N_ALT_GTS")
+        _call_rows(raw, lof, nmd, params).select(
+            "ROW_ID", "CHROM", "POS", "REF", "ALT", "ALT_IDX", "ANN_IDX", "N_ALT_GTS"
+        )
     )
-    high = rows.filter(F.col("Impact") == params.impact).join(summary, ["CHROM", "POS"])
-    return calls.ref_alt_depth(calls.parse_calls(high)).drop("FORMAT")
+    high = _call_rows(having(raw, f"|{params.impact}|"), lof, nmd, params)
+    return high.filter(F.col("Impact") == params.impact).join(summary, ["CHROM", "POS"])
+
+
+def with_calls(variants: DataFrame) -> DataFrame:
+    """Turn the cells into typed calls: ``CALLS``, one struct per sample."""
+    return calls.ref_alt_depth(calls.parse_calls(variants)).drop("FORMAT")
+
+
+def split_calls(records: DataFrame, params: Params) -> DataFrame:
+    """The stored form of :func:`high_calls`, with typed calls."""
+    return with_calls(high_calls(records, params))
 
 
 def rank_variants(variants: DataFrame, gene_table: DataFrame, params: Params, ordered: bool = True) -> DataFrame:
@@ -48,8 +63,13 @@ def rank_variants(variants: DataFrame, gene_table: DataFrame, params: Params, or
 
 
 def sample_calls(ranked: DataFrame, header_samples: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row per ranked variant row and sample, with the sample's code and sex."""
-    return crosses.calls_with_sample(calls.calls_long(ranked, header_samples), samples)
+    """One row per ranked variant row and sample, with the sample's code and sex.
+
+    Takes variants with their cells or with typed calls. Cells are split after they are exploded.
+    """
+    typed = "CALLS" in ranked.columns
+    rows = calls.calls_long(ranked, header_samples) if typed else calls.cells_long(ranked, header_samples)
+    return crosses.calls_with_sample(rows.drop("AD", "PL", "FORMAT"), samples)
 
 
 def good_calls(ranked: DataFrame, header_samples: DataFrame, samples: DataFrame, params: Params) -> DataFrame:
