@@ -257,7 +257,7 @@ class Inputs:
 
     def table(self, name: str) -> DataFrame:
         """A base table."""
-        return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return _read(self.spark, f"{self._sf_dir}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         """A derived view as it is."""
@@ -295,7 +295,7 @@ class Inputs:
             path = new_path(self.spark, name)
             build().write.parquet(path)
             _STORED[key] = path
-        return self.spark.read.parquet(_STORED[key])
+        return _read(self.spark, _STORED[key])
 
     def samples(self) -> DataFrame:
         """Sample metadata."""
@@ -311,3 +311,12 @@ class Inputs:
 
 
 _STORED: dict[tuple, str] = {}
+_READ: dict[tuple, DataFrame] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; its files are listed once per session."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(path)
+    return _READ[key]

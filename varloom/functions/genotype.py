@@ -36,10 +36,14 @@ def call_columns(parts: Column, keys: Column | None = None) -> dict[str, Column]
 def ref_alt_columns(gt: Column, ad: Column, pl: Column) -> dict[str, Column]:
     """Depth and likelihood of the reference allele and of the called allele."""
 
+    def number(text: Column) -> Column:
+        # A failing cast is slow, so the usual missing value is sorted out before it.
+        return F.nullif(text, F.lit(".")).try_cast("int")
+
     def first(values: Column) -> Column:
-        return F.when(gt.isNotNull(), F.get(F.split(values, ","), F.lit(0)).try_cast("int"))
+        return F.when(gt.isNotNull(), number(F.substring_index(values, ",", 1)))
 
     def called(values: Column) -> Column:
-        return F.when(gt != 0, F.get(F.split(values, ","), gt).try_cast("int"))
+        return F.when(gt != 0, number(F.get(F.split(values, ","), gt)))
 
     return {"AD_REF": first(ad), "AD_ALT": called(ad), "PL_REF": first(pl), "PL_ALT": called(pl)}

@@ -65,17 +65,25 @@ def calls_with_sample(calls: DataFrame, samples: DataFrame) -> DataFrame:
     return calls.join(rows, "SampleID", "left").select(*calls.columns, *[f"_sample.{c}" for c in columns])
 
 
-def both_sexes(calls: DataFrame, strict: bool = True) -> DataFrame:
+def both_sexes(calls: DataFrame, strict: bool = True, few_calls: bool = False) -> DataFrame:
     """Calls of alleles that both sexes carry.
 
     ``strict`` asks for exactly two different values of Sex and counts a missing one as a value;
-    without it a female and a male are enough.
+    without it a female and a male are enough. The values combine before the shuffle, and the
+    join back can split a hot allele. ``few_calls`` says that each allele has a bounded number of
+    calls, as after :func:`top_samples`; a window then spares reading the input twice.
     """
     if strict:
-        keep = F.size(F.collect_set(F.coalesce("Sex", F.lit("?")))) == 2
+        keep = [F.collect_set(F.coalesce("Sex", F.lit("?")))]
+        test = F.size("_sexes0") == 2
     else:
-        keep = F.max(F.col("Sex") == "F") & F.max(F.col("Sex") == "M")
-    alleles = calls.groupBy(*VARIANT).agg(keep.alias("_keep")).filter("_keep")
+        keep = [F.max(F.col("Sex") == "F"), F.max(F.col("Sex") == "M")]
+        test = F.col("_sexes0") & F.col("_sexes1")
+    named = {f"_sexes{i}": value for i, value in enumerate(keep)}
+    if few_calls:
+        allele = Window.partitionBy(*VARIANT)
+        return calls.withColumns({n: v.over(allele) for n, v in named.items()}).filter(test).drop(*named)
+    alleles = calls.groupBy(*VARIANT).agg(*[v.alias(n) for n, v in named.items()]).filter(test)
     return calls.join(alleles, VARIANT, "left_semi")
 
 

@@ -33,15 +33,15 @@ def parse_info(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCH
     Per-allele keys stay text until :func:`decompose_alleles`. A flag is true when present.
     """
 
-    def typed(key: str, kind: str, number: str) -> Column:
+    def typed(key: str, kind: str, number: str) -> str:
         if number == "0":
-            return F.map_contains_key("_info", key)
-        value = F.try_element_at("_info", F.lit(key))
-        return value if number == "A" or kind == "string" else value.try_cast(kind)
+            return f"map_contains_key(_info, '{key}') as `{key}`"
+        value = f"try_element_at(_info, '{key}')"
+        return f"{value} as `{key}`" if number == "A" or kind == "string" else f"try_cast({value} as {kind}) as `{key}`"
 
-    rest = [c for c in records.columns if c != "INFO"]
+    rest = [f"`{c}`" for c in records.columns if c != "INFO"]
     keyed = records.withColumn("_info", F.str_to_map("INFO", F.lit(";"), F.lit("=")))
-    return keyed.select(*rest, *[typed(k, t, n).alias(k) for k, (t, n) in schema.items()])
+    return keyed.selectExpr(*rest, *[typed(k, t, n) for k, (t, n) in schema.items()])
 
 
 def clean_ids(records: DataFrame, ann_prefix: str | None = None, list_prefix: str | None = None) -> DataFrame:
@@ -56,7 +56,8 @@ def clean_ids(records: DataFrame, ann_prefix: str | None = None, list_prefix: st
     def bare(name: str) -> Column:
         return strip(F.translate(F.col(name), "()", ""), list_prefix)
 
-    return records.withColumns({"ANN": strip(F.col("ANN"), ann_prefix), "LOF": bare("LOF"), "NMD": bare("NMD")})
+    cleaned = {"ANN": strip(F.col("ANN"), ann_prefix)} if "ANN" in records.columns else {}
+    return records.withColumns(cleaned | {c: bare(c) for c in ("LOF", "NMD") if c in records.columns})
 
 
 def _per_allele(schema: dict[str, tuple[str, str]]) -> dict[str, str]:
@@ -72,20 +73,17 @@ def decompose_alleles(records: DataFrame, schema: dict[str, tuple[str, str]] = I
     keys = {k: t for k, t in _per_allele(schema).items() if k in records.columns}
     rows = records.select("*", F.posexplode(F.split("ALT", ",")).alias("_pos", "_alt"))
 
-    def own(key: str, kind: str) -> Column:
-        values = F.split(key, ",")
-        at = F.when(F.size(values) == 1, F.lit(0)).otherwise(F.col("_pos"))
-        return F.get(values, at).try_cast(kind).alias(key)
+    def own(key: str, kind: str) -> str:
+        values = f"split(`{key}`, ',')"
+        return f"try_cast(get({values}, if(size({values}) = 1, 0, _pos)) as {kind}) as `{key}`"
 
-    out: list[Column | str] = []
+    out = []
     for name in records.columns:
         if name == "ALT":
-            out += [F.col("_alt").alias("ALT"), (F.col("_pos") + 1).alias("ALT_IDX")]
-        elif name in keys:
-            out.append(own(name, keys[name]))
+            out += ["_alt as ALT", "_pos + 1 as ALT_IDX"]
         else:
-            out.append(name)
-    return rows.select(*out)
+            out.append(own(name, keys[name]) if name in keys else f"`{name}`")
+    return rows.selectExpr(*out)
 
 
 def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
@@ -115,12 +113,16 @@ def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SC
     return records.withColumn("Reason", F.concat_ws(", ", *tests)).filter(F.col("Reason") != "")
 
 
-def _fields(text: Column, want: int, mode: str, what: str) -> Column:
-    """Split fields of one entry; NULL for a wrong field count, which ends the job in failfast mode."""
-    parts = F.split(text, "\\|")
-    message = F.concat(F.lit(f"{what}: expected {want} fields in "), text)
-    other = F.raise_error(message) if mode == "failfast" else F.lit(None)
-    return F.when(F.size(parts) == want, parts).otherwise(other)
+def _entries(rows: DataFrame, want: int, mode: str, what: str) -> DataFrame:
+    """Split ``_entry`` into ``_parts``. A wrong field count drops the entry or, in failfast mode, ends the job."""
+    pipes = F.length("_entry") - F.length(F.replace("_entry", F.lit("|"), F.lit("")))
+    parts = F.split("_entry", "\\|")
+    if mode == "failfast":
+        message = F.concat(F.lit(f"{what}: expected {want} fields in "), F.col("_entry"))
+        parts = F.when(pipes == want - 1, parts).otherwise(F.raise_error(message))
+    else:
+        rows = rows.filter(pipes == want - 1)
+    return rows.withColumn("_parts", parts).drop("_entry")
 
 
 def explode_ann(
@@ -145,10 +147,10 @@ def explode_ann(
     rows = alleles.select(*rest, F.posexplode(entries).alias("_pos", "_entry"))
     if matched and mode != "failfast":
         rows = rows.filter(F.col("_entry").startswith(F.concat("ALT", F.lit("|"))))
-    parts = _fields(F.col("_entry"), len(names), mode, "ANN").alias("_parts")
-    rows = rows.select(*rest, (F.col("_pos") + 1).alias("ANN_IDX"), parts).filter(F.col("_parts").isNotNull())
-    rows = rows.select(*rest, "ANN_IDX", *[F.get("_parts", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    return match_allele(rows) if matched else rows
+    rows = _entries(rows, len(names), mode, "ANN")
+    fields = [f"get(_parts, {i}) as {n}" for i, n in enumerate(names)]
+    rows = rows.selectExpr(*[f"`{c}`" for c in rest], "_pos + 1 as ANN_IDX", *fields)
+    return match_allele(rows) if matched and mode == "failfast" else rows
 
 
 def match_allele(entries: DataFrame) -> DataFrame:
@@ -159,9 +161,8 @@ def match_allele(entries: DataFrame) -> DataFrame:
 def _explode_list(alleles: DataFrame, name: str, fields: list[str], mode: str) -> DataFrame:
     site = ["CHROM", "POS", "ALT"]
     rows = alleles.filter(F.col(name).isNotNull()).select(*site, F.explode(F.split(name, ",")).alias("_entry"))
-    rows = rows.select(*site, _fields(F.col("_entry"), len(fields), mode, name).alias("_parts"))
-    rows = rows.filter(F.col("_parts").isNotNull())
-    return rows.select(*site, *[F.get("_parts", F.lit(i)).alias(f) for i, f in enumerate(fields)])
+    rows = _entries(rows, len(fields), mode, name)
+    return rows.selectExpr(*site, *[f"get(_parts, {i}) as {f}" for i, f in enumerate(fields)])
 
 
 def explode_lof(alleles: DataFrame, mode: str = "permissive") -> DataFrame:
@@ -224,12 +225,15 @@ def blank_fields(annotations: DataFrame) -> DataFrame:
 
     Comes after :func:`flag_lof_nmd`, which counts an empty HGVS field as present.
     """
-    out = {c: blank_to_null(F.col(c)) for c in ANN_FIELDS if c in annotations.columns}
-    for kind in ("LOF", "NMD"):
-        if f"Total_Transcripts_{kind}" in annotations.columns:
-            out[f"Total_Transcripts_{kind}"] = F.col(f"Total_Transcripts_{kind}").try_cast("int")
-            out[f"Percent_Transcripts_{kind}"] = F.col(f"Percent_Transcripts_{kind}").try_cast("double")
-    return annotations.withColumns(out)
+    numbers = {f"Total_Transcripts_{kind}": "int" for kind in ("LOF", "NMD")}
+    numbers |= {f"Percent_Transcripts_{kind}": "double" for kind in ("LOF", "NMD")}
+
+    def column(name: str) -> str:
+        if name in ANN_FIELDS:
+            return f"nullif(`{name}`, '') as `{name}`"
+        return f"try_cast(`{name}` as {numbers[name]}) as `{name}`" if name in numbers else f"`{name}`"
+
+    return annotations.selectExpr(*[column(c) for c in annotations.columns])
 
 
 def add_variant_type(alleles: DataFrame) -> DataFrame:

@@ -27,9 +27,13 @@ def having(records: DataFrame, text: str) -> DataFrame:
 
 def lof_and_nmd(records: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """LOF and NMD entries of raw records. Few records have any; only those are parsed."""
-    lof = flatten.explode_lof(alleles(having(records, "LOF="), params), params.mode)
-    nmd = flatten.explode_nmd(alleles(having(records, "NMD="), params), params.mode)
-    return lof, nmd
+
+    def rows(key: str) -> DataFrame:
+        raw = having(records, f"{key}=").select("CHROM", "POS", "ALT", "INFO")
+        parsed = flatten.parse_info(raw, {key: params.info_schema[key]})
+        return flatten.decompose_alleles(flatten.clean_ids(parsed, params.ann_prefix, params.list_prefix))
+
+    return flatten.explode_lof(rows("LOF"), params.mode), flatten.explode_nmd(rows("NMD"), params.mode)
 
 
 def annotation_rows(records: DataFrame, params: Params) -> DataFrame:

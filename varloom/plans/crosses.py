@@ -92,7 +92,7 @@ def kept_samples(ranked: DataFrame, header_samples: DataFrame, samples: DataFram
     """
     good = good_calls(ranked, header_samples, samples, params)
     best = crosses.top_samples(good, params.samples_per_sex, params.per_sample)
-    return crosses.both_sexes(best, params.strict_sexes)
+    return crosses.both_sexes(best, params.strict_sexes, few_calls=True)
 
 
 def cross_table(ranked: DataFrame, header_samples: DataFrame, samples: DataFrame, params: Params) -> DataFrame:

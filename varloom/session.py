@@ -34,6 +34,8 @@ def build_session(app_name: str = "varloom", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    # Otherwise the call site of every column is sent to the JVM.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in conf.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
