@@ -19,27 +19,19 @@ from varloom.session import build_session
 HEADLINE = [
     "scan_vcf",
     "parse_info",
-    "decompose_alleles",
     "explode_ann",
     "split_annotations",
     "effect_counts",
-    "type_effect_impact",
     "qc_box_by_effect",
-    "gff_fill",
     "gene_annotations",
     "variants_in_genes",
     "site_list",
     "subset_sites",
-    "subset_sites_overlap",
-    "calls_long",
-    "allele_call_counts",
     "site_allele_summary",
     "split_calls",
     "rank_variants",
     "cross_table",
     "cross_list",
-    "variant_counts",
-    "ts_tv",
 ]
 
 

@@ -42,3 +42,14 @@ def test_sample_has_its_size(inputs):
 
     assert sample_rows(inputs.vcf(), 100, 1).count() == 100
     assert sample_rows(inputs.vcf(), 100, 1).distinct().count() == 100
+    assert sample_rows(inputs.vcf(), 10**6, 1).count() == inputs.vcf().count()
+
+
+def test_sample_is_that_of_a_full_sort(inputs):
+    from pyspark.sql import functions as F
+
+    from varloom.operators.sites import sample_rows
+
+    rows = inputs.vcf().select("ROW_ID")
+    full = rows.withColumn("d", F.rand(9)).orderBy("d").limit(50)
+    assert {r.ROW_ID for r in sample_rows(rows, 50, 9).collect()} == {r.ROW_ID for r in full.collect()}

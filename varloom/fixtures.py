@@ -105,7 +105,7 @@ _LAST = "(select max(n_nationkey) from nation)"
 
 _MISSING = "((k * 31 + s * 17) % 23 = 22 or (k % 17 = 3 and s % 3 = 0))"
 _CELL = {
-    "GT": f"""case when {_MISSING} then '.' when (k * 31 + s * 17) % 23 in (0, 1) then '1'
+    "GT": f"""case when {_MISSING} then '.' when (k * 31 + s * 17) % 23 in (0, 1) or (k * 7 + s * s) % 19 = 3 then '1'
  when (k * 31 + s * 17) % 23 = 2 and ALT2 is not null then '2' else '0' end""",
     "AD": f"""case when {_MISSING} or (k + s) % 31 = 0 then '.' else cast((k + 2 * s) % 30 as string) || ',' ||
  cast((3 * k + s) % 25 as string) || case when ALT2 is not null then ',' || cast((5 * k + s) % 20 as string) else '' end end""",

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lists of genes and sites are often tens of MB when stored; below this size the other side,
+    # which may hold all genotypes, need not be shuffled.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     # Where every partition of the smaller side turns out small, hash it instead of sorting both.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
