@@ -423,12 +423,12 @@ def multiallelic_indels(i: Inputs) -> DataFrame:
 
 @_query
 def variant_counts(i: Inputs) -> DataFrame:
-    return S.variant_counts(_sites(i))
+    return S.variant_counts(i.vcf())
 
 
 @_query
 def variant_stats(i: Inputs) -> DataFrame:
-    return S.variant_stats(_sites(i))
+    return S.variant_stats(i.vcf())
 
 
 @_query

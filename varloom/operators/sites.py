@@ -80,14 +80,20 @@ def subset_sites(records: DataFrame, sites: DataFrame, mode: str = "pos") -> Dat
     return rows.join(listed, reach, "left_semi").drop("_bin").dropDuplicates(["ROW_ID"])
 
 
+def _n_samples(records: DataFrame) -> Column:
+    """Aggregate: the samples of the records; none when genotypes were dropped."""
+    return F.max(F.size("CELLS")).cast("bigint") if "CELLS" in records.columns else F.lit(0).cast("bigint")
+
+
 def variant_counts(records: DataFrame) -> DataFrame:
-    """One row: sites, and sites with a SNP, an indel, an MNP and any other allele."""
+    """One row: samples, sites, and sites with a SNP, an indel, an MNP and any other allele."""
     rows = allele_classes(records)
 
     def having(kind: str) -> Column:
         return F.count_if(F.array_contains("Classes", kind))
 
     return rows.agg(
+        _n_samples(records).alias("n_samples"),
         having("snp").alias("n_snps"),
         having("indel").alias("n_indels"),
         having("mnp").alias("n_mnps"),
@@ -105,6 +111,7 @@ def variant_stats(records: DataFrame) -> DataFrame:
 
     many = F.col("_alts") > 1
     totals = rows.agg(
+        _n_samples(records).alias("samples"),
         F.count("*").alias("records"),
         F.count_if(F.col("ALT") == ".").alias("no-ALTs"),
         having("snp").alias("SNPs"),

@@ -229,9 +229,9 @@ _TEXTS = {
     "filter_lof_nmd": "select v.CHROM, v.POS, v.REF, v.ALT, t.LOF, t.NMD from vcf v join exp_list_text t on v.ROW_ID = t.k where coalesce(t.LOF, '') <> '' or coalesce(t.NMD, '') <> ''",
     "multiallelic_snps": f"select CHROM, POS, REF, ALT1 || ',' || ALT2 as ALT from ({_CLASSES}) where c1 = 'snp' and c2 = 'snp'",
     "multiallelic_indels": f"select CHROM, POS, REF, ALT1 || ',' || ALT2 as ALT from ({_CLASSES}) where c1 = 'indel' and c2 = 'indel'",
-    "variant_counts": f"""select count(*) filter ({_has('snp')}) as n_snps, count(*) filter ({_has('indel')}) as n_indels, count(*) filter ({_has('mnp')}) as n_mnps,
+    "variant_counts": f"""select (select count(*) from samples) as n_samples, count(*) filter ({_has('snp')}) as n_snps, count(*) filter ({_has('indel')}) as n_indels, count(*) filter ({_has('mnp')}) as n_mnps,
  count(*) filter ({_has('other')}) as n_others, count(*) as n_sites from ({_CLASSES})""",
-    "variant_stats": f"""with s as ({_CLASSES}) select 'records' as Section, count(*) as n from s union all select 'no-ALTs', 0::bigint
+    "variant_stats": f"""with s as ({_CLASSES}) select 'records' as Section, count(*) as n from s union all select 'samples', count(*) from samples union all select 'no-ALTs', 0::bigint
  union all select 'SNPs', count(*) from s where {_has('snp')} union all select 'MNPs', count(*) from s where {_has('mnp')}
  union all select 'indels', count(*) from s where {_has('indel')} union all select 'others', count(*) from s where {_has('other')}
  union all select 'multiallelic sites', count(*) from s where c2 is not null
