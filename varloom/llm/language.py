@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ SAMPLE_ROWS = 2000
 #: Loss by which the best codeword must beat the second.
 AMBIGUOUS = 0.005
 UNDETERMINED = "und"
+PARTS = 1_000_000_000
 RESULT = T.StructType(
     [
         T.StructField("lang_pred", T.StringType()),
@@ -141,24 +142,22 @@ def fit(counts: np.ndarray, labels: list[str], rounds: int = 150, rate: float =
 
 
 def training_rows(labelled: DataFrame, doc_id: str, text: str, lang: str, sample_rows: int) -> DataFrame:
-    """Languages and gram counts of a bounded sample, the rows of lowest hash per language.
+    """Languages and gram counts of a sample that stays near ``sample_rows`` at every size of the corpus.
 
-    The rows are picked on narrow columns (Spark keeps only the lowest of each task before the
-    shuffle); the texts are then counted where they are read. Repeats of an id count once.
+    Texts are counted where they are read. Repeats of an id count once.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    languages = [r.lang for r in rows.select("lang").distinct().orderBy("lang").collect()]
-    each = max(10, sample_rows // max(1, len(languages)))
-    rows = rows.withColumn("pick", F.xxhash64("doc_id", "lang"))
-    lowest = rows.select("lang", "pick").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("pick")))
-    bound = lowest.filter(F.col("place") <= each).groupBy("lang").agg(F.max("pick").alias("bound")).collect()
-    if not bound:
+    # Rows whose hash lies in the lowest part of its range, a part set by the count of the language.
+    rows = rows.withColumn("pick", F.pmod(F.xxhash64("doc_id", "lang"), F.lit(PARTS)))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return spark.createDataFrame([], "lang string, bins array<int>, counts array<float>")
+    each = max(10, sample_rows // len(counts))
     chosen = F.lit(False)
-    for r in bound:
-        chosen = chosen | ((F.col("lang") == r.lang) & (F.col("pick") <= r.bound))
+    for name, n in counts.items():
+        chosen = chosen | ((F.col("lang") == name) & (F.col("pick") < min(PARTS, PARTS * each // n + 1)))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -176,7 +175,7 @@ def training_rows(labelled: DataFrame, doc_id: str, text: str, lang: str, sample
 def train(
     labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS
 ) -> Model:
-    """Fit on at most ``sample_rows`` rows (ten per language at least). No labelled row: an empty model."""
+    """Fit on about ``sample_rows`` rows (ten per language at least). No labelled row: an empty model."""
     small_batches(labelled)
     rows = sorted(
         ((r.lang, r.bins, r.counts) for r in training_rows(labelled, doc_id, text, lang, sample_rows).collect()),

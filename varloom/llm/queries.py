@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language
+from varloom.llm import exact, language, minhash, mixing, packing
 from varloom.llm.common import hash_fold, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def tokenizer_path() -> str:
+    """Place of the vocabulary that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with how many of their words the mix takes."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    mixed = mixing.mix(docs).select("doc_id", "source", "mix.*")
+    return mixed.withColumn("taken", F.col("size") * F.col("copies"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -26,13 +40,24 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", "told.lang_pred", "told.score", "told.margin", "told.ambiguous")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 tokens."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path()).drop("raw_hash")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of documents by their recipes of chunks."""
     return exact.exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicate documents."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_language_id": op3_language_id, "op9_exact_dedup": op9_exact_dedup}
+    return {f.__name__: f for f in (op1_mixing, op3_language_id, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -47,5 +72,38 @@ select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from r
 """
 
 
+OP1_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    cast('0x' || substr(md5('mix-1|' || coalesce(cast(doc_id as varchar), '') || '|' || md5(coalesce(text, ''))), 1, 15) as bigint) as bits
+  from documents),
+s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
+w as (
+  select *, cast(3 * source_size as double) as cap, sum(source_size) over () as total,
+    case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5.0 when 1 then 2.0 else 1.0 end::double as w
+  from s),
+f as (
+  select *, coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(w) over (o rows between current row and unbounded following) as rest
+  from w window o as (order by cap / w, source nulls first)),
+c as (select *, cap * rest <= (total - before) * w as clamped from f),
+p as (
+  select source, source_size, case when clamped then cap
+    else (total - coalesce(sum(case when clamped then cap end) over (), 0)) * w / sum(case when not clamped then w end) over () end as target
+  from c),
+q as (
+  select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as whole,
+    target - case when source_size > 0 then floor(target / source_size) else 0 end * source_size as need
+  from p),
+b as (select source, bits, sum(size) as size from d group by source, bits),
+r as (
+  select b.source, b.bits, q.need > 0 and 2 * sum(b.size) over (partition by b.source order by b.bits) - b.size <= 2 * q.need as more
+  from b join q on b.source is not distinct from q.source)
+select d.doc_id, d.source, d.size, q.source_size, q.target, q.whole + r.more::bigint as copies, d.size * (q.whole + r.more::bigint) as taken
+from d join q on d.source is not distinct from q.source
+  join r on d.source is not distinct from r.source and d.bits = r.bits
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op1_mixing": OP1_SQL, "op9_exact_dedup": OP9_SQL}
