@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, packing
+from varloom.llm import exact, language, minhash, mixing, packing, quality
 from varloom.llm.common import hash_fold, small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", "told.lang_pred", "told.score", "told.margin", "told.ambiguous")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality").filter(~hash_fold(F.col("doc_id"), 3, 1))
+    model = quality.train(docs, labels)
+    scored = small_batches(docs).select(
+        "doc_id", hash_fold(F.col("doc_id"), 3, 1).alias("held_out"), quality.score(model, F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 tokens."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -57,7 +68,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_language_id, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op3_language_id, op6_quality, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
