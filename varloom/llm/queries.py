@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, packing, quality
+from varloom.llm import exact, language, minhash, mixing, packing, quality, warc
 from varloom.llm.common import hash_fold, small_batches
+from varloom.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    path = new_path(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return warc.page_records(spark, path)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 2048 tokens."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -68,7 +76,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_language_id, op6_quality, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op3_language_id, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -116,5 +124,18 @@ from d join q on d.source is not distinct from q.source
 """
 
 
+OP7_SQL = """
+with p as (select page_id, sha1(coalesce(html, '')) as h, strlen(coalesce(html, '')) as payload_bytes from pages),
+g as (select *, max(page_id) over (partition by h) as largest from p),
+b as (
+  select *, array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, cast(i * 5 + 1 as int), 5))::int >> s) & 31) + 1, 1)), '')), '') as payload_digest
+  from g)
+select page_id, payload_bytes, payload_digest, case when page_id = largest then 'response' else 'revisit' end as record_type,
+  case when page_id <> largest then largest end as refers_to
+from b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": OP1_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op7_warc": OP7_SQL, "op1_mixing": OP1_SQL, "op9_exact_dedup": OP9_SQL}
