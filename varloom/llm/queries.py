@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, packing, quality, warc
+from varloom.llm import exact, language, minhash, mixing, packing, quality, resharding, warc
 from varloom.llm.common import hash_fold, small_batches
 from varloom.session import new_path
 
@@ -41,6 +41,28 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", "held_out", "told.lang_pred", "told.score", "told.margin", "told.ambiguous")
 
 
+#: The layout that the resharding query starts from: the documents lie in 12 shards by a hash.
+OLD_SHARDS, SHARDS = 12, 16
+
+
+def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from 12 shards to 16 of near equal bytes."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    old = F.pmod(F.xxhash64("doc_id", "text"), F.lit(OLD_SHARDS))
+    placed, plan = resharding.reshard(docs, old, SHARDS)
+    rows = resharding.with_slots(resharding.rewrite(placed, plan))
+    return rows.select(
+        "doc_id",
+        resharding.row_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("new_shard").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels that are not held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -76,7 +98,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_language_id, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op3_language_id, op4_resharding, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
