@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, packing, quality, resharding, warc
+from varloom.llm import exact, language, minhash, mixing, packing, pii, quality, resharding, warc
 from varloom.llm.common import hash_fold, small_batches
 from varloom.session import new_path
 
@@ -63,6 +63,11 @@ def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data and secrets replaced by surrogates."""
+    return pii.replace_personal_data(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from labels that are not held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -98,7 +103,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_language_id, op4_resharding, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op3_language_id, op4_resharding, op5_pii, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
