@@ -11,9 +11,12 @@ pass counts all shingles into hashed bins, a second counts the shingles of full
 list of them is bounded by the mean number of shingles of a document over ``RARE``, whatever the size
 of the corpus.
 
-Equal word sequences are one node from the start. In a band's bucket every member is compared with one
-of them; then members that are not in its class are compared with the members of all other classes. So
-every two candidates are compared or already in one class, and groups of copies never pair off.
+Equal word sequences are one node from the start. Two documents are candidates if they share a band and
+no more of all their samples differ than is likely at the threshold. In a band's bucket every member is
+compared with the hub, the member that meets most others. Members of buckets that then hold more than
+one class are joined on the rarest shingles of their texts, which any two similar ones share, across
+classes only. So every two candidates that are similar are compared or already in one class, and neither
+groups of copies nor texts around a common passage pair off.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +45,16 @@ BIN_BITS = 18
 REMEMBERED = 1_000_000
 TABLE_BITS = 14
 
-_SIGNATURE = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+#: Standard deviations below the expected agreement at the threshold where a pair stops being a candidate.
+SIGMAS = 4.0
+
+_SIGNATURE = T.StructType(
+    [
+        T.StructField("node", T.BinaryType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.ArrayType(T.LongType())),
+    ]
+)
 _known: dict[str, int] = {}
 
 
@@ -171,6 +183,33 @@ def bands_of(drawn: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return name.view(np.int64)
 
 
+def sketches_of(drawn: np.ndarray) -> np.ndarray:
+    """Four bits of every sample, 16 samples to a 64-bit number."""
+    bits = (drawn * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(60)
+    width = -(-drawn.shape[1] // 16) * 16
+    padded = np.zeros((len(drawn), width), dtype=np.uint64)
+    padded[:, : drawn.shape[1]] = bits
+    parts = padded.reshape(len(drawn), -1, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+    return np.bitwise_or.reduce(parts, axis=2).view(np.int64)
+
+
+def differing(a: str, b: str) -> Column:
+    """How many samples differ between two sketch columns (equal samples never do)."""
+
+    def one(x: Column, y: Column) -> Column:
+        d = x.bitwiseXOR(y)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        return F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.aggregate(F.zip_with(a, b, one), F.lit(0), lambda t, n: t + n)
+
+
+def most_differing(samples: int, similar: float, sigmas: float = SIGMAS) -> int:
+    """Differing samples up to which a pair may be as similar as asked."""
+    return int(np.ceil(samples * (1 - similar) + sigmas * np.sqrt(samples * similar * (1 - similar))))
+
+
 def _hashes(texts: pd.Series) -> Iterator[np.ndarray]:
     for text in texts:
         yield word_hashes(text) if isinstance(text, str) else np.zeros(0, np.uint64)
@@ -223,7 +262,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text", rare: float = RARE) -
 def signatures(
     docs: DataFrame, frequent: Frequent, doc_id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``doc_id, raw_hash, node, bands, copies``: a row per distinct id and text.
+    """``doc_id, raw_hash, node, bands, sketch, copies``: a row per distinct id and text.
 
     ``node`` is a digest of the sequence of words (null where there is none), ``copies`` counts rows.
     """
@@ -232,13 +271,15 @@ def signatures(
     def sign(texts: pd.Series) -> pd.DataFrame:
         nodes: list[bytes | None] = [None] * len(texts)
         names: list[np.ndarray | None] = [None] * len(texts)
+        sketches: list[np.ndarray | None] = [None] * len(texts)
         sets, at, size = [], [], 0
 
         def flush() -> None:
             nonlocal size
             if sets:
-                for i, row in zip(at, bands_of(samples_of(sets, bands * rows), bands, rows), strict=True):
-                    names[i] = row
+                drawn = samples_of(sets, bands * rows)
+                for i, row, sketch in zip(at, bands_of(drawn, bands, rows), sketches_of(drawn), strict=True):
+                    names[i], sketches[i] = row, sketch
             sets.clear(), at.clear()
             size = 0
 
@@ -251,11 +292,61 @@ def signatures(
                 if size > 30_000:
                     flush()
         flush()
-        return pd.DataFrame({"node": nodes, "bands": names})
+        return pd.DataFrame({"node": nodes, "bands": names, "sketch": sketches})
 
     base = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("raw_hash"), sign(F.col(text)).alias("s"))
-    base = base.select("doc_id", "raw_hash", "s.node", "s.bands")
-    return base.groupBy("doc_id", "raw_hash", "node").agg(F.count("*").alias("copies"), F.any_value("bands").alias("bands"))
+    base = base.select("doc_id", "raw_hash", "s.node", "s.bands", "s.sketch")
+    return base.groupBy("doc_id", "raw_hash", "node").agg(
+        F.count("*").alias("copies"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
+    )
+
+
+def _texts(docs: DataFrame, signed: DataFrame, needed: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(node, text)`` of the nodes in ``needed(node)``, stored."""
+    one = signed.join(needed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "raw_hash")).alias("one"))
+    one = one.select("node", F.col("one.doc_id").alias("id"), F.col("one.raw_hash").alias("raw"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("raw_hash", F.xxhash64("text"))
+    texts = source.join(one, source.doc_id.eqNullSafe(one.id) & (source.raw_hash == one.raw)).select("node", "text")
+    return store(texts.dropDuplicates(["node"]), "near-texts")
+
+
+def _prefix_pairs(
+    docs: DataFrame, signed: DataFrame, contested: DataFrame, frequent: Frequent, doc_id: str, text: str, similar: float, far: int
+) -> DataFrame:
+    """Pairs ``(a, b)`` of contested nodes of different labels that share a shingle of both prefixes.
+
+    Shingles are ordered by how many contested nodes have them. A node's prefix is the shortest run of its
+    rarest whose rest weighs less than ``similar`` of it: two nodes as similar as that share one. So a
+    passage that many of them have makes no pairs.
+    """
+
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for node, value in zip(frame.node, frame.text, strict=True):
+                shingles, weight = weights(shingle_hashes(word_hashes(value)), frequent)
+                rows = pd.DataFrame({"shingle": shingles.view(np.int64), "weight": weight, "total": weight.sum()})
+                yield rows.assign(node=node)[["node", "shingle", "weight", "total"]]
+
+    texts = _texts(docs, signed, contested.select("node"), doc_id, text)
+    spread_rows = small_batches(texts).mapInPandas(spread, "node binary, shingle long, weight double, total double")
+    every = store(spread_rows, "contested-shingles")
+    counts = every.groupBy("shingle").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("node").orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("weight").over(order), F.lit(0.0))
+    # A shingle of one node joins nothing, but counts in its prefix.
+    prefix = every.join(counts, "shingle").withColumn("before", before)
+    prefix = prefix.filter((F.col("n") > 1) & (F.col("total") - F.col("before") >= (similar - 1e-9) * F.col("total")))
+    held = store(prefix.select("shingle", "node").join(contested, "node"), "prefixes")
+    sizes = held.groupBy("shingle", "label").agg(F.count("*").alias("n"))
+    heads = sizes.groupBy("shingle").agg(F.max(F.struct("n", "label")).alias("head"), F.count("*").alias("labels"))
+    heads = heads.filter("labels > 1").select("shingle", F.col("head.label").alias("head"))
+    held = store(held.join(heads, "shingle"), "prefixes")
+    odd = held.filter("label != head").select("shingle", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("sketch").alias("xs"))
+    rest = held.select(F.col("shingle").alias("s"), F.col("node").alias("y"), F.col("label").alias("yl"), F.col("sketch").alias("ys"), "head")
+    # Two odd nodes meet twice and are taken once.
+    once = (F.col("x") < F.col("y")) | (F.col("yl") == F.col("head"))
+    apart = (F.col("shingle") == F.col("s")) & (F.col("xl") != F.col("yl")) & once & (differing("xs", "ys") <= far)
+    return odd.join(rest, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _verified(
@@ -263,11 +354,7 @@ def _verified(
 ) -> DataFrame:
     """Those of ``pairs(a, b)`` that are similar enough, from the whole texts of their nodes."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    one = signed.join(needed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "raw_hash")).alias("one"))
-    one = one.select("node", F.col("one.doc_id").alias("id"), F.col("one.raw_hash").alias("raw"))
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("raw_hash", F.xxhash64("text"))
-    texts = source.join(one, source.doc_id.eqNullSafe(one.id) & (source.raw_hash == one.raw)).select("node", "text")
-    texts = store(texts.dropDuplicates(["node"]), "near-texts")
+    texts = _texts(docs, signed, needed, doc_id, text)
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, set_b = None, None
@@ -296,26 +383,42 @@ def near_classes(
     """
     frequent = frequent_shingles(docs, text)
     signed = store(signatures(docs, frequent, doc_id, text, bands, rows), "signatures")
-    nodes = signed.filter(F.col("node").isNotNull()).groupBy("node").agg(F.any_value("bands").alias("bands"))
+    nodes = signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
+        F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")
+    )
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = store(members.join(shared, "bucket"), "buckets")
-    star = members.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    star = store(star, "near-pairs")
+    # The member that meets most others over all buckets is the likeliest to be like all of them.
+    weight = members.groupBy("node").agg(F.sum("n").alias("meets")).join(nodes.select("node", "sketch"), "node")
+    members = store(members.join(weight, "node"), "members")
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("meets", "node", "sketch")).alias("hub"))
+    hubs = store(hubs.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.sketch").alias("hub_sketch")), "hubs")
+    far = most_differing(bands * rows, similar)
+    star = members.join(hubs, "bucket").filter((F.col("node") != F.col("hub")) & (differing("sketch", "hub_sketch") <= far))
+    star = store(star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "near-pairs")
     links = _verified(docs, signed, star, frequent, doc_id, text, similar)
     label = connected(links)
-    placed = members.filter("n > 2").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    head = label.select(F.col("node").alias("first"), F.col("label").alias("head"))
-    placed = placed.join(head, "first", "left").withColumn("head", F.coalesce("head", "first"))
-    odd = placed.filter("label != head").select("bucket", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    rest = placed.filter("node != first").select("bucket", F.col("node").alias("y"), F.col("label").alias("y_label"))
-    cross = odd.join(rest, "bucket").filter("x != y and x_label != y_label")
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    cross = store(cross.join(star, (cross.a == star.b) & (cross.b == star.a), "left_anti"), "near-pairs")
+    placed = members.filter("n > 2").select("bucket", "node", "sketch").join(label, "node", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    contested = placed.join(mixed, "bucket", "left_semi").select("node", "label", "sketch").dropDuplicates(["node"])
+    contested = store(contested, "contested")
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    cross = _prefix_pairs(docs, signed, contested, frequent, doc_id, text, similar, far)
+    cross = store(cross.join(tried, ["a", "b"], "left_anti"), "near-pairs")
     if not cross.isEmpty():
         more = _verified(docs, signed, cross, frequent, doc_id, text, similar)
         if not more.isEmpty():
-            label = connected(links.unionByName(more))
+            # Classes are linked, not nodes: what is joined already is not gone through again.
+            ends = label.select(F.col("node").alias("a"), F.col("label").alias("la"))
+            far = label.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+            joined = more.join(ends, "a", "left").join(far, "b", "left")
+            joined = joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+            over = connected(joined).withColumnRenamed("label", "over").withColumnRenamed("node", "label")
+            nodes = label.unionByName(more.select(F.col("a").alias("node"), F.col("a").alias("label")).union(more.select("b", "b")))
+            nodes = nodes.groupBy("node").agg(F.min("label").alias("label"))
+            label = store(nodes.join(over, "label", "left").select("node", F.coalesce("over", "label").alias("label")), "labels")
     met = signed.join(label, "node", "left").withColumn("class", F.coalesce("label", "node"))
     sums = met.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size")
