@@ -6,7 +6,7 @@ Samples are joined into bands; documents that share a band are candidates, and t
 candidates is then computed exactly from their whole texts.
 
 idf is 1 for shingles of up to ``RARE`` of the documents and falls with the logarithm of the document
-frequency to one half for a shingle of every document. Frequencies above that share are exact: a first
+frequency to 0.8 for a shingle of every document. Frequencies above that share are exact: a first
 pass counts all shingles into hashed bins, a second counts the shingles of full bins one by one. The
 list of them is bounded by the mean number of shingles of a document over ``RARE``, whatever the size
 of the corpus.
@@ -40,10 +40,14 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 16, 4
 RARE = 0.01
+#: idf of a shingle of every document. Damped, so that similarities stay near those of plain sets.
+LEAST_IDF = 0.8
+#: Samples of the finer sketches of nodes that are compared across classes.
+FINE = 512
 BIN_BITS = 18
 #: Words whose hashes a Python worker remembers; only speed depends on it.
 REMEMBERED = 1_000_000
-TABLE_BITS = 14
+TABLE_BITS, TABLES, MOST_SAMPLES = 14, 64, 4096
 
 #: Standard deviations below the expected agreement at the threshold where a pair stops being a candidate.
 SIGMAS = 4.0
@@ -127,15 +131,15 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(both / either) if either else 0.0
 
 
-@lru_cache(maxsize=2)
-def _tables(samples: int) -> tuple[np.ndarray, ...]:
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, ...]:
     """Random numbers of the samples: r, beta, ln c, the sort key of a weight of 1, and multipliers."""
     rng = np.random.default_rng(20240229)
-    shape = (samples, 1 << TABLE_BITS)
+    shape = (TABLES, 1 << TABLE_BITS)
     r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
     log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
     beta = rng.random(shape, dtype=np.float32)
-    odd = rng.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = rng.integers(0, 1 << 63, MOST_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return r, beta, log_c, _sort_key(log_c + r * beta - r), odd
 
 
@@ -149,10 +153,10 @@ def _sort_key(values: np.ndarray) -> np.ndarray:
 def samples_of(sets: list[tuple[np.ndarray, np.ndarray]], samples: int) -> np.ndarray:
     """A row per (non-empty) weighted set, a column per sample: the drawn shingle and level as 32 bits.
 
-    r, c and beta of a shingle come from tables by a hash of it for each sample; shingles that meet in
+    r, c and beta of a shingle come from tables, at a place that a hash of its own names for each sample; shingles that meet in
     a table entry are told apart by their own bits.
     """
-    r, beta, log_c, key_of_one, odd = _tables(samples)
+    r, beta, log_c, key_of_one, odd = _tables()
     shingles = np.concatenate([s for s, _ in sets])
     weight = np.concatenate([w for _, w in sets])
     starts = np.concatenate([[0], np.cumsum([len(s) for s, _ in sets])[:-1]]).astype(np.int64)
@@ -160,8 +164,9 @@ def samples_of(sets: list[tuple[np.ndarray, np.ndarray]], samples: int) -> np.nd
     other = np.flatnonzero(weight != 1.0)
     log_weight = np.log(weight[other]).astype(np.float32)
     out = np.empty((len(sets), samples), dtype=np.uint64)
-    for k in range(samples):
-        at = (shingles * odd[k]) >> np.uint64(64 - TABLE_BITS)
+    for sample in range(samples):
+        at = (shingles * odd[sample]) >> np.uint64(64 - TABLE_BITS)
+        k = sample % TABLES
         key = key_of_one[k][at] | low
         if len(other):
             i = at[other]
@@ -169,7 +174,7 @@ def samples_of(sets: list[tuple[np.ndarray, np.ndarray]], samples: int) -> np.nd
             log_a = log_c[k][i] - r[k][i] * (level - beta[k][i]) - r[k][i]
             moved = (low[other] + level.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
             key[other] = _sort_key(log_a) | moved
-        out[:, k] = np.minimum.reduceat(key, starts)
+        out[:, sample] = np.minimum.reduceat(key, starts)
     return out & np.uint64(0xFFFFFFFF)
 
 
@@ -215,6 +220,31 @@ def _hashes(texts: pd.Series) -> Iterator[np.ndarray]:
         yield word_hashes(text) if isinstance(text, str) else np.zeros(0, np.uint64)
 
 
+def _drawn(texts: pd.Series, frequent: Frequent, samples: int) -> list[tuple[bytes | None, np.ndarray | None]]:
+    """Node and samples of each text, drawn for many texts at once; nulls for a text without words."""
+    out: list[tuple[bytes | None, np.ndarray | None]] = [(None, None)] * len(texts)
+    sets, at, size = [], [], 0
+
+    def flush() -> None:
+        if sets:
+            for i, row in zip(at, samples_of(sets, samples), strict=True):
+                out[i] = (out[i][0], row)
+        sets.clear()
+        at.clear()
+
+    for i, words in enumerate(_hashes(texts)):
+        if len(words):
+            out[i] = (hashlib.blake2b(words.tobytes(), digest_size=16).digest(), None)
+            sets.append(weights(shingle_hashes(words), frequent))
+            at.append(i)
+            size += len(words)
+            if size > 30_000:
+                flush()
+                size = 0
+    flush()
+    return out
+
+
 def frequent_shingles(docs: DataFrame, text: str = "text", rare: float = RARE) -> Frequent:
     """Exact frequencies of all shingles that more than ``rare`` of the documents have."""
 
@@ -256,7 +286,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text", rare: float = RARE) -
     shingles = np.array([r.shingle for r in rows], dtype=np.int64).view(np.uint64)
     share = np.array([r.n for r in rows], dtype=float) / max(total, 1)
     order = np.argsort(shingles)
-    return Frequent(shingles[order], (0.5 + 0.5 * np.log(1 / share) / np.log(1 / rare))[order])
+    return Frequent(shingles[order], (LEAST_IDF + (1 - LEAST_IDF) * np.log(1 / share) / np.log(1 / rare))[order])
 
 
 def signatures(
@@ -269,30 +299,14 @@ def signatures(
 
     @F.pandas_udf(_SIGNATURE)
     def sign(texts: pd.Series) -> pd.DataFrame:
-        nodes: list[bytes | None] = [None] * len(texts)
-        names: list[np.ndarray | None] = [None] * len(texts)
-        sketches: list[np.ndarray | None] = [None] * len(texts)
-        sets, at, size = [], [], 0
-
-        def flush() -> None:
-            nonlocal size
-            if sets:
-                drawn = samples_of(sets, bands * rows)
-                for i, row, sketch in zip(at, bands_of(drawn, bands, rows), sketches_of(drawn), strict=True):
-                    names[i], sketches[i] = row, sketch
-            sets.clear(), at.clear()
-            size = 0
-
-        for i, words in enumerate(_hashes(texts)):
-            if len(words):
-                nodes[i] = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
-                sets.append(weights(shingle_hashes(words), frequent))
-                at.append(i)
-                size += len(words)
-                if size > 30_000:
-                    flush()
-        flush()
-        return pd.DataFrame({"node": nodes, "bands": names, "sketch": sketches})
+        signed = _drawn(texts, frequent, bands * rows)
+        out = pd.DataFrame({"node": [node for node, _ in signed], "bands": None, "sketch": None}, dtype=object)
+        at = [i for i, (_, row) in enumerate(signed) if row is not None]
+        if at:
+            drawn = np.array([signed[i][1] for i in at])
+            for i, names, sketch in zip(at, bands_of(drawn, bands, rows), sketches_of(drawn), strict=True):
+                out.iat[i, 1], out.iat[i, 2] = names, sketch
+        return out
 
     base = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("raw_hash"), sign(F.col(text)).alias("s"))
     base = base.select("doc_id", "raw_hash", "s.node", "s.bands", "s.sketch")
@@ -311,13 +325,14 @@ def _texts(docs: DataFrame, signed: DataFrame, needed: DataFrame, doc_id: str, t
 
 
 def _prefix_pairs(
-    docs: DataFrame, signed: DataFrame, contested: DataFrame, frequent: Frequent, doc_id: str, text: str, similar: float, far: int
+    docs: DataFrame, signed: DataFrame, contested: DataFrame, frequent: Frequent, doc_id: str, text: str, similar: float
 ) -> DataFrame:
     """Pairs ``(a, b)`` of contested nodes of different labels that share a shingle of both prefixes.
 
     Shingles are ordered by how many contested nodes have them. A node's prefix is the shortest run of its
     rarest whose rest weighs less than ``similar`` of it: two nodes as similar as that share one. So a
-    passage that many of them have makes no pairs.
+    passage that many of them have makes no pairs. Samples are drawn anew, and more of them, to leave out
+    pairs that are clearly less similar.
     """
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -327,7 +342,15 @@ def _prefix_pairs(
                 rows = pd.DataFrame({"shingle": shingles.view(np.int64), "weight": weight, "total": weight.sum()})
                 yield rows.assign(node=node)[["node", "shingle", "weight", "total"]]
 
+    def refine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            drawn = [row for _, row in _drawn(frame.text, frequent, FINE)]
+            yield pd.DataFrame({"node": frame.node, "sketch": list(sketches_of(np.array(drawn)))})
+
     texts = _texts(docs, signed, contested.select("node"), doc_id, text)
+    finer = small_batches(texts).mapInPandas(refine, "node binary, sketch array<long>")
+    contested = store(contested.join(finer, "node"), "contested")
+    far = most_differing(FINE, similar)
     spread_rows = small_batches(texts).mapInPandas(spread, "node binary, shingle long, weight double, total double")
     every = store(spread_rows, "contested-shingles")
     counts = every.groupBy("shingle").agg(F.count("*").alias("n"))
@@ -399,13 +422,13 @@ def near_classes(
     star = store(star.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "near-pairs")
     links = _verified(docs, signed, star, frequent, doc_id, text, similar)
     label = connected(links)
-    placed = members.filter("n > 2").select("bucket", "node", "sketch").join(label, "node", "left")
+    placed = members.filter("n > 2").select("bucket", "node").join(label, "node", "left")
     placed = placed.withColumn("label", F.coalesce("label", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    contested = placed.join(mixed, "bucket", "left_semi").select("node", "label", "sketch").dropDuplicates(["node"])
+    contested = placed.join(mixed, "bucket", "left_semi").select("node", "label").distinct()
     contested = store(contested, "contested")
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    cross = _prefix_pairs(docs, signed, contested, frequent, doc_id, text, similar, far)
+    cross = _prefix_pairs(docs, signed, contested, frequent, doc_id, text, similar)
     cross = store(cross.join(tried, ["a", "b"], "left_anti"), "near-pairs")
     if not cross.isEmpty():
         more = _verified(docs, signed, cross, frequent, doc_id, text, similar)
