@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language
+from varloom.llm import exact, language, minhash, mixing, packing
 from varloom.llm.common import hash_fold, store
+from varloom.llm.queries import tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +25,27 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact_duplicates(docs)
 
 
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near duplicates."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat and drop documents so that sources weigh what they should."""
+    return mixing.mixture(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents in windows of 2048 tokens."""
+    return packing.pack_documents(docs, tokenizer_path()).drop("raw_hash")
+
+
 STAGES = [
     ("language", identify_language),
     ("exact_dedup", drop_exact),
+    ("near_dedup", drop_near),
+    ("mixing", mix_sources),
+    ("packing", pack),
 ]
 
 #: The trained classifier and the sampled near-duplicate keys have no SQL form; tests hold the stages

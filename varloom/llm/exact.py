@@ -104,7 +104,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", di
         (-F.col("best.length")).alias("keep_length"),
         "group_size",
     )
-    met = rows.join(best, "recipe")
+    # Stored, so that the join deals both sides itself and can split a recipe that very many rows have.
+    met = rows.join(store(best, "recipe-groups"), "recipe")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("raw_hash") == F.col("keep_hash"))
     return met.withColumn("stays", stays & (F.col("length") == F.col("keep_length")))
 
