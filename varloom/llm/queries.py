@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, packing, pii, quality, resharding, warc
+from varloom.llm import exact, language, minhash, mixing, neighbours, packing, pii, quality, resharding, warc
 from varloom.llm.common import hash_fold, small_batches
 from varloom.session import new_path
 
@@ -32,6 +32,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("taken", F.col("size") * F.col("copies"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every twentieth one."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the rows that are not held out."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -103,7 +108,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op3_language_id, op4_resharding, op5_pii, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_language_id, op4_resharding, op5_pii, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
