@@ -1,0 +1,203 @@
+"""Shards, archives, surrogates, neighbours and the pipeline."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from varloom.llm import neighbours, pii, resharding, warc
+from varloom.session import new_path
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_flow_moves_as_little_as_possible(seed):
+    rng = np.random.default_rng(seed)
+    old, shards = rng.integers(0, 60, rng.integers(1, 7)).tolist(), int(rng.integers(1, 7))
+    capacities = resharding.even_capacities(sum(old), shards)
+    plan = resharding.solve(dict(enumerate(old)), capacities)
+    assert plan.moved == sum(old) - sum(min(a, b) for a, b in zip(old, capacities, strict=False))
+
+
+def test_flow_is_optimal_under_any_cost():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        n, m = rng.integers(1, 4, 2)
+        supply = rng.integers(0, 4, n).tolist()
+        demand = resharding.even_capacities(sum(supply), int(m))
+        cost = rng.integers(0, 6, (n, m)).astype(float)
+        units = [i for i, s in enumerate(supply) for _ in range(s)]
+
+        def least(k, left, units=units, cost=cost, m=m):
+            if k == len(units):
+                return 0.0
+            best = np.inf
+            for j in range(m):
+                if left[j]:
+                    left[j] -= 1
+                    best = min(best, cost[units[k], j] + least(k + 1, left))
+                    left[j] += 1
+            return best
+
+        assert (resharding.min_cost_flow(supply, demand, cost) * cost).sum() == least(0, list(demand))
+
+
+def test_resharding_balances_and_keeps_rows(docs, empty):
+    many = docs.filter("length(coalesce(text, '')) < 100")
+    for _ in range(5):
+        many = many.union(many.withColumn("doc_id", F.col("doc_id") + 100))
+    old = F.when(F.col("doc_id") % 7 != 0, F.least(F.col("doc_id") % 9, F.lit(5)))
+    placed, plan = resharding.reshard(many, old, 4)
+    rows = resharding.with_slots(resharding.rewrite(placed, plan)).collect()
+    assert sorted(map(str, many.collect())) == sorted(str(type(many.first())(**{c: r[c] for c in many.columns})) for r in rows)
+    sizes, slots = {}, {}
+    for r in rows:
+        sizes[r.new_shard] = sizes.get(r.new_shard, 0) + len((r.text or "").encode()) + 1
+        slots.setdefault(r.new_shard, []).append(r.slot)
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * 60
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    placed, plan = resharding.reshard(empty, F.lit(0), 4)
+    assert resharding.with_slots(resharding.rewrite(placed, plan)).count() == 0
+
+
+def test_unchanged_shards_are_not_written(spark):
+    rows = [(i, "x" * 9, 0 if i < 10 else (1 if i < 16 else 2)) for i in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    placed, plan = resharding.reshard(table.withColumnRenamed("shard", "was"), F.col("was"), 3)
+    path = new_path(spark, "shards")
+    assert resharding.rewrite(placed, plan, path).count() == 30
+    assert plan.changed == {1, 2} and spark.read.parquet(path).select("shard").distinct().count() == 2
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_archives_round_trip_with_magic_in_payloads(spark, monkeypatch, compression):
+    monkeypatch.setattr(warc, "STRETCH", 700)
+    magic = warc.MAGIC
+    html = [
+        "a", None, "", "x" * 500 + magic + "Content-Length: 3\r\n\r\nabc\r\n\r\n" + magic + "zz", magic, "a", "é" * 100,
+        magic + "\r\n\r\n" + magic + "Content-Length: 99999\r\n\r\n", "\r\n\r\n" + magic + "Content-Length: 0\r\n\r\n\r\n\r\n", "dup", "dup",
+    ]
+    rows = [(i, f"http://x/{i}\r\nWARC-Type: evil", h) for i, h in enumerate(html)] + [(None, None, "dup"), (10, "u", "dup")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        path = new_path(spark, "warc")
+        warc.write_warc(pages.coalesce(2), path, compression=compression)
+        found = warc.page_records(spark, path).collect()
+        payloads = [bytes(r.payload or b"") for r in warc.read_warc(spark, path).filter("header not like '%revisit%'").collect()]
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert len(found) == len(rows)
+    by_text = {}
+    for page_id, _, text in rows:
+        by_text.setdefault(text or "", []).append(page_id if page_id is not None else -1)
+    for r in found:
+        text = next(t or "" for i, _, t in rows if i == r.page_id)
+        largest = max(by_text[text])
+        assert r.payload_bytes == len(text.encode())
+        assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == largest else ("revisit", largest))
+    assert sorted(set(payloads)) == sorted({t.encode() for t in by_text})
+
+
+def test_empty_archive(spark):
+    path = new_path(spark, "warc")
+    warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.page_records(spark, path).count() == 0
+
+
+def luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(map(int, str(2 * int(d)))) for d in even)) % 10 == 0
+
+
+def test_surrogates_keep_type_format_and_coreference(spark):
+    texts = [
+        "call +1 (017) 555-7713 or +1 017 555 7713, card 4111 1111 1111 1111, 4111111111111111, not 4111111111111112",
+        "Mr. John Smith met Mrs Joan Baker and Mr. John Smith; Г-жа Анна Петрова", "a.b@c.com A.B@C.COM 10.0.0.1 300.1.1.1", None, "",
+        'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### 123-45-6789', "plain 2024 text 12:30 key", "mail a.b@c.com",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {r.doc_id: r.text for r in pii.replace_personal_data(table).collect()}
+    assert new[3] is None and new[4] == "" and new[6] == texts[6]
+    import re
+
+    phones = re.findall(r"\+\d \(?\d{3}\)? 555[ -]7713|\+\d \(?\d{3}\)? \d{3}[ -]\d{4}", new[0])
+    assert len(phones) == 2 and len({re.sub(r"\D", "", p) for p in phones}) == 1 and "7713" not in new[0].split(",")[0]
+    cards = re.findall(r"\b\d{4} \d{4} \d{4} \d{4}\b|\b\d{16}\b", new[0])
+    assert cards[0].replace(" ", "") == cards[1] != "4111111111111111" and luhn(cards[1]) and cards[2] == "4111111111111112"
+    people = re.findall(r"Mrs?\.? (\w+ \w+)", new[1])
+    assert people[0] == people[2] != people[1] and people[0].split()[0] in pii.GIVEN["m", "latin"]
+    assert people[1].split()[0] in pii.GIVEN["f", "latin"] and new[1].split()[-2] in pii.GIVEN["f", "cyrillic"]
+    mails = re.findall(r"\S+@\S+", new[2])
+    assert mails[0].upper() == mails[1] and mails[0] in new[7] and "10.0.0.1" not in new[2] and "300.1.1.1" in new[2]
+    assert re.search(r'token = "[0-9a-f]{40}"###', new[5]) and "24be6443" not in new[5]
+
+
+def test_surrogates_are_distinct_where_draws_meet(spark, monkeypatch):
+    entities = spark.createDataFrame([("ssn", f"{i:09d}") for i in range(300)], "kind string, canon string")
+    plain = pii.surrogate
+
+    def narrow(kind, canon, attempt, key=pii.KEY):
+        return F.lpad((F.xxhash64(canon, attempt) % 1000 + 1000).cast("string"), 9, "0")
+
+    monkeypatch.setattr(pii, "surrogate", narrow)
+    found = pii.dictionary(entities).collect()
+    monkeypatch.setattr(pii, "surrogate", plain)
+    assert len(found) == 300 and len({r.other for r in found}) == 300 and not {r.other for r in found} & {r.canon for r in found}
+
+
+def test_surrogates_on_odd_tables(docs, empty):
+    assert pii.replace_personal_data(docs).count() == docs.count()
+    assert pii.replace_personal_data(empty).count() == 0
+
+
+def test_neighbours_recall_ties_and_unusable_vectors(spark):
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((400, 16)).astype(np.float32)
+    x[50:60] = x[40]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    bad = [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [None] + [1.0] * 15), (1080, [1.0]), (1100, []), (None, [1.0] * 16)]
+    table = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
+    found = {}
+    for r in neighbours.nearest(table, lambda i: i % 20 == 0, 10).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(found) == set(range(0, 400, 20))
+    hits = 0
+    for q, got in found.items():
+        scores = x.astype(float) @ x[q].astype(float)
+        want = [i for i in np.lexsort((np.arange(400), -np.round(scores, 9))) if i != q][:10]
+        got = sorted(got)
+        assert [g[0] for g in got] == list(range(1, 11))
+        assert all(abs(g[2] - scores[g[1]]) < 1e-9 for g in got)
+        hits += len({g[1] for g in got} & set(want))
+    assert hits / (10 * len(found)) >= 0.9
+    assert [v for _, v, _ in sorted(found[40])][:9] == list(range(50, 59))
+
+
+def test_neighbours_of_tiny_and_empty_tables(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    found = [(r["rank"], r.vec_id) for r in neighbours.nearest(table, lambda i: i == 0).orderBy("rank").collect()]
+    assert found == [(1, 2), (2, 1)]
+    assert neighbours.nearest(table.limit(0), lambda i: i == 0).count() == 0
+
+
+def test_pipeline_stages_hold_what_they_say(spark):
+    import corpus_pipeline
+
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs, names = source, [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
+    kept = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        path = new_path(spark, "stage")
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.columns == source.columns
+        kept.append(docs)
+    assert kept[0].count() == source.count()
+    norm = F.regexp_replace("text", r"[\x20\x09-\x0D]", "")
+    assert kept[1].count() == kept[0].select(norm).distinct().count()
+    ids = {r.doc_id for r in kept[2].collect()}
+    assert {r.doc_id for r in kept[3].collect()} <= ids <= {r.doc_id for r in kept[1].collect()}
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0

@@ -8,6 +8,7 @@ the candidates that the chain reaches; the others are payload and are put back i
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from varloom.llm.common import store
 
 MAGIC = "WARC/1.1\r\n"
 GAP = "\r\n\r\n"
+#: Bytes of a file whose chains one task follows.
+STRETCH = 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 # RFC 4648 base32 alphabet: a fixed value.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -75,88 +78,131 @@ def records(pages: DataFrame, page_id: str = "page_id", html: str = "html", leas
     return rows.select(F.concat(header, body).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, **settings) -> None:
-    """Write a folder of archives, one per task, through Spark's committer."""
-    records(pages, **settings).write.option("lineSep", GAP).text(path)
+def write_warc(pages: DataFrame, path: str, compression: str = "gzip", most_records: int = 50_000, **settings) -> None:
+    """Write a folder of archives, through Spark's committer.
+
+    Compressed files are read by one task each, so a file holds at most ``most_records`` records;
+    files without compression are read in ranges.
+    """
+    out = records(pages, **settings).write.option("lineSep", GAP).option("compression", compression)
+    out.option("maxRecordsPerFile", most_records).text(path)
+
+
+def _field(header: Column, name: str) -> Column:
+    found = F.regexp_extract(header, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+    return F.when(found != "", found)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``file, offset, piece``: what stands behind each magic, and where that magic begins.
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """What stands behind each magic, and where: ``file, block, nth, bytes, jump, piece``.
 
-    Bytes before the first magic of a file have a negative offset. Lengths are summed per byte range, so
-    no task needs more than the ranges' sums and its own range.
+    ``jump`` is the distance from the magic to that of the next record, by the header; null without one.
     """
-    size = len(MAGIC)
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("nth"),
+        F.col("value").alias("piece"),
     )
-    # A magic at the end of a range starts a piece that the next range reads: the last piece has no magic.
-    raw = raw.withColumn("bytes", F.octet_length("value").cast("long") + size)
-    before = F.sum("all").over(Window.partitionBy("file").orderBy("block")) - F.col("all")
-    blocks = raw.groupBy("file", "block").agg(F.sum("bytes").alias("all")).withColumn("before", before)
-    blocks = store(blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), "before"), "warc-ranges")
-    run = F.sum("bytes").over(Window.partitionBy("file", "block").orderBy("nth")) - F.col("bytes")
-    met = raw.withColumn("run", run).join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
-    return met.select("file", (F.col("before") + F.col("run") - size).alias("offset"), F.col("value").alias("piece"))
-
+    header = F.substring_index("piece", GAP, 1)
+    length = _field(header, "Content-Length").cast("long")
+    jump = len(MAGIC) + F.octet_length(header) + len(GAP) + length + len(GAP)
+    whole = F.instr("piece", GAP) > 0
+    return raw.withColumn("bytes", F.octet_length("piece").cast("long") + len(MAGIC)).withColumn("jump", F.when(whole, jump))
 
-def _field(header: Column, name: str) -> Column:
-    found = F.regexp_extract(header, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
-    return F.when(found != "", found)
 
+def _placed(scanned: DataFrame) -> DataFrame:
+    """Add ``offset``, where the magic of each piece begins (negative for what stands before the first).
 
-def reached(candidates: DataFrame) -> DataFrame:
+    Lengths are summed per byte range, so a task needs the sums of the ranges and its own range only.
+    """
+    before = F.sum("all").over(Window.partitionBy("file").orderBy("block")) - F.col("all")
+    blocks = scanned.groupBy("file", "block").agg(F.sum("bytes").alias("all")).withColumn("before", before)
+    blocks = store(blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), "before"), "warc-ranges")
+    run = F.sum("bytes").over(Window.partitionBy("file", "block").orderBy("nth")) - F.col("bytes")
+    met = scanned.withColumn("run", run).join(blocks, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return met.withColumn("offset", F.col("before") + F.col("run") - len(MAGIC)).drop("f", "b", "before", "run", "nth", "block")
+
+
+def _leave(key: tuple[int, int], rows: pd.DataFrame, size: int) -> pd.DataFrame:
+    """For each candidate of a stretch, where its chain leaves the stretch (null: it ends inside)."""
+    rows = rows.sort_values("offset", ignore_index=True)
+    place = {offset: i for i, offset in enumerate(rows.offset.tolist())}
+    out: list[int | None] = [None] * len(rows)
+    end = (key[1] + 1) * size
+    for i in range(len(rows) - 1, -1, -1):
+        after = rows.next[i]
+        if not pd.isna(after):
+            out[i] = int(after) if after >= end else (out[place[int(after)]] if int(after) in place else None)
+    return pd.DataFrame({"file": rows.file, "offset": rows.offset, "next": pd.array(out, dtype="Int64")})
+
+
+def _walk(key: tuple[int, int], rows: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """The candidates of a stretch on the chain from where it is entered."""
+    after = dict(zip(rows.offset.tolist(), rows.next.tolist(), strict=True))
+    found = set()
+    for at in entries.entry.tolist():
+        while at in after and at not in found:
+            found.add(at)
+            at = after[at] if not pd.isna(after[at]) else None
+    return pd.DataFrame({"file": key[0], "offset": sorted(found)}, dtype="int64")
+
+
+def reached(candidates: DataFrame, size: int | None = None) -> DataFrame:
     """Rows ``(file, offset)`` of ``candidates(file, offset, next)`` on the chains that begin at offset 0.
 
-    Every round doubles the jump, so rounds grow with the logarithm of the records of a file.
+    Chains inside a stretch of a file are followed by one task, which leaves jumps from stretch to
+    stretch. Rounds then double these jumps, so they grow with the logarithm of the size of a file.
     """
-    jump = store(candidates.filter("next is not null").select("file", "offset", "next"), "warc-jump")
-    found = store(candidates.filter("offset = 0").select("file", "offset"), "warc-reached")
-    known = candidates.select("file", F.col("offset").alias("next"))
+    size = size or STRETCH
+    stretch = F.floor(F.col("offset") / size).alias("stretch")
+
+    def leave(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
+        return _leave(key, rows, size)
+
+    leave = candidates.groupBy("file", stretch).applyInPandas(leave, "file long, offset long, next long")
+    jump = store(leave.filter("next is not null"), "warc-jump")
+    found = store(candidates.filter("offset = 0").select("file", "offset"), "warc-entries")
     while not jump.isEmpty():
-        step = found.join(jump, ["file", "offset"]).select("file", "next").join(known, ["file", "next"], "left_semi")
-        found = store(found.union(step.select("file", "next")).distinct(), "warc-reached")
+        step = found.join(jump, ["file", "offset"]).select("file", "next")
+        found = store(found.union(step).distinct(), "warc-entries")
         ahead = jump.select("file", F.col("offset").alias("next"), F.col("next").alias("far"))
         jump = store(jump.join(ahead, ["file", "next"]).select("file", "offset", F.col("far").alias("next")), "warc-jump")
-    return found
+    entries = found.select(F.col("file").alias("f"), F.col("offset").alias("entry"), F.floor(F.col("offset") / size).alias("s"))
+    walked = candidates.groupBy("file", stretch).cogroup(entries.groupBy("f", "s")).applyInPandas(_walk, "file long, offset long")
+    return walked
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``file, offset, header, payload`` of every record of the archives under ``path``.
+    """``header, payload`` of every record of the archives under ``path``.
 
     The payload is binary and of exactly ``Content-Length`` bytes. A candidate without a length ends its
     chain; what lies behind it in that file is not returned. An empty folder gives no row.
     """
-    pieces = _pieces(spark, path)
-    header = F.substring_index("piece", GAP, 1)
-    length = _field(header, "Content-Length").cast("long")
-    whole = F.instr("piece", GAP) > 0
-    after = F.col("offset") + len(MAGIC) + F.octet_length(header) + len(GAP) + length + len(GAP)
-    candidates = pieces.filter("offset >= 0").select("file", "offset", F.when(whole, after).alias("next"))
-    candidates = store(candidates, "warc-candidates")
+    scanned = _scan(spark, path)
+    candidates = _placed(scanned.drop("piece")).filter("offset >= 0")
+    candidates = store(candidates.select("file", "offset", (F.col("offset") + F.col("jump")).alias("next")), "warc-candidates")
     chain = reached(candidates)
-    mine = chain.withColumn("record", F.col("offset"))
-    owner = candidates.select("file", "offset").join(mine, ["file", "offset"], "left")
-    # False candidates are rare: only files that have one are ordered, on offsets alone.
-    torn = store(owner.filter("record is null").select("file").distinct(), "warc-torn")
+    mine = chain.select(F.col("file").alias("f"), F.col("offset").alias("o"), F.col("offset").alias("record"))
+    owner = candidates.join(mine, (F.col("file") == F.col("f")) & (F.col("offset") == F.col("o")), "left").select("file", "offset", "record")
+    owner = store(owner, "warc-owner")
+    # Where every candidate is a record the pieces are the records, as scanned. Only the other files are
+    # put in order, and only their false candidates are joined to what stands before them.
+    torn = store(owner.filter("record is null").select(F.col("file").alias("f")).distinct(), "warc-torn")
+    clean = scanned.filter(F.col("jump").isNotNull()).join(torn, F.col("file") == F.col("f"), "left_anti").select("piece")
     order = Window.partitionBy("file").orderBy("offset")
-    filled = owner.join(torn, "file", "left_semi").withColumn("record", F.last("record", ignorenulls=True).over(order))
-    filled = filled.unionByName(owner.join(torn, "file", "left_anti"))
-    filled = filled.withColumnRenamed("file", "f").withColumnRenamed("offset", "o")
-    # Whether a record is in several pieces is known from the offsets: only those are gathered.
-    sums = filled.groupBy("f", "record").agg(F.count("*").alias("n"))
-    filled = store(filled.join(sums, ["f", "record"]), "warc-owner")
-    met = pieces.join(filled, (F.col("file") == F.col("f")) & (F.col("offset") == F.col("o")))
-    one = met.filter("n = 1").select("file", "offset", "piece")
-    parts = F.array_join(F.array_sort(F.collect_list(F.struct("offset", "piece")))["piece"], MAGIC)
-    many = met.filter("n > 1").groupBy("file", "record").agg(parts.alias("piece")).withColumnRenamed("record", "offset")
-    both = one.unionByName(many).withColumn("header", header)
-    data = F.col("piece").cast("binary")
-    body = data.substr((F.octet_length("header") + len(GAP) + 1).cast("int"), _field(F.col("header"), "Content-Length").cast("int"))
-    return both.select("file", "offset", "header", body.alias("payload"))
+    filled = owner.join(torn, F.col("file") == F.col("f"), "left_semi")
+    filled = filled.withColumn("record", F.last("record", ignorenulls=True).over(order)).filter("record is not null")
+    filled = store(filled.select(F.col("file").alias("f"), F.col("offset").alias("o"), "record"), "warc-filled")
+    parts = _placed(scanned.join(torn, F.col("file") == F.col("f"), "left_semi"))
+    parts = parts.join(filled, (F.col("file") == F.col("f")) & (F.col("offset") == F.col("o")))
+    joined = F.array_join(F.array_sort(F.collect_list(F.struct("offset", "piece")))["piece"], MAGIC)
+    mended = parts.groupBy("file", "record").agg(joined.alias("piece"), F.min_by("jump", "offset").alias("jump"))
+    both = clean.unionByName(mended.filter(F.col("jump").isNotNull()).select("piece"))
+    both = both.withColumn("header", F.substring_index("piece", GAP, 1))
+    start = F.octet_length("header") + len(GAP) + 1
+    body = F.col("piece").cast("binary").substr(start.cast("int"), _field(F.col("header"), "Content-Length").cast("int"))
+    return both.select("header", body.alias("payload"))
 
 
 def page_records(spark: SparkSession, path: str) -> DataFrame:
