@@ -45,7 +45,7 @@ def has_letter(text: str | None) -> bool:
 
 def gram_counts(texts: list[str]) -> np.ndarray:
     """Counts of hashed n-grams of whole texts, a row per text. Work space does not grow with a text."""
-    parts = [b" " + t.lower().encode("utf-8", "replace").translate(_BLANK) + b" " for t in texts]
+    parts = [b"  " + t.lower().encode("utf-8", "replace").translate(_BLANK) + b" " for t in texts]
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     raw = np.frombuffer(b"".join(parts) + b"  ", dtype=np.uint8)
     ends = np.cumsum(sizes)
