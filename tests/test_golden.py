@@ -66,7 +66,7 @@ def test_distinct_entries_ignore_messages_only(spark):
 
 @pytest.mark.parametrize("distinct", [False, True])
 def test_wrong_field_count(spark, distinct):
-    for bad in ("G|stop_gained|HIGH", ann() + "|x"):
+    for bad in ("G|stop_gained|HIGH", ann() + "|x", ann().rsplit("|", 1)[0]):
         raw = flatten.parse_info(record(spark, info=f"ANN={ann()},{bad}"))
         rows = flatten.decompose_alleles(raw)
         assert flatten.explode_ann(rows, distinct=distinct).count() == 1
@@ -126,7 +126,7 @@ def test_gated_join_equals_join_flag_distinct(spark):
     lines = []
     for row, (effect, lof) in enumerate(
         [
-            ("stop_gained", "(77|gene_5|1|1.0),(77|gene_5|2|0.5),(77|gene_5|2|0.5)"),
+            ("stop_gained", "(77|gene_5|1|1.0),(77|gene_5|2|0.5),(77|gene_5|2|0.50)"),
             ("intron_variant", "(77|gene_5|1|1.0),(77|gene_5|2|0.5)"),
             ("stop_gained", None),
         ]
@@ -135,8 +135,8 @@ def test_gated_join_equals_join_flag_distinct(spark):
     raw = lines[0].union(lines[1]).union(lines[2])
     rows = flatten.decompose_alleles(flatten.clean_ids(flatten.parse_info(raw)))
     entries, lof, nmd = flatten.explode_ann(rows), flatten.explode_lof(rows), flatten.explode_nmd(rows)
-    plain = flatten.flag_lof_nmd(flatten.join_lof_nmd(entries, lof, nmd)).distinct()
-    gated = flatten.join_counted_lof_nmd(entries, lof, nmd)
+    plain = flatten.blank_fields(flatten.flag_lof_nmd(flatten.join_lof_nmd(entries, lof, nmd))).distinct()
+    gated = flatten.blank_fields(flatten.join_counted_lof_nmd(entries, lof, nmd))
     assert sorted(map(str, gated.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
@@ -228,7 +228,7 @@ def test_collapse(spark):
 
 def test_override(spark):
     rows = spark.createDataFrame([("9336431", None), ("9336431", "p"), ("1", None)], "Protein_ID string, Protein_Product string")
-    got = [r.Protein_Product for r in genes.annotate_override(rows).collect()]
+    got = [r.Protein_Product for r in genes.annotate_override(rows, {"9336431": "exonuclease I (Exo1)"}).collect()]
     assert got == ["NA;exonuclease I (Exo1)", "p;exonuclease I (Exo1)", None]
 
 
@@ -311,8 +311,8 @@ def test_sample_ids_of_one_side(spark):
 def test_subset_modes(spark):
     records = record(spark, pos=10).union(record(spark, ref="ACGT", pos=8, row=2)).union(record(spark, ref="A" * 2500, pos=1, row=3))
     listed = spark.createDataFrame([("c", 10), ("c", 2000)], "CHROM string, POS int")
-    assert [r.POS for r in sites.subset_sites(records, listed).collect()] == [10]
-    assert sorted(r.POS for r in sites.subset_sites(records, listed, "overlap").collect()) == [1, 8, 10]
+    assert [r.POS for r in sites.subset_sites(records, listed, "pos").collect()] == [10]
+    assert sorted(r.POS for r in sites.subset_sites(records, listed).collect()) == [1, 8, 10]
 
 
 def test_gene_filter_reads_the_gene_field(spark):
@@ -321,3 +321,32 @@ def test_gene_filter_reads_the_gene_field(spark):
     for gene, n in (("gene_9", 0), ("gene_5", 1), ("gene_50", 1), ("gene_0", 0)):
         assert sites.filter_ann_gene(raw, [gene]).count() == n
     assert sites.filter_ann_gene(raw, wanted).count() == 1
+
+
+def test_guessed_types_keep_codes(spark):
+    from varloom.sources.tables import infer_types
+
+    values = {"a": ["007", "1"], "b": ["12d", "1"], "c": ["1e5", "NA"], "d": ["-0.5", ".5"], "e": ["3f", ""], "f": ["0", "10"]}
+    rows = spark.createDataFrame(list(zip(*values.values(), strict=True)), list(values))
+    kinds = dict(infer_types(rows).dtypes)
+    assert kinds == {"a": "string", "b": "string", "c": "double", "d": "double", "e": "string", "f": "double"}
+
+
+def test_misspelt_mode_is_refused(spark):
+    from varloom.params import Params
+
+    with pytest.raises(ValueError, match="mode is one of"):
+        Params(mode="permisive")
+    with pytest.raises(ValueError, match="mode is one of"):
+        flatten.explode_ann(flatten.decompose_alleles(flatten.parse_info(record(spark, info="ANN=" + ann()))), mode="strict")
+
+
+def test_calls_follow_the_format_of_their_record(spark):
+    from varloom.plans import crosses as plans
+
+    rows = spark.createDataFrame(
+        [(1, "GT:AD:DP:GQ:PL", ["1:3,4:7:50:9,0"]), (2, "GT:PL:GQ:PGT:AD:DP", ["1:9,0:50:x:3,4:7"])],
+        "ROW_ID long, FORMAT string, CELLS array<string>",
+    )
+    got = [r.CALLS[0].asDict() for r in plans.with_calls(rows).collect()]
+    assert got[0] == got[1] and got[0]["DP_S"] == 7 and got[0]["PL_ALT"] == 0

@@ -78,7 +78,7 @@ def _samples(i: Inputs) -> DataFrame:
 
 
 def _ranked(i: Inputs, ordered: bool = False) -> DataFrame:
-    return PX.rank_variants(PX.high_calls(i.vcf(), STUDY), _gene_table(i)[1], STUDY, ordered)
+    return PX.rank_variants(PX.calls_at(i.vcf(), _stored_sites(i), STUDY), _stored_genes(i), STUDY, ordered)
 
 
 # Stages hand their result over as a stored table. Queries named after a pipeline compute it from
@@ -134,7 +134,7 @@ def scan_vcf(i: Inputs) -> DataFrame:
 
 @_query
 def scan_vcf_gz(i: Inputs) -> DataFrame:
-    rows = vcf.read_vcf(i.spark, _vcf_text(i, "gzip"), genotypes=False)
+    rows = vcf.read_vcf(i.spark, _vcf_text(i, "gzip"), genotypes=False, spread=True)
     return rows.select("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "INFO")
 
 
@@ -207,11 +207,15 @@ def sites_only(i: Inputs) -> DataFrame:
     return _sites(i).drop("ROW_ID")
 
 
+def _must_not_run() -> DataFrame:
+    raise AssertionError("a finished stage was built again")
+
+
 @_query
 def stage_reuse(i: Inputs) -> DataFrame:
     path = new_path(i.spark, "stage")
     store.stage(i.spark, path, lambda: _alleles(i).select("ROW_ID", *ALLELE, "ALT_IDX", "AF"))
-    return store.stage(i.spark, path, lambda: _alleles(i).limit(0)).drop("ROW_ID")
+    return store.stage(i.spark, path, _must_not_run).drop("ROW_ID")
 
 
 @_query
@@ -262,6 +266,20 @@ def project_columns(i: Inputs) -> DataFrame:
     return kept.select([c for c in kept.columns if c in (*ALLELE, *ENTRY, "ID", "FILTER", "Debug", "S_PL", "S_AD")])
 
 
+@_query
+def bad_records(i: Inputs) -> DataFrame:
+    """Records that were spoilt in a list length, in ANN and in LOF, with the reasons found."""
+    rows = _parsed(i)
+    spoilt = rows.withColumns(
+        {
+            "AC": F.when(F.col("ROW_ID") % 83 == 2, "1,2,3,4").otherwise(F.col("AC")),
+            "ANN": F.when(F.col("ROW_ID") % 97 == 5, F.concat("ANN", F.lit(",x|y"))).otherwise(F.col("ANN")),
+            "LOF": F.when(F.col("ROW_ID") % 89 == 7, "a|b|c").otherwise(F.col("LOF")),
+        }
+    )
+    return L.bad_records(spoilt).select("ROW_ID", "CHROM", "POS", "Reason")
+
+
 @_query
 def explode_lof(i: Inputs) -> DataFrame:
     rows = L.explode_lof(_alleles(i))
@@ -384,7 +402,7 @@ def pretty_labels(i: Inputs) -> DataFrame:
 
 @_query
 def sample_rows(i: Inputs) -> DataFrame:
-    return S.sample_rows(_sites(i), 50000, 42)
+    return S.sample_rows(_sites(i), "ROW_ID", 0.2, 42)
 
 
 # ---- record filters and tallies ----------------------------------------------------------------
@@ -423,12 +441,12 @@ def multiallelic_indels(i: Inputs) -> DataFrame:
 
 @_query
 def variant_counts(i: Inputs) -> DataFrame:
-    return S.variant_counts(i.vcf())
+    return S.variant_counts(i.vcf(), i.header_samples())
 
 
 @_query
 def variant_stats(i: Inputs) -> DataFrame:
-    return S.variant_stats(i.vcf())
+    return S.variant_stats(i.vcf(), i.header_samples())
 
 
 @_query
@@ -465,7 +483,7 @@ def site_list(i: Inputs) -> DataFrame:
 
 @_query
 def subset_sites(i: Inputs) -> DataFrame:
-    return S.subset_sites(i.vcf(), _stored_sites(i)).select(*ALLELE, F.size("CELLS").alias("n_samples"))
+    return S.subset_sites(i.vcf(), _stored_sites(i), "pos").select(*ALLELE, F.size("CELLS").alias("n_samples"))
 
 
 @_query
@@ -578,7 +596,7 @@ def site_allele_summary(i: Inputs) -> DataFrame:
 
 @_query
 def split_calls(i: Inputs) -> DataFrame:
-    rows = C.calls_long(PX.split_calls(i.vcf(), STUDY), i.header_samples())
+    rows = C.calls_long(PX.split_calls(i.vcf(), _stored_sites(i), STUDY), i.header_samples())
     return rows.select(
         "ROW_ID", *ALLELE, "ALT_IDX", "Effect", "N_ALT_GTS", "N_CALLS", "N_ALT_ALLELES", "N_ALT_DISTINCT", "ALT_SUMMARY",
         "Total_Transcripts_LOF", "Percent_Transcripts_LOF", "isLOF", "isNMD", *CALL,

@@ -80,19 +80,16 @@ def site_allele_summary(rows: DataFrame) -> DataFrame:
     """Per (CHROM, POS): ``N_ALT_ALLELES``, the number of annotation rows, ``N_ALT_DISTINCT``, the
     number of alleles, and ``ALT_SUMMARY``, the text ``n:REF>ALT, ...`` in row order.
 
-    The counts combine before the shuffle. The text lists every row of its site, so its size is
-    that of the site.
+    The counts combine before the shuffle, the distinct alleles of a site inside it. The text lists every
+    row of its site, so its size is that of the site; it is not built where it is not selected.
     """
     order = [c for c in ("ROW_ID", "ALT_IDX", "ANN_IDX") if c in rows.columns]
     label = F.concat(F.col("N_ALT_GTS"), F.lit(":"), F.col("REF"), F.lit(">"), F.col("ALT"))
-    entry = F.struct(*order, label.alias("label"), F.concat_ws(">", "REF", "ALT").alias("allele"))
-    grouped = rows.groupBy("CHROM", "POS").agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    return grouped.select(
-        "CHROM",
-        "POS",
-        F.size("_entries").alias("N_ALT_ALLELES"),
-        F.size(F.array_distinct("_entries.allele")).alias("N_ALT_DISTINCT"),
-        F.array_join("_entries.label", ", ").alias("ALT_SUMMARY"),
+    entry = F.struct(*order, label.alias("label"))
+    return rows.groupBy("CHROM", "POS").agg(
+        F.count("*").cast("int").alias("N_ALT_ALLELES"),
+        F.size(F.collect_set(F.concat_ws(">", "REF", "ALT"))).alias("N_ALT_DISTINCT"),
+        F.array_join(F.array_sort(F.collect_list(entry))["label"], ", ").alias("ALT_SUMMARY"),
     )
 
 

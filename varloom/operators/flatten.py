@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from varloom.functions.alleles import variant_type
 from varloom.functions.scoring import any_of
 from varloom.functions.text import blank_to_null
-from varloom.params import ANN_FIELDS, INFO_SCHEMA, LOF_EFFECTS, LOF_FIELDS, NMD_FIELDS
+from varloom.params import ANN_FIELDS, INFO_SCHEMA, LOF_EFFECTS, LOF_FIELDS, MODES, NMD_FIELDS
 
 # What makes LOF and NMD entries belong to an annotation row.
 GENE_KEYS = ["CHROM", "POS", "ALT", "Gene_ID", "Protein_ID"]
@@ -115,6 +115,8 @@ def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SC
 
 def _entries(rows: DataFrame, want: int, mode: str, what: str) -> DataFrame:
     """Split ``_entry`` into ``_parts``. A wrong field count drops the entry or, in failfast mode, ends the job."""
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode}")
     pipes = F.length("_entry") - F.length(F.replace("_entry", F.lit("|"), F.lit("")))
     parts = F.split("_entry", "\\|")
     if mode == "failfast":
@@ -139,16 +141,15 @@ def explode_ann(
     names = list(ANN_FIELDS)
     entries = F.split("ANN", ",")
     if distinct:
-        names = names[:-1]
-        # Cut the last of 16 fields; a short entry keeps its length and fails the count below.
-        cut = F.regexp_replace("ANN", r"((?:^|,)(?:[^|,]*\|){14}[^|,]*)\|[^|,]*(?=,|$)", "$1")
+        # Blank the last of 16 fields; an entry of any other length is as it was and fails the count below.
+        cut = F.regexp_replace("ANN", r"((?:^|,)(?:[^|,]*\|){15})[^|,]*(?=,|$)", "$1")
         entries = F.array_distinct(F.split(cut, ","))
     rest = [c for c in alleles.columns if c != "ANN"]
     rows = alleles.select(*rest, F.posexplode(entries).alias("_pos", "_entry"))
     if matched and mode != "failfast":
         rows = rows.filter(F.col("_entry").startswith(F.concat("ALT", F.lit("|"))))
     rows = _entries(rows, len(names), mode, "ANN")
-    fields = [f"get(_parts, {i}) as {n}" for i, n in enumerate(names)]
+    fields = [f"get(_parts, {i}) as {n}" for i, n in enumerate(names[:-1] if distinct else names)]
     rows = rows.selectExpr(*[f"`{c}`" for c in rest], "_pos + 1 as ANN_IDX", *fields)
     return match_allele(rows) if matched and mode == "failfast" else rows
 
@@ -201,7 +202,8 @@ def join_counted_lof_nmd(
     """
     rows = annotations.withColumn("_counts", any_of(F.col("Effect"), effects) & F.col("HGVS_c").isNotNull())
     for side in (lof, nmd):
-        right = side.distinct().withColumn("_counts", F.lit(True))
+        # Numbers first: 1.0 and 1.00 are one entry.
+        right = blank_fields(side).distinct().withColumn("_counts", F.lit(True))
         rows = rows.join(right, [*GENE_KEYS, "_counts"], "left")
     return flag_lof_nmd(rows.drop("_counts"), effects)
 

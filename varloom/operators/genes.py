@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from varloom.functions.scoring import any_of
 from varloom.functions.text import reloaded
 from varloom.operators.order import fill_down_up
-from varloom.params import NAME_COLUMNS, PRODUCT_OVERRIDES, SEARCH_TERMS
+from varloom.params import NAME_COLUMNS, SEARCH_TERMS
 
 FILLED = ["Protein_ID", "Transcript_ID", "Protein_Product"]
 TEXT_COLUMNS = ["GO", "IPR", "KEGG", "KOG", "Protein_Product"]
@@ -123,7 +123,7 @@ def keep_proteins(df: DataFrame, ids: DataFrame, column: str = "Protein_ID") ->
     return df.join(ids, df[column].cast("string") == ids["Protein_ID"], "left_semi")
 
 
-def annotate_override(genes: DataFrame, overrides: dict[str, str] = PRODUCT_OVERRIDES) -> DataFrame:
+def annotate_override(genes: DataFrame, overrides: dict[str, str]) -> DataFrame:
     """Append text to the product of single proteins; a missing product shows as ``NA``."""
     product = F.col("Protein_Product")
     patched = product

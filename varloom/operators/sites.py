@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -34,9 +33,9 @@ def filter_ann_gene(records: DataFrame, genes: list[str] | DataFrame) -> DataFra
         wanted = "|".join(re.escape(gene) for gene in genes)
         return records.filter(F.col("ANN").rlike(rf"(?:^|,)(?:[^|,]*\|){{4}}(?:{wanted})\|"))
     own = F.transform(F.split("ANN", ","), lambda e: F.get(F.split(e, "\\|"), F.lit(4)))
-    rows = records.withColumn("Gene_ID", F.explode(F.array_distinct(own)))
-    hits = rows.join(genes.select("Gene_ID").distinct(), "Gene_ID", "left_semi").drop("Gene_ID")
-    return hits.dropDuplicates(["ROW_ID"])
+    rows = records.select("ROW_ID", F.explode(F.array_distinct(own)).alias("Gene_ID"))
+    hits = rows.join(genes.select("Gene_ID").distinct(), "Gene_ID", "left_semi")
+    return records.join(hits.select("ROW_ID"), "ROW_ID", "left_semi")
 
 
 def filter_lof_nmd(records: DataFrame) -> DataFrame:
@@ -58,34 +57,37 @@ def multiallelic(records: DataFrame, kind: str, require: str = "all") -> DataFra
     return rows.filter(test("Classes", lambda c: c == kind)).drop("Classes")
 
 
-def subset_sites(records: DataFrame, sites: DataFrame, mode: str = "pos") -> DataFrame:
-    """Records at the listed (CHROM, POS).
+def subset_sites(records: DataFrame, sites: DataFrame, mode: str = "overlap") -> DataFrame:
+    """Records that cover a listed (CHROM, POS) with their REF; with mode ``pos``, records that begin there.
 
-    ``overlap`` also keeps records whose REF reaches a listed position. Records and positions then
-    meet in bins of fixed width, and a bin holds at most one list row per position.
+    For an overlap the ends of records and the positions meet in bins of fixed width; a bin holds at
+    most one list row per position. Only numbers of records go through that join.
     """
     wanted = sites.select("CHROM", F.col("POS").cast("bigint").alias("POS"))
     if mode == "pos":
         return records.join(wanted, ["CHROM", "POS"], "left_semi")
     last = F.col("POS") + F.length("REF") - 1
     bins = F.sequence(F.floor(F.col("POS") / BIN), F.floor(last / BIN))
-    rows = records.withColumn("_bin", F.explode(bins)).alias("r")
+    ends = records.select("ROW_ID", "CHROM", "POS", F.length("REF").alias("_length"), F.explode(bins).alias("_bin"))
+    rows = ends.alias("r")
     listed = wanted.distinct().withColumn("_bin", F.floor(F.col("POS") / BIN)).alias("l")
     reach = (
         (F.col("r.CHROM") == F.col("l.CHROM"))
         & (F.col("r._bin") == F.col("l._bin"))
         & (F.col("l.POS") >= F.col("r.POS"))
-        & (F.col("l.POS") <= F.col("r.POS") + F.length("r.REF") - 1)
+        & (F.col("l.POS") <= F.col("r.POS") + F.col("r._length") - 1)
     )
-    return rows.join(listed, reach, "left_semi").drop("_bin").dropDuplicates(["ROW_ID"])
+    hits = rows.join(listed, reach, "left_semi").select("ROW_ID")
+    return records.join(hits, "ROW_ID", "left_semi")
 
 
-def _n_samples(records: DataFrame) -> Column:
-    """Aggregate: the samples of the records; none when genotypes were dropped."""
-    return F.max(F.size("CELLS")).cast("bigint") if "CELLS" in records.columns else F.lit(0).cast("bigint")
+def _n_samples(header_samples: DataFrame | None) -> Column:
+    """Aggregate: the samples that the header names; none without one. Genotypes are not read."""
+    counted = F.lit(0) if header_samples is None else header_samples.agg(F.count("*")).scalar()
+    return F.max(counted).cast("bigint")
 
 
-def variant_counts(records: DataFrame) -> DataFrame:
+def variant_counts(records: DataFrame, header_samples: DataFrame | None = None) -> DataFrame:
     """One row: samples, sites, and sites with a SNP, an indel, an MNP and any other allele."""
     rows = allele_classes(records)
 
@@ -93,7 +95,7 @@ def variant_counts(records: DataFrame) -> DataFrame:
         return F.count_if(F.array_contains("Classes", kind))
 
     return rows.agg(
-        _n_samples(records).alias("n_samples"),
+        _n_samples(header_samples).alias("n_samples"),
         having("snp").alias("n_snps"),
         having("indel").alias("n_indels"),
         having("mnp").alias("n_mnps"),
@@ -102,7 +104,7 @@ def variant_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def variant_stats(records: DataFrame) -> DataFrame:
+def variant_stats(records: DataFrame, header_samples: DataFrame | None = None) -> DataFrame:
     """Whole-file totals as rows of (Section, n)."""
     rows = allele_classes(records).withColumn("_alts", F.size(F.split("ALT", ",")))
 
@@ -111,7 +113,7 @@ def variant_stats(records: DataFrame) -> DataFrame:
 
     many = F.col("_alts") > 1
     totals = rows.agg(
-        _n_samples(records).alias("samples"),
+        _n_samples(header_samples).alias("samples"),
         F.count("*").alias("records"),
         F.count_if(F.col("ALT") == ".").alias("no-ALTs"),
         having("snp").alias("SNPs"),
@@ -168,16 +170,10 @@ def depth_histogram(records: DataFrame, calls: DataFrame | None = None) -> DataF
     )
 
 
-def sample_rows(df: DataFrame, n: int = 50000, seed: int = 42) -> DataFrame:
-    """A random sample of exactly ``n`` rows, or all when there are fewer.
+def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """The rows whose key hashes into the lowest ``fraction``: the same rows on every run and layout.
 
-    The sample is the ``n`` smallest of one random number per row. Rows far above the place where
-    those must lie are left out before the sort, unless that would leave too few.
+    A filter on the key alone: no count, no sort, and rows of one key stay together.
     """
-    drawn = df.withColumn("_draw", F.rand(seed))
-    cut = (n + 6 * math.sqrt(n) + 10) / max(df.count(), 1)
-    if cut < 1:
-        low = drawn.filter(F.col("_draw") < cut)
-        if low.count() >= n:
-            drawn = low
-    return drawn.orderBy("_draw").limit(n).drop("_draw")
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(key))), 1, 8), 16, 10).cast("bigint")
+    return df.filter(drawn < round(fraction * 2**32))

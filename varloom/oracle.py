@@ -80,8 +80,6 @@ _MORE = {
  join call_counts c on x.k = c.k and x.ALT_IDX = c.ALT_IDX group by all""",
     "site_summary": """select CHROM, POS, cast(count(*) as int) as N_ALT_ALLELES, cast(count(distinct (REF, ALT)) as int) as N_ALT_DISTINCT,
  string_agg(N_ALT_GTS || ':' || REF || '>' || ALT, ', ' order by k, ALT_IDX, ANN_N) as ALT_SUMMARY from call_rows group by CHROM, POS""",
-    "high_calls": """select r.*, s.N_ALT_ALLELES, s.N_ALT_DISTINCT, s.ALT_SUMMARY from call_rows r join site_summary s on r.CHROM = s.CHROM and r.POS = s.POS
- where Impact = 'HIGH'""",
     "gff_wide": """select _row, CHROM, Type, feature_start, feature_end, Strand, Phase, nullif(regexp_extract(Attributes, '(?:^|;)ID=([^;]*)', 1), '') as ID,
  nullif(regexp_extract(Attributes, 'proteinId=([^;]*)', 1), '') as Protein_ID, nullif(regexp_extract(Attributes, 'transcriptId=([^;]*)', 1), '') as Transcript_ID,
  coalesce(nullif(regexp_extract(Attributes, 'Parent=([^;]*)', 1), ''), nullif(regexp_extract(Attributes, '(?:^|;)ID=([^;]*)', 1), '')) as Parent,
@@ -111,6 +109,12 @@ _MORE = {
  nullif(nullif(KOG, ''), 'NA') as KOG, nullif(nullif(Protein_Product, ''), 'NA') as Protein_Product) from genes where Type = 'gene'""",
     "listed": """select distinct a.CHROM, a.POS from ann a join genes g on a.CHROM = g.CHROM and a.Protein_ID = g.Protein_ID and a.Gene_ID = g.Gene_ID
  where a.Impact = 'HIGH' and a.POS between g.feature_start and g.feature_end""",
+    "covered": """select distinct s.k from sites s join listed l on l.CHROM = s.CHROM and l.POS between s.POS and s.POS + length(s.REF) - 1""",
+    "covered_rows": "select * from call_rows where k in (select k from covered)",
+    "covered_summary": """select CHROM, POS, cast(count(*) as int) as N_ALT_ALLELES, cast(count(distinct (REF, ALT)) as int) as N_ALT_DISTINCT,
+ string_agg(N_ALT_GTS || ':' || REF || '>' || ALT, ', ' order by k, ALT_IDX, ANN_N) as ALT_SUMMARY from covered_rows group by CHROM, POS""",
+    "high_calls": """select r.*, s.N_ALT_ALLELES, s.N_ALT_DISTINCT, s.ALT_SUMMARY from covered_rows r join covered_summary s on r.CHROM = s.CHROM and r.POS = s.POS
+ where Impact = 'HIGH'""",
     "ranked0": f"""select v.*, g.GO, g.IPR, g.KEGG, g.KOG, g.Protein_Product, g.ID from high_calls v left join gene_rows g
  on v.CHROM = g.CHROM and v.Protein_ID = g.Protein_ID and v.Gene_ID = g.Gene_ID where v.N_ALT_GTS > 1""",
     "ranked1": f"select *, {_EFFECT_RANK} as Effect_Rank, {_MERGED} as Annotations from ranked0",
@@ -192,6 +196,9 @@ _TEXTS = {
     "explode_ann": f"select {_ALLELE}, ALT_IDX, ANN_IDX::int as ANN_IDX, {_ENTRY}, Debug from ann",
     "match_allele": f"select {_ALLELE}, ALT as Allele, Effect, Gene_ID from ann",
     "project_columns": f"select {_ALLELE}, {_ENTRY} from ann",
+    "bad_records": """select k as ROW_ID, CHROM, POS, Reason from (select k, CHROM, POS, concat_ws(', ', case when k % 83 = 2 then 'AC length' end,
+ case when k % 97 = 5 then 'ANN fields' end, case when k % 89 = 7 then 'LOF fields' end) as Reason from sites) where Reason <> ''""",
+    "sample_rows": """select * exclude (FORMAT, ALT2) from vcf where ('0x' || substr(md5('42|' || ROW_ID), 1, 8))::bigint < round(0.2 * 4294967296)""",
     "explode_lof": "select CHROM, POS, ALT, Protein_ID, Gene_ID, Total_Transcripts_LOF, Percent_Transcripts_LOF from exp_lof",
     "explode_nmd": "select CHROM, POS, ALT, Protein_ID, Gene_ID, Total_Transcripts_NMD, Percent_Transcripts_NMD from exp_nmd",
     "join_lof_nmd": f"select {_ALLELE}, ALT_IDX, ANN_IDX::int as ANN_IDX, Effect, Gene_ID, {_LOSS} from ({_ALL_LOST})",

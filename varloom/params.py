@@ -65,7 +65,6 @@ NMD_FIELDS = ["Protein_ID", "Gene_ID", "Total_Transcripts_NMD", "Percent_Transcr
 # FORMAT fields, in order: column here -> FORMAT key.
 CALL_FIELDS: dict[str, str] = {"GT": "GT", "AD": "AD", "DP_S": "DP", "GQ": "GQ", "PL": "PL"}
 
-GFF_FIELDS = ["CHROM", "Source", "Type", "Start", "End", "Score", "Strand", "Phase", "Attributes"]
 
 # Annotation table -> name column.
 NAME_COLUMNS = {"GO": "goName", "IPR": "iprDesc", "KEGG": "definition", "KOG": "kogdefline"}
@@ -140,17 +139,20 @@ EFFECT_SEVERITY: dict[str, int] = {
     "intron_variant": 13,
 }
 
-# Text added to the product of single proteins.
-PRODUCT_OVERRIDES = {"9336431": "exonuclease I (Exo1)"}
-
 # --------------------------------------------------------------------------------------------
 
 
+# What to do with entries of a wrong field count.
+MODES = ("failfast", "permissive")
+
+
 @dataclass(frozen=True)
 class Params:
     """Study settings.
 
     ``ann_prefix`` is removed from ANN and ``list_prefix`` from LOF and NMD, both as plain text.
+    ``product_overrides`` maps protein IDs to text added to their product. ``mode`` says what an entry of
+    a wrong field count does: end the job, or be left out and reported by ``bad_records``.
     """
 
     ann_prefix: str | None = None
@@ -160,7 +162,7 @@ class Params:
     search_terms: tuple[str, ...] = tuple(SEARCH_TERMS)
     term_rank: dict[str, int] = field(default_factory=lambda: dict(TERM_RANK))
     severity: dict[str, int] = field(default_factory=lambda: dict(EFFECT_SEVERITY))
-    product_overrides: dict[str, str] = field(default_factory=lambda: dict(PRODUCT_OVERRIDES))
+    product_overrides: dict[str, str] = field(default_factory=dict)
     impact: str = "HIGH"
     min_alt_genotypes: int = 2
     max_af: float = 0.15
@@ -170,4 +172,8 @@ class Params:
     samples_per_sex: int = 2
     strict_sexes: bool = True
     per_sample: bool = False
-    mode: str = "permissive"
+    mode: str = "failfast"
+
+    def __post_init__(self) -> None:
+        if self.mode not in MODES:
+            raise ValueError(f"mode is one of {', '.join(MODES)}, not {self.mode}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.operators import calls, crosses, flatten, ranking
 from varloom.operators.genes import annotate_variants
-from varloom.operators.sites import sites_only
+from varloom.operators.sites import sites_only, subset_sites
 from varloom.params import Params
 from varloom.plans.annotations import having, lof_and_nmd, parsed_records
 
@@ -43,14 +43,19 @@ def high_calls(records: DataFrame, params: Params) -> DataFrame:
     return high.filter(F.col("Impact") == params.impact).join(summary, ["CHROM", "POS"])
 
 
+def calls_at(records: DataFrame, sites: DataFrame, params: Params) -> DataFrame:
+    """:func:`high_calls` of the records that cover a site of the list; the others are left out first."""
+    return high_calls(subset_sites(records, sites), params)
+
+
 def with_calls(variants: DataFrame) -> DataFrame:
     """Turn the cells into typed calls: ``CALLS``, one struct per sample."""
-    return calls.ref_alt_depth(calls.parse_calls(variants)).drop("FORMAT")
+    return calls.ref_alt_depth(calls.parse_calls(variants, by_format="FORMAT" in variants.columns)).drop("FORMAT")
 
 
-def split_calls(records: DataFrame, params: Params) -> DataFrame:
-    """The stored form of :func:`high_calls`, with typed calls."""
-    return with_calls(high_calls(records, params))
+def split_calls(records: DataFrame, sites: DataFrame, params: Params) -> DataFrame:
+    """The stored form of :func:`calls_at`, with typed calls."""
+    return with_calls(calls_at(records, sites, params))
 
 
 def rank_variants(variants: DataFrame, gene_table: DataFrame, params: Params, ordered: bool = True) -> DataFrame:
@@ -68,7 +73,8 @@ def sample_calls(ranked: DataFrame, header_samples: DataFrame, samples: DataFram
     Takes variants with their cells or with typed calls. Cells are split after they are exploded.
     """
     typed = "CALLS" in ranked.columns
-    rows = calls.calls_long(ranked, header_samples) if typed else calls.cells_long(ranked, header_samples)
+    by_format = "FORMAT" in ranked.columns
+    rows = calls.calls_long(ranked, header_samples) if typed else calls.cells_long(ranked, header_samples, by_format)
     return crosses.calls_with_sample(rows.drop("AD", "PL", "FORMAT"), samples)
 
 

@@ -86,10 +86,14 @@ def write_tsv(df: DataFrame, path: str, header: bool = True, compressed: bool =
     writer.csv(path, header=header, compression="gzip" if compressed else "none")
 
 
+NUMBER = r"^[+-]?(?:(?:0|[1-9][0-9]*)(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Cast text columns to boolean or double where every value allows it.
 
-    Empty text and ``NA`` are missing. One pass over the data gives two flags per column.
+    Empty text and ``NA`` are missing. A number has no leading zeros and no suffix: ``007`` and ``12d``
+    are codes and stay text. One pass over the data gives two flags per column.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
@@ -99,7 +103,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     for i, name in enumerate(texts):
         value = reloaded(F.col(f"`{name}`"))
         tests.append(F.bool_and(value.isin(logical)).alias(f"l{i}"))
-        tests.append(F.bool_and(value.isNull() | value.try_cast("double").isNotNull()).alias(f"n{i}"))
+        tests.append(F.bool_and(value.isNull() | value.rlike(NUMBER)).alias(f"n{i}"))
     seen = df.agg(*tests).first()
     out = {}
     for i, name in enumerate(texts):

@@ -26,18 +26,16 @@ def parse_lines(lines: DataFrame, genotypes: bool = True) -> DataFrame:
     return cut.select(*rest, *[c.alias(n) for n, c in columns.items()])
 
 
-def read_vcf(spark: SparkSession, path: str, genotypes: bool = True, partitions: int | None = None) -> DataFrame:
+def read_vcf(spark: SparkSession, path: str, genotypes: bool = True, spread: bool = False) -> DataFrame:
     """Records of a VCF, plain or compressed, with ``ROW_ID`` in file order.
 
-    A gzip file is one task, whatever its size. Its lines are spread right after the scan, over
-    ``partitions`` or the cluster's parallelism; write them to Parquet once and read that after.
+    A gzip file is one task, whatever its size. ``spread`` deals its lines out by their number right after
+    the scan, over as many tasks as adaptive execution finds fit; write them to Parquet once and read that
+    after.
     """
-    lines = spark.read.text(path)
-    numbered = lines.select(F.monotonically_increasing_id().alias("ROW_ID"), "value")
-    if partitions is None and any(f.endswith((".gz", ".bgz")) for f in lines.inputFiles()):
-        partitions = spark.sparkContext.defaultParallelism
-    if partitions:
-        numbered = numbered.repartition(partitions)
+    numbered = spark.read.text(path).select(F.monotonically_increasing_id().alias("ROW_ID"), "value")
+    if spread:
+        numbered = numbered.repartition("ROW_ID")
     return parse_lines(numbered, genotypes)
 
 
