@@ -155,8 +155,9 @@ def test_best_calls_first_or_both_sexes_first(spark, inputs):
 def test_stored_calls_give_the_same_crosses(inputs):
     records, table = inputs.vcf(), catalog._stored_genes(inputs)
     args = (inputs.header_samples(), crosses.sample_index(inputs.samples()), STUDY)
-    from_cells = PX.cross_table(PX.rank_variants(PX.high_calls(records, STUDY), table, STUDY, False), *args)
-    from_calls = PX.cross_table(PX.rank_variants(PX.split_calls(records, STUDY), table, STUDY, False), *args)
+    listed = catalog._stored_sites(inputs)
+    from_cells = PX.cross_table(PX.rank_variants(PX.calls_at(records, listed, STUDY), table, STUDY, False), *args)
+    from_calls = PX.cross_table(PX.rank_variants(PX.split_calls(records, listed, STUDY), table, STUDY, False), *args)
     columns = ["Cross", "ROW_ID", "ALT_IDX", "ANN_IDX", "Comb_Rank"]
     assert sorted(map(str, from_cells.select(columns).collect())) == sorted(map(str, from_calls.select(columns).collect()))
 
@@ -215,7 +216,7 @@ def test_annotation_table_and_typed_reload(spark, tmp_path):
 
 
 def test_report_form(spark, inputs):
-    rows = PX.split_calls(inputs.vcf(), STUDY)
+    rows = PX.split_calls(inputs.vcf(), catalog._stored_sites(inputs), STUDY)
     wide = store.calls_wide(store.report_names(rows), list(range(101, 126)))
     assert "101_GT" in wide.columns and "125_PL_ALT" in wide.columns and "HGVS.c" in wide.columns
     assert wide.limit(1).collect()
@@ -226,3 +227,63 @@ def test_parameters_are_used(inputs):
     args = (inputs.header_samples(), crosses.sample_index(inputs.samples()))
     strict = PX.good_calls(ranked, *args, Params(max_af=0.05, min_depth=20)).agg(F.max("AF"), F.min("DP_S")).first()
     assert strict[0] <= 0.05 and strict[1] >= 20
+
+
+def test_order_over_files_of_unequal_size(spark, tmp_path):
+    from varloom.sources import tables
+
+    at = 0
+    for name, size in (("a", 3), ("b", 900), ("c", 40)):
+        lines = ["##x", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+        lines += [f"c\t{at + i}\t.\tA\tG\t.\tPASS\tAC=1" for i in range(size)]
+        (tmp_path / f"{name}.vcf").write_text("\n".join(lines) + "\n")
+        gff = [f"c\ts\tgene\t{at + i}\t{at + i}\t.\t+\t.\tID=g{at + i}" for i in range(size)]
+        (tmp_path / f"{name}.gff").write_text("\n".join(gff) + "\n")
+        at += size
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2KB")
+    try:
+        rows = vcf.read_vcf(spark, str(tmp_path / "*.vcf"), genotypes=False).orderBy("ROW_ID").collect()
+        features = tables.read_gff(spark, str(tmp_path / "*.gff")).orderBy("_row").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.POS for r in rows] == [r.Start for r in features] == list(range(at))
+    assert [r._row for r in features] == list(range(at))
+
+
+def test_text_sample_names_are_kept_or_refused(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "a.vcf"
+    path.write_text("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\t8\n")
+    with pytest.raises(ValueError, match="s1"):
+        vcf.vcf_samples(spark, str(path))
+    assert [r.SampleID for r in vcf.vcf_samples(spark, str(path), numbers=False).collect()] == ["s1", "8"]
+
+
+def test_tallies_do_not_read_genotypes(inputs):
+    for tally in (sites.variant_counts, sites.variant_stats):
+        text = plan(tally(inputs.vcf(), inputs.header_samples()))
+        assert "CELLS" not in text
+
+
+def test_a_whole_study_writes_its_reports(spark, inputs, tmp_path):
+    from varloom.plans.study import Files, run_study
+    from varloom.sources import tables
+
+    text = catalog._vcf_text(inputs)
+    inputs.gff().orderBy("_row").drop("_row").write.csv(str(tmp_path / "gff"), sep="\t", quote="")
+    for source, table in inputs.annotation_tables().items():
+        missing = "NA" if source == "GO" else "\\N"
+        named = table.orderBy("_row").drop("_row").withColumnRenamed("proteinId", "#proteinId")
+        named.coalesce(1).write.csv(str(tmp_path / f"set1_{source}.1.tab.gz"), sep="\t", header=True, nullValue=missing)
+    inputs.curated().write.csv(str(tmp_path / "curated"), header=True)
+    inputs.samples().write.csv(str(tmp_path / "metadata"), header=True)
+    files = Files(text, str(tmp_path / "gff"), str(tmp_path), "set1", str(tmp_path / "curated"), str(tmp_path / "metadata"))
+    paths = run_study(spark, files, str(tmp_path / "out"), STUDY)
+    read = lambda name: spark.read.csv(paths[name], sep="\t", header=True)
+    want = {tuple(r) for r in catalog.queries()["cross_list"](spark, "/root/testdata/sf0.001").select("Rank", "Cross").collect()}
+    assert {(int(r.Rank), r.Cross) for r in read("cross_list").collect()} == want
+    listed = catalog._stored_sites(inputs)
+    assert spark.read.csv(paths["sites"], sep="\t").count() == listed.count()
+    assert vcf.read_vcf(spark, paths["subset_vcf"]).count() == sites.subset_sites(inputs.vcf(), listed).count()
+    assert tables.read_typed(spark, paths["split_annotations"], "CHROM string").count() == catalog._stored_split(inputs).count()

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from varloom.functions.text import reloaded
 from varloom.params import NAME_COLUMNS
+from varloom.sources.files import in_file_order
 
 GFF_SCHEMA = (
     "CHROM string, Source string, Type string, Start bigint, End bigint, "
@@ -28,7 +29,7 @@ COLUMN_TYPES = {
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     """Features of a GFF3 file, with ``_row`` in file order."""
     rows = spark.read.schema(GFF_SCHEMA).csv(path, sep="\t", comment="#", quote="")
-    return rows.select(F.monotonically_increasing_id().alias("_row"), "*")
+    return in_file_order(rows, "_row")
 
 
 def read_annotation_table(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -39,7 +40,7 @@ def read_annotation_table(spark: SparkSession, path: str, source: str) -> DataFr
     lines = spark.read.text(path)
     first = lines.first()["value"]
     names = [n.strip('"').replace("#", "") for n in first.split("\t")]
-    numbered = lines.select(F.monotonically_increasing_id().alias("_row"), "value")
+    numbered = in_file_order(lines, "_row")
     parts = numbered.filter(F.col("value") != first).select("_row", F.split("value", "\t").alias("_f"))
 
     def field(i: int):

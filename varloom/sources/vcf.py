@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.params import VCF_FIXED
+from varloom.sources.files import in_file_order
 
 
 def parse_lines(lines: DataFrame, genotypes: bool = True) -> DataFrame:
@@ -33,7 +34,7 @@ def read_vcf(spark: SparkSession, path: str, genotypes: bool = True, spread: boo
     the scan, over as many tasks as adaptive execution finds fit; write them to Parquet once and read that
     after.
     """
-    numbered = spark.read.text(path).select(F.monotonically_increasing_id().alias("ROW_ID"), "value")
+    numbered = in_file_order(spark.read.text(path), "ROW_ID")
     if spread:
         numbered = numbered.repartition("ROW_ID")
     return parse_lines(numbered, genotypes)
@@ -44,16 +45,20 @@ def vcf_header(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.col("value").startswith("#"))
 
 
-def vcf_samples(spark: SparkSession, path: str) -> DataFrame:
+def vcf_samples(spark: SparkSession, path: str, numbers: bool = True) -> DataFrame:
     """Sample IDs at their place in the header: ``SAMPLE_POS, SampleID``.
 
+    IDs are numbers; a name that is none is refused, unless ``numbers`` is off, which keeps IDs as text.
+
     The column line is near the start of the file, and ``first`` stops where it finds it.
     """
     line = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).first()
     names = line["value"].split("\t")[9:] if line else []
-    return spark.createDataFrame(list(enumerate(names)), "SAMPLE_POS int, SampleID string").select(
-        "SAMPLE_POS", F.col("SampleID").try_cast("bigint").alias("SampleID")
-    )
+    odd = [n for n in names if numbers and not n.isdecimal()]
+    if odd:
+        raise ValueError(f"sample names that are no numbers, such as {odd[0]}: read them with numbers=False")
+    rows = spark.createDataFrame(list(enumerate(names)), "SAMPLE_POS int, SampleID string")
+    return rows.withColumn("SampleID", F.col("SampleID").cast("bigint")) if numbers else rows
 
 
 def to_lines(records: DataFrame) -> DataFrame:
