@@ -446,7 +446,8 @@ def near_classes(
     sums = met.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size")
     )
-    met = met.select("doc_id", "raw_hash", "copies", "class").join(sums, "class", "left")
+    # Stored, so that the join deals both sides itself and can split a class that very many rows have.
+    met = met.select("doc_id", "raw_hash", "copies", "class").join(store(sums, "near-sums"), "class", "left")
     alone = F.col("class").isNull()
     met = met.withColumn("class_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")))
     return met.withColumn("class_size", F.when(alone, F.lit(1)).otherwise(F.col("class_size")))
