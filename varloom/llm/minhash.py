@@ -44,6 +44,8 @@ RARE = 0.01
 LEAST_IDF = 0.8
 #: Samples of the finer sketches of nodes that are compared across classes.
 FINE = 512
+#: Prefixes of up to so many shingles are compared to find the first one shared.
+SHORT = 256
 BIN_BITS = 18
 #: Words whose hashes a Python worker remembers; only speed depends on it.
 REMEMBERED = 1_000_000
@@ -364,11 +366,18 @@ def _prefix_pairs(
     heads = sizes.groupBy("shingle").agg(F.max(F.struct("n", "label")).alias("head"), F.count("*").alias("labels"))
     heads = heads.filter("labels > 1").select("shingle", F.col("head.label").alias("head"))
     held = store(held.join(heads, "shingle"), "prefixes")
-    odd = held.filter("label != head").select("shingle", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("sketch").alias("xs"))
-    rest = held.select(F.col("shingle").alias("s"), F.col("node").alias("y"), F.col("label").alias("yl"), F.col("sketch").alias("ys"), "head")
+    # Two nodes may share many shingles: where both lists are short, the lowest they share stands for all.
+    lists = held.groupBy("node").agg(F.collect_list("shingle").alias("tokens"))
+    lists = lists.select("node", F.when(F.size("tokens") <= SHORT, F.col("tokens")).alias("tokens"))
+    held = held.join(lists, "node")
+    odd = held.filter("label != head").select("shingle", F.col("node").alias("x"), F.col("label").alias("xl"), F.col("sketch").alias("xs"), F.col("tokens").alias("xt"))
+    rest = held.select(
+        F.col("shingle").alias("s"), F.col("node").alias("y"), F.col("label").alias("yl"), F.col("sketch").alias("ys"), "head", F.col("tokens").alias("yt")
+    )
     # Two odd nodes meet twice and are taken once.
     once = (F.col("x") < F.col("y")) | (F.col("yl") == F.col("head"))
     apart = (F.col("shingle") == F.col("s")) & (F.col("xl") != F.col("yl")) & once & (differing("xs", "ys") <= far)
+    apart = apart & F.coalesce(F.array_min(F.array_intersect("xt", "yt")) == F.col("shingle"), F.lit(True))
     return odd.join(rest, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
