@@ -245,10 +245,10 @@ def sequences(docs: DataFrame, placed: DataFrame, path: str, doc_id: str = "doc_
         F.array_join(F.array_sort(F.collect_list(F.struct("offset", piece.alias("piece"))))["piece"], "").alias("hex"),
         F.sum("length").alias("used"),
     )
-    spot = F.sequence(F.lit(0), F.length("hex") / 8 - 1)
+    spot = F.sequence(F.lit(0), (F.length("hex") / 8 - 1).cast("int"))
     little = lambda i: F.substring(F.col("hex"), i * 8 + 1, F.lit(8))
     swapped = lambda h: F.concat(*(F.substring(h, p, 2) for p in (7, 5, 3, 1)))
-    ids = F.transform(spot.cast("array<int>"), lambda i: F.conv(swapped(little(i)), 16, 10).cast("int"))
+    ids = F.transform(spot, lambda i: F.conv(swapped(little(i)), 16, 10).cast("int"))
     two = F.bin("used").rlike("^10*$")
     padding = F.array_repeat(F.lit(pad), F.when(two, F.lit(0)).otherwise(F.lit(window) - F.col("used")).cast("int"))
     return one.select("sequence_id", F.concat(ids, padding).alias("ids"), "used")
