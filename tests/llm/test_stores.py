@@ -182,6 +182,17 @@ def test_neighbours_of_tiny_and_empty_tables(spark):
     assert neighbours.nearest(table.limit(0), lambda i: i == 0).count() == 0
 
 
+def test_search_ends_when_the_whole_beam_is_expanded(spark):
+    angle = np.linspace(1.5, 0, 12)
+    vecs = [np.array([np.cos(a), np.sin(a)], dtype=np.float16).tobytes() for a in angle]
+    nodes = spark.createDataFrame([(i, v) for i, v in enumerate(vecs)], "node long, vec binary")
+    chain = [(i, [(0.0, i + 1)]) for i in range(11)]
+    graph = spark.createDataFrame(chain, "node long, list array<struct<sim: float, other: long>>")
+    queries = spark.createDataFrame([(100, vecs[-1], [0])], "query long, vec binary, start array<long>")
+    (row,) = neighbours.greedy_search(graph, nodes, queries, beam=4, step=1).collect()
+    assert [e.other for e in row.list] == [11, 10, 9, 8] and all(e.done for e in row.list)
+
+
 def test_pipeline_stages_hold_what_they_say(spark):
     import corpus_pipeline
 
