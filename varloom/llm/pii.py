@@ -29,16 +29,28 @@ SYLLABLES = {
 _ALL_TITLES = "|".join(TITLES[g] for g in TITLES)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _EDGE = r"(?<![\p{L}\p{N}])"
+_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}"
+_IP = r"(?<![\d.])" + rf"(?:{_OCTET}\.){{3}}{_OCTET}" + r"(?!\.?\d)"
+_CARD = r"(?<![\d+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])"
+_SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+# No group of a phone starts another entity; of a longer run of groups of four, the last four may be a card.
+_OTHER = rf"(?!{_EMAIL}|{_IP}|{_CARD}(?! \d{{4}})|{_SSN})"
+# A number of a plan that is not known: 6 to 15 digits, counted backwards; a look-behind takes no repeated group.
+_DIGIT = r"[ .()-]{0,2}\d"
+_COUNTED = rf"(?<=\+{_DIGIT * 6}{f'(?:{_DIGIT}' * 9}{')?' * 9})"
+_ABROAD = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?%s\d{2,4}){2,4}(?!\d)" + _COUNTED
 #: Types in the order in which they are tried at a place.
 PATTERNS = {
     "secret": r"(?<=(?:token|secret|passw(?:or)?d|api_?key|access_key) ?[=:] ?[\"'])[\w+/=.-]{12,}(?=[\"'])"
     r"|" + _EDGE + r"(?:AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?![A-Za-z0-9])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "ip": r"(?<![\d.])" + rf"(?:{_OCTET}\.){{3}}{_OCTET}" + r"(?!\.?\d)",
+    "email": _EMAIL,
+    "ip": _IP,
     "iban": _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "card": r"(?<![\d+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\p{L}\p{N}(])\(\d{3}\) ?\d{3}[ -]\d{4}(?!\d)",
+    "card": _CARD,
+    "ssn": _SSN,
+    # Country code 1 is 3-3-4 digits. Other numbers end before another entity, unless nothing would be left.
+    "phone": r"(?<![\p{L}\p{N}])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|" + f"{_ABROAD % _OTHER}|{_ABROAD % ''})"
+    r"|(?<![\p{L}\p{N}(])\(\d{3}\) ?\d{3}[ -]\d{4}(?!\d)",
     "name": _EDGE + rf"(?:{_ALL_TITLES})\.? \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
 }
 COMBINED = "|".join(f"(?:{p})" for p in PATTERNS.values())
