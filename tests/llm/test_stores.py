@@ -159,6 +159,16 @@ def test_phones_end_before_what_follows(spark):
     assert got[len(pairs) :] == [["+1 (826) 555-4081"], ["+44 20 7946 0958"], ["+33 1 23.45.67.89"]]
 
 
+def test_surrogate_names_are_not_names_of_the_corpus(spark, monkeypatch):
+    entities = spark.createDataFrame([("name", "m:james badefigo"), ("name", "m:john smith")], "kind string, canon string")
+
+    def narrow(kind, canon, attempt, key=pii.KEY):
+        return F.when((attempt == 0) & canon.endswith("smith"), "James Badefigo").otherwise(F.concat(F.lit("Paul "), F.initcap(F.substring(canon, 3, 2))))
+
+    monkeypatch.setattr(pii, "surrogate", narrow)
+    assert {r.canon: r.other for r in pii.dictionary(entities).collect()} == {"m:james badefigo": "Paul Ja", "m:john smith": "Paul Jo"}
+
+
 def test_surrogates_on_odd_tables(docs, empty):
     assert pii.replace_personal_data(docs).count() == docs.count()
     assert pii.replace_personal_data(empty).count() == 0

@@ -196,17 +196,24 @@ def found(text: Column) -> Column:
     return F.when(F.coalesce(text.rlike(GUARD), F.lit(False)), F.regexp_extract_all(text, F.lit(COMBINED), F.lit(0))).otherwise(none)
 
 
+def _plain(kind: Column, text: Column) -> Column:
+    """An entity or a replacement in the one form in which the two compare: a name in lower case, without gender."""
+    return F.when(kind == "name", F.regexp_replace(F.lower(text), "^[mfn]:", "")).when(kind == "email", F.lower(text)).otherwise(text)
+
+
 def dictionary(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, canon, other`` from distinct ``kind, canon``: replacements that no other entity has or is.
 
     Every round draws for those that are still without; of entities that draw alike the first of them
     keeps it. Rounds are written tables; almost always there are one or two.
     """
+    kind = F.col("kind")
+    taken = entities.select("kind", _plain(kind, F.col("canon")).alias("plain")).distinct()
     todo, done, attempt = entities.select("kind", "canon"), None, 0
     while True:
-        drawn = todo.withColumn("other", surrogate(F.col("kind"), F.col("canon"), F.lit(attempt), key))
+        drawn = todo.withColumn("other", surrogate(kind, F.col("canon"), F.lit(attempt), key))
         own = drawn.groupBy("kind", "other").agg(F.min("canon").alias("canon"))
-        own = own.filter("other != canon").join(entities.select("kind", F.col("canon").alias("other")), ["kind", "other"], "left_anti")
+        own = own.withColumn("plain", _plain(kind, F.col("other"))).join(taken, ["kind", "plain"], "left_anti")
         if done is not None:
             own = own.join(done.select("kind", "other"), ["kind", "other"], "left_anti")
         own = store(own.select("kind", "canon", "other"), "surrogates")
