@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages", "benchmark"]
 
 
 @pytest.fixture(scope="module")
