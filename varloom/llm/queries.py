@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varloom.llm import exact, language, minhash, mixing, neighbours, packing, pii, quality, resharding, warc
+from varloom.llm import exact, language, minhash, mixing, neighbours, packing, phrases, pii, quality, resharding, search, secret_scan, warc
 from varloom.llm.common import hash_fold, small_batches
 from varloom.session import new_path
 
@@ -107,8 +107,26 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words belong together most."""
+    return phrases.collocations(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that rank first for every benchmark item."""
+    items = _table(spark, sf_dir, "benchmark", "item_id", "text")
+    return search.rank_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), items)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document by kind, with their places."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    told = small_batches(docs).select("doc_id", secret_scan.find_secrets(F.col("text")).alias("told"))
+    return told.select("doc_id", "told.n_assign", "told.n_access", "told.n_hex", F.sha2("told.base", 256).alias("base_sha256"), "told.spans")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_language_id, op4_resharding, op5_pii, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash)}
+    return {f.__name__: f for f in (op1_mixing, op2_neighbours, op3_language_id, op4_resharding, op5_pii, op6_quality, op7_warc, op8_packing, op9_exact_dedup, op10_minhash, op11_phrases, op12_search, op13_secrets)}
 
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
@@ -169,5 +187,104 @@ from b
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+grams as (
+  select lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+  from w, unnest([1, 2, 3, 4, 5]) as sizes(size) where len(w) >= size),
+f as (select lang, size, phrase, count(*) as f from grams group by all having count(*) >= 100),
+parts as (
+  select lang, phrase, f, size, string_split(phrase, ' ') as w from f where size > 1),
+inside as (
+  select lang, array_to_string(unnest([w[1:size - 1], w[2:size]]), ' ') as phrase, f from parts where size > 2),
+kept as (
+  select * from parts p where not exists (select 1 from inside i where i.lang = p.lang and i.phrase = p.phrase and 100 * i.f >= 100 * p.f)),
+cuts as (
+  select lang, phrase, f as a, k, array_to_string(w[1:k], ' ') as head, array_to_string(w[k + 1:], ' ') as rest
+  from kept, unnest(range(1, size)) as ks(k)),
+scored as (
+  select c.lang, c.phrase, c.a, k, h.f as l, r.f as r, t.n, (1000::hugeint * c.a * t.n) // (h.f::hugeint * r.f) as score
+  from cuts c join f h on h.lang = c.lang and h.phrase = c.head join f r on r.lang = c.lang and r.phrase = c.rest
+    join totals t on t.lang = c.lang),
+least as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from least)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score from ranked where rank <= 2000
+"""
+
+
+OP12_SQL = rf"""
+with d as (
+  select row_number() over () as nth, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+sizes as (select nth, doc_id, len(w) as n from d where len(w) > 0),
+totals as (select count(*) as n_docs, cast(sum(n) as bigint) as n_words from sizes),
+items as (
+  select item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+q as (select item_id, term, count(*) as q from items group by all),
+tf as (
+  select nth, term, count(*) as tf from (select nth, unnest(w) as term from d) where term in (select term from q) group by all),
+weights as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+  from tf, totals group by term, n_docs),
+impacts as (
+  select nth, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words)) as impact
+  from tf join sizes using (nth), totals),
+scores as (
+  select item_id, nth, doc_id, cast(sum(q * w * impact) as bigint) as score
+  from q join weights using (term) join impacts using (term) group by all having score > 0),
+ranked as (
+  select *, cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank from scores)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+OP13_SQL = r"""
+with t as (select row_number() over () as nth, doc_id, coalesce(text, '') as t from documents),
+k(place, kind, pattern, part) as (values
+  (1, 'assign', '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+  (2, 'access', '(AKIA[A-Z0-9]+)', 20),
+  (3, 'hex', '([0-9a-f]{24,})', 24),
+  (4, 'forge', '(gh[pousr]_[0-9A-Za-z]+)', 40),
+  (5, 'registry', '(npm_[0-9A-Za-z]+)', 40)),
+m as (
+  select nth, place, kind, part, regexp_extract_all(t, pattern) as found, regexp_extract_all(t, pattern, 1) as held, string_split_regex(t, pattern) as rest
+  from t, k where regexp_matches(t, pattern)),
+s as (
+  select nth, place, kind, part, held[i] as held, length(found[i]) as size,
+    cast(list_sum(list_transform(rest[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as bigint) as start
+  from m, unnest(range(1, len(found) + 1)) as n(i)),
+byte as (
+  select list_transform(range(256), lambda b: list_reduce(range(8), lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b)) as byte),
+sums as (
+  select s.*, case when place > 3 then xor(4294967295, list_reduce(
+    list_transform(string_split(substr(split_part(held, '_', 2), 1, 30), ''), lambda x: ascii(x)::bigint),
+    lambda c, x: xor(c >> 8, byte[(xor(c, x) & 255) + 1]), 4294967295::bigint)) end as crc
+  from s, byte),
+sound as (
+  select * from sums where case when place <= 3 then length(held) >= part
+    else length(held) = part and substr(held, 35) = array_to_string(list_transform([916132832, 14776336, 238328, 3844, 62, 1],
+      lambda p: substr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', cast((crc // p) % 62 + 1 as int), 1)), '') end),
+told as (
+  select nth, count(*) filter (place = 1) as n_assign, count(*) filter (place = 2) as n_access, count(*) filter (place = 3) as n_hex,
+    string_agg(kind || ':' || start || ':' || (start + size), ',' order by start, place) filter (place <= 3) as base,
+    string_agg(kind || ':' || start || ':' || (start + size), ',' order by start, place) as spans
+  from sound group by nth)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from t left join told using (nth)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op1_mixing": OP1_SQL, "op9_exact_dedup": OP9_SQL}
+    return {
+        "op1_mixing": OP1_SQL,
+        "op7_warc": OP7_SQL,
+        "op9_exact_dedup": OP9_SQL,
+        "op11_phrases": OP11_SQL,
+        "op12_search": OP12_SQL,
+        "op13_secrets": OP13_SQL,
+    }
