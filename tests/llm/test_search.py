@@ -98,23 +98,22 @@ def test_no_documents_no_phrases(spark, prose):
 def test_long_texts_are_counted_in_stretches(monkeypatch):
     rng = np.random.default_rng(5)
     text = "".join(rng.choice(["a", "b", "c", "dd"]) + str(rng.choice([" ", "  ", ".", ", "], p=[0.7, 0.1, 0.1, 0.1])) for _ in range(3000))
-    everything = np.full(1 << (phrases.FIELD_BITS - 3), 255, dtype=np.uint8)
-    for chunk, segment in ((50, 64), (7, 1), (10**6, 1 << 20)):
+    everything = phrases.Fields(now=np.full(1 << (phrases.FIELD_BITS - 3), 255, dtype=np.uint8))
+    f, n = brute_counts([(text, "en"), (text, "de"), (text, "en")])
+    for chunk in (50, 7, 1, 10**6):
         monkeypatch.setattr(phrases, "CHUNK", chunk)
-        monkeypatch.setattr(phrases, "SEGMENT", segment)
-        counter, found = phrases.Counter(None, everything, range(1, 6)), Counter()
-        for lang in ("en", "de", "en"):
-            batches = list(counter.add(text.encode(), lang))
-            if counter.held >= chunk:
-                batches += list(counter.count())
-            for b in batches:
+        for by_hash in (False, True):
+            counter, found = phrases.Counter(everything, range(1, 6), by_hash), Counter()
+            batches = []
+            for lang in ("en", "de", "en"):
+                batches += list(counter.add(text.encode(), lang))
+            for b in [*batches, *counter.count()]:
                 for r in b.to_pylist():
-                    found[r["lang"], r["phrase"]] += r["f"]
-        for b in counter.count():
-            for r in b.to_pylist():
-                found[r["lang"], r["phrase"]] += r["f"]
-        f, n = brute_counts([(text, "en"), (text, "de"), (text, "en")])
-        assert found == f + Counter({(lang, ""): v for lang, v in n.items()})
+                    found[r["h"] if by_hash else (r["lang"], r["phrase"])] += r["f"]
+            if by_hash:
+                assert sorted(found.values()) == sorted(f.values())
+            else:
+                assert found == f + Counter({(lang, ""): v for lang, v in n.items()})
 
 
 def test_scores_beyond_64_bits(spark):

@@ -7,9 +7,11 @@ Where a phrase of the border turns out frequent, phrases that contain it may be
 not been counted; another pass counts what it newly allows, until a pass brings no such failure. No
 phrase is counted in two passes.
 
-What has been proposed is a bit field of fixed size (:data:`FIELD_BITS`), so that every task can hold it
-whatever the corpus. Two phrases may share a bit: then more is counted than needed, never less.
-Counts are kept by the phrase itself.
+The border is wide: most of its phrases occur once or twice. The pass therefore first adds up counts by a
+64-bit hash of the phrase, which is never below the count of the phrase, and then counts by the words
+themselves what can reach the threshold. What has been proposed, and what can reach it, are bit fields of
+fixed size (:data:`FIELD_BITS`), so that every task can hold them whatever the corpus. Phrases that share
+a bit are counted without need, never left out.
 
 Nulls: a null text is empty, a null ``lang`` counts as ``und``. A single text of any length is read in
 stretches. Repeated rows count each time. Ties of scores are cut by count and phrase. Without documents, or
@@ -19,13 +21,15 @@ phrases, the result is empty. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varloom.llm.common import small_batches, store
@@ -38,8 +42,10 @@ SAMPLED = 8
 PROPOSED = 4
 #: Size of the bit field, as a power of two: 16 MB.
 FIELD_BITS = 27
-#: Tokens that a task gathers before it counts, and bytes of a text that it splits at once.
-CHUNK, SEGMENT = 2_000_000, 1 << 22
+#: Bytes of text that a task gathers before it counts: some two million words.
+CHUNK = 12_000_000
+#: Rows that a task sends at once.
+ROWS = 50_000
 UNKNOWN = "und"
 
 _STOP = b"\xff"  # never part of UTF-8
@@ -49,37 +55,8 @@ _TABLE = bytes(
 _FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def stretches(text: bytes) -> Iterator[list[bytes]]:
-    """Words of a text and the stops between its pieces, a bounded stretch at a time."""
-    text, start = text.translate(_TABLE), 0
-    while start < len(text):
-        end = start + SEGMENT
-        if end < len(text):
-            blank, stop = text.find(b" ", end), text.find(_STOP, end)
-            end = min(len(text) if blank < 0 else blank, len(text) if stop < 0 else stop)
-        yield text[start:end].replace(_STOP, b" \xff ").split()
-        start = end
-
-
-class Words(dict):
-    """Numbers of the words of one language; a new word gets the next number of all."""
-
-    def __init__(self, lang: str, names: list[bytes], hashes: list[int], langs: list[str]) -> None:
-        super().__init__({_STOP: 0})
-        self.lang, self.names, self.hashes, self.langs = lang, names, hashes, langs
-        self.seed = xxhash.xxh64_intdigest(lang.encode())
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.names)
-        self.names.append(word)
-        self.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
-        self.langs.append(self.lang)
-        return number
-
-
 def _slots(hashes: np.ndarray) -> np.ndarray:
-    mixed = (hashes ^ (hashes >> np.uint64(29))) * _SPREAD
-    return (mixed >> np.uint64(64 - FIELD_BITS)).astype(np.int64)
+    return (hashes >> np.uint64(64 - FIELD_BITS)).astype(np.int64)
 
 
 def _has(field: np.ndarray | None, slots: np.ndarray) -> np.ndarray:
@@ -88,128 +65,162 @@ def _has(field: np.ndarray | None, slots: np.ndarray) -> np.ndarray:
     return (field[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
-class Counter:
-    """Counts the phrases of a stream of words, some millions at a time.
+@dataclass(frozen=True)
+class Fields:
+    """Bit fields of a pass.
 
-    ``before`` has what earlier passes proposed, ``now`` what this one may build on. A phrase of several
-    words is counted if its two parts of one word less are in ``now`` and not both in ``before``.
+    A phrase of several words is counted if its two parts of one word less are in ``now`` and not both in
+    ``before``, what earlier passes built on; and, if ``possible`` is given, if it is in there itself.
     """
 
-    def __init__(self, before: np.ndarray | None, now: np.ndarray | None, levels: range) -> None:
-        self.before, self.now, self.levels = before, now, levels
-        self.reset()
+    before: np.ndarray | None = None
+    now: np.ndarray | None = None
+    possible: np.ndarray | None = None
+
+
+class Counter:
+    """Counts the phrases of texts, some millions of words at a time: by hash, or by the words themselves."""
 
-    def reset(self) -> None:
-        self.names, self.hashes, self.langs = [b""], [0], [""]
-        self.words: dict[str, Words] = {}
-        self.parts: list[np.ndarray] = []
-        self.held = 0
+    def __init__(self, fields: Fields, levels: range, by_hash: bool) -> None:
+        self.fields, self.levels, self.by_hash = fields, levels, by_hash
+        self.texts: dict[str, list[bytes]] = {}
+        self.held, self.carried = 0, b""
 
     def add(self, text: bytes, lang: str) -> Iterator[pa.RecordBatch]:
-        if lang not in self.words:
-            self.words[lang] = Words(lang, self.names, self.hashes, self.langs)
-        for tokens in stretches(text):
-            words = self.words[lang]
-            self.parts.append(np.fromiter(map(words.__getitem__, tokens), dtype=np.int32, count=len(tokens)))
-            self.held += len(tokens)
-            if self.held >= CHUNK:
-                yield from self._within(lang)
-        self.parts.append(np.zeros(1, dtype=np.int32))
-
-    def _within(self, lang: str) -> Iterator[pa.RecordBatch]:
-        """Count inside a text: the last words also start phrases that are not complete yet."""
-        tail = np.concatenate(self.parts)[-(LONGEST - 1) :]
-        carried = [self.names[i] if i else _STOP for i in tail]
-        yield from self.count(len(tail))
-        words = self.words[lang] = Words(lang, self.names, self.hashes, self.langs)
-        self.parts, self.held = [np.array([words[w] for w in carried], dtype=np.int32)], len(carried)
-
-    def count(self, open_words: int = 0) -> Iterator[pa.RecordBatch]:
-        """Counts of what has been gathered, but for phrases that start in the last ``open_words``; forgets it."""
-        if not self.parts:
-            return
-        stream = np.concatenate([*self.parts, np.zeros(LONGEST, dtype=np.int32)])
-        starts = len(stream) - LONGEST - open_words
-        names, langs, hashes = self.names, self.langs, np.array(self.hashes, dtype=np.uint64)
-        self.reset()
-        # Of each place: the number of the phrase that starts there, 0 where none of interest does.
-        number, n_phrases = stream.astype(np.int64), len(names)
-        first = np.arange(1, n_phrases)
-        slots = _slots(hashes)
+        # Stops become words of their own.
+        data, start, carried = text.translate(_TABLE).replace(_STOP, b" \xff "), 0, b""
+        while len(data) - start > CHUNK:
+            end = data.find(b" ", start + CHUNK)
+            if end < 0:
+                break
+            # The last words also start phrases that are not complete yet.
+            yield from self._count(lang, carried + data[start:end], LONGEST - 1)
+            carried, start = self.carried, end
+        self.texts.setdefault(lang, []).append(carried + data[start:])
+        self.held += len(data) - start
+        if self.held > CHUNK:
+            yield from self.count()
+
+    def count(self) -> Iterator[pa.RecordBatch]:
+        """Counts of what has been gathered; forgets it."""
+        texts, self.texts, self.held = self.texts, {}, 0
+        for lang, parts in texts.items():
+            yield from self._count(lang, b" \xff ".join(parts), 0)
+
+    def _count(self, lang: str, data: bytes, open_words: int) -> Iterator[pa.RecordBatch]:
+        """Counts of phrases but those that start in the last ``open_words``, which go to ``carried``."""
+        words = pc.list_flatten(pc.split_pattern(pa.array([data], pa.large_binary()), pattern=b" ")).dictionary_encode()
+        told, stop, nothing = words.dictionary, pa.scalar(_STOP, pa.large_binary()), pa.scalar(b"", pa.large_binary())
+        named = pc.and_(pc.not_equal(told, stop), pc.not_equal(told, nothing)).to_numpy(zero_copy_only=False)
+        # Words count from 1; a stop is 0.
+        number = np.where(named, np.cumsum(named), 0).astype(np.int32)
+        stream = words.indices.to_numpy()
+        empty = pc.index(told, nothing).as_py()
+        stream = number[stream[stream != empty] if empty >= 0 else stream]
+        names = pa.concat_arrays([pa.array([b""], pa.large_binary()), told.filter(pa.array(named))])
+        del words, told
+        if open_words:
+            tail = names.take(pa.array(stream[-open_words:])).to_pylist()
+            self.carried = b" ".join(w or _STOP for w in tail) + b" "
+        size, starts = len(names), max(0, len(stream) - open_words)
+        stream = np.concatenate([stream, np.zeros(LONGEST, dtype=np.int32)])
+        seed = xxhash.xxh64_intdigest(lang.encode())
+        hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in names.to_pylist()], dtype=np.uint64)
+        fields = self.fields
         if 1 in self.levels:
-            times = np.bincount(stream[:starts], minlength=n_phrases)[1:]
-            seen = first[times > 0]
-            told = np.array([langs[i] for i in seen], dtype=object)
-            for lang in set(told):
-                total = times[seen - 1][told == lang].sum(keepdims=True)
-                yield self._batch(0, [b""], [lang], total, np.zeros(1, dtype=np.int64))
-            yield self._batch(1, [names[i] for i in seen], told.tolist(), times[seen - 1], slots[seen])
-        phrases, phrase_hash = None, hashes
-        # Of each phrase: whether an earlier pass has counted it.
-        met = np.ones(n_phrases, dtype=bool)
+            times = np.bincount(stream[:starts], minlength=size)
+            times[0] = 0
+            if not self.by_hash and times.any():
+                yield self._batch(lang, 0, pa.array([b""], pa.large_binary()), times.sum(keepdims=True), np.zeros(1, dtype=np.uint64))
+            yield from self._told(lang, 1, names, hashes, times, np.arange(size)[:, None])
+        phrases, phrase_hash, met = np.arange(size, dtype=np.int32)[:, None], hashes, np.ones(size, dtype=bool)
+        # Of each place: the number of the phrase that starts there, 0 where none of interest does.
+        number = stream
         for level in range(2, max(self.levels) + 1):
-            usable, old = _has(self.now, slots), _has(self.before, slots) & met
+            slots = _slots(phrase_hash)
+            usable, old = _has(fields.now, slots), _has(fields.before, slots) & met
             usable[0] = False
-            left, right = number[:-1], number[1:]
-            at = np.flatnonzero(usable[left] & usable[right])
-            inverse, codes = pd.factorize(left[at] * len(names) + stream[at + level - 1])
-            if not len(codes):
+            at = np.flatnonzero(usable[number[:-1]] & usable[number[1:]])
+            if not len(at):
                 return
+            left = number[at]
+            inverse, codes = pd.factorize(left.astype(np.int64) * size + stream[at + level - 1])
+            inverse = inverse.astype(np.int32)
+            # Whether an earlier pass has counted it.
             met = np.zeros(len(codes) + 1, dtype=bool)
-            met[inverse + 1] = old[left[at]] & old[right[at]]
-            heads, tails = codes // len(names), codes % len(names)
-            phrases = np.column_stack([heads if phrases is None else phrases[heads - 1], tails])
-            phrase_hash = np.concatenate([np.zeros(1, dtype=np.uint64), phrase_hash[heads] * _FACTOR + hashes[tails]])
-            slots = _slots(phrase_hash)
-            number = np.zeros(len(number) - 1, dtype=np.int64)
+            met[inverse + 1] = old[left] & old[number[at + 1]]
+            heads, tails = codes // size, codes % size
+            phrases = np.concatenate([np.zeros((1, level), dtype=np.int32), np.column_stack([phrases[heads], tails.astype(np.int32)])])
+            mixed = (phrase_hash[heads] ^ (hashes[tails] >> np.uint64(1))) * _FACTOR + hashes[tails]
+            phrase_hash = np.concatenate([np.zeros(1, dtype=np.uint64), (mixed ^ (mixed >> np.uint64(29))) * _SPREAD])
+            number = np.zeros(len(number) - 1, dtype=np.int32)
             number[at] = inverse + 1
             if level in self.levels:
-                times = np.bincount(inverse[at < starts], minlength=len(codes))
-                seen = np.flatnonzero((times > 0) & ~met[1:])
-                texts = [b" ".join([names[i] for i in row]) for row in phrases[seen].tolist()]
-                yield self._batch(level, texts, [langs[i] for i in phrases[seen, 0].tolist()], times[seen], slots[seen + 1])
-
-    def _batch(self, level: int, texts: list[bytes], langs: list[str], times: np.ndarray, slots: np.ndarray) -> pa.RecordBatch:
-        known = _has(self.now, slots)
+                times = np.bincount(inverse[at < starts] + 1, minlength=len(codes) + 1)
+                times[met] = 0
+                yield from self._told(lang, level, names, phrase_hash, times, phrases)
+
+    def _told(self, lang: str, level: int, names: pa.Array, hashes: np.ndarray, times: np.ndarray, phrases: np.ndarray) -> Iterator[pa.RecordBatch]:
+        seen = np.flatnonzero(times)
+        if self.fields.possible is not None:
+            seen = seen[_has(self.fields.possible, _slots(hashes[seen]))]
+        for start in range(0, len(seen), ROWS):
+            rows = seen[start : start + ROWS]
+            if self.by_hash:
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[rows].view(np.int64)), pa.array(times[rows].astype(np.int64))], ["h", "f"])
+            else:
+                words = [names.take(pa.array(phrases[rows, k])) for k in range(level)]
+                texts = words[0] if level == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
+                yield self._batch(lang, level, texts, times[rows], hashes[rows])
+
+    def _batch(self, lang: str, level: int, texts: pa.Array, times: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(langs, pa.string()),
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(texts), dtype=np.int32))),
                 pa.array(np.full(len(texts), level, dtype=np.int32)),
-                pa.array(texts, pa.binary()).cast(pa.string()),
+                texts.cast(pa.large_string()).cast(pa.string()),
                 pa.array(times.astype(np.int64)),
-                pa.array(slots.astype(np.int32)),
-                pa.array(known),
+                pa.array(hashes.view(np.int64)),
+                pa.array(_has(self.fields.now, _slots(hashes))),
             ],
-            ["lang", "words", "phrase", "f", "slot", "known"],
+            ["lang", "words", "phrase", "f", "h", "known"],
         )
 
 
-def count_phrases(docs: DataFrame, before: Broadcast | None, now: Broadcast | None, levels: range) -> DataFrame:
-    """``lang, words, phrase, f, slot, known``: exact counts of what ``now`` allows and ``before`` did not."""
-
+def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(before and before.value, now and now.value, levels)
+        counter = Counter(fields.value, levels, by_hash)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 value = text.as_py()
                 if value:
                     yield from counter.add(value.encode(), lang.as_py())
-                    if counter.held >= CHUNK:
-                        yield from counter.count()
         yield from counter.count()
 
-    some = small_batches(docs.select("lang", "text")).mapInArrow(run, "lang string, words int, phrase string, f long, slot int, known boolean")
-    return some.groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("f").alias("f"), F.first("slot").alias("slot"), F.first("known").alias("known"))
+    kinds = "h long, f long" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
+    return small_batches(docs.select("lang", "text")).mapInArrow(run, kinds)
+
+
+def count_hashes(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
+    """``h, f``: counts by the hash of the phrase. No phrase occurs more often."""
+    return _counted(docs, fields, levels, True).groupBy("h").agg(F.sum("f").alias("f"))
+
+
+def count_phrases(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
+    """``lang, words, phrase, f, h, known``: counts by the phrase itself, exact."""
+    some = _counted(docs, fields, levels, False)
+    return some.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("f").alias("f"), F.max("h").alias("h"), F.max("known").alias("known"))
 
 
-def bit_field(spark: SparkSession, phrases: DataFrame, base: Broadcast | None = None) -> Broadcast:
+def bit_field(phrases: DataFrame, base: np.ndarray | None = None) -> np.ndarray:
     """``base`` with the bits of ``phrases``: at most one row for every 64 bits of the field comes to the driver."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot") % 64)
-    words = phrases.select((F.col("slot") / 64).cast("int").alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
+    slot = F.shiftrightunsigned("h", 64 - FIELD_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    words = phrases.select((slot / 64).cast("int").alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
     table = words.toArrow()
-    field = np.zeros(1 << (FIELD_BITS - 6), dtype="<i8") if base is None else base.value.view("<i8").copy()
+    field = np.zeros(1 << (FIELD_BITS - 6), dtype="<i8") if base is None else base.view("<i8").copy()
     field[table["place"].to_numpy()] |= table["bits"].to_numpy()
-    return spark.sparkContext.broadcast(field.view(np.uint8))
+    return field.view(np.uint8)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED, proposed: int = PROPOSED) -> DataFrame:
@@ -220,21 +231,24 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
     The result does not depend on ``sampled`` (a document in so many is in the sample) and ``proposed``
     (times a phrase occurs there to be proposed); only the number of passes does.
     """
-    spark = docs.sparkSession
+    send = docs.sparkSession.sparkContext.broadcast
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     sample = store(texts.filter(F.rand(7) * sampled < 1), "phrases-sample")
-    field = None
+    now = None
     for level in range(1, LONGEST):
-        found = count_phrases(sample, None, field, range(level, level + 1)).filter(F.col("f") >= proposed)
-        field = bit_field(spark, found, field)
-    counted, before, levels = [], None, range(1, LONGEST + 1)
+        found = count_hashes(sample, send(Fields(now=now)), range(level, level + 1)).filter(F.col("f") >= proposed)
+        now = bit_field(found, now)
+    levels = range(1, LONGEST + 1)
+    possible = bit_field(count_hashes(texts, send(Fields(now=now)), levels).filter(F.col("f") >= least))
+    counted, before = [], None
     while True:
-        found = store(count_phrases(texts, before, field, levels).filter(F.col("f") >= least), "phrases-pass")
+        found = store(count_phrases(texts, send(Fields(before, now, possible)), levels).filter(F.col("f") >= least), "phrases-pass")
         counted.append(found)
-        failed = found.filter(~F.col("known") & (F.col("words") < LONGEST)).select("slot")
+        failed = found.filter(~F.col("known") & F.col("words").between(1, LONGEST - 1)).select("h")
         if failed.isEmpty():
             break
-        before, field, levels = field, bit_field(spark, failed, field), range(2, LONGEST + 1)
+        # What a failure allows is little, so it is counted by its words at once.
+        before, now, possible, levels = now, bit_field(failed, now), None, range(2, LONGEST + 1)
     every = counted[0]
     for found in counted[1:]:
         every = every.unionByName(found)
