@@ -98,7 +98,7 @@ def test_no_documents_no_phrases(spark, prose):
 def test_long_texts_are_counted_in_stretches(monkeypatch):
     rng = np.random.default_rng(5)
     text = "".join(rng.choice(["a", "b", "c", "dd"]) + str(rng.choice([" ", "  ", ".", ", "], p=[0.7, 0.1, 0.1, 0.1])) for _ in range(3000))
-    everything = phrases.Fields(now=np.full(1 << (phrases.FIELD_BITS - 3), 255, dtype=np.uint8))
+    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8))
     f, n = brute_counts([(text, "en"), (text, "de"), (text, "en")])
     for chunk in (50, 7, 1, 10**6):
         monkeypatch.setattr(phrases, "CHUNK", chunk)

@@ -40,8 +40,8 @@ LONGEST, LEAST, TOP = 5, 100, 2_000
 SAMPLED = 8
 #: Times that a phrase must occur in the sample to be proposed: about a third of what is expected at LEAST.
 PROPOSED = 4
-#: Size of the bit field, as a power of two: 16 MB.
-FIELD_BITS = 27
+#: Least and largest size of a bit field, as powers of two: 32 KB and 16 MB.
+LEAST_BITS, MOST_BITS = 18, 27
 #: Bytes of text that a task gathers before it counts: some two million words.
 CHUNK = 12_000_000
 #: Rows that a task sends at once.
@@ -55,13 +55,11 @@ _TABLE = bytes(
 _FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - FIELD_BITS)).astype(np.int64)
-
-
-def _has(field: np.ndarray | None, slots: np.ndarray) -> np.ndarray:
+def _has(field: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bits of ``hashes`` are set; the size of a field is a power of two."""
     if field is None:
-        return np.zeros(len(slots), dtype=bool)
+        return np.zeros(len(hashes), dtype=bool)
+    slots = (hashes >> np.uint64(64 - (len(field).bit_length() + 2))).astype(np.int64)
     return (field[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
@@ -137,8 +135,7 @@ class Counter:
         # Of each place: the number of the phrase that starts there, 0 where none of interest does.
         number = stream
         for level in range(2, max(self.levels) + 1):
-            slots = _slots(phrase_hash)
-            usable, old = _has(fields.now, slots), _has(fields.before, slots) & met
+            usable, old = _has(fields.now, phrase_hash), _has(fields.before, phrase_hash) & met
             usable[0] = False
             at = np.flatnonzero(usable[number[:-1]] & usable[number[1:]])
             if not len(at):
@@ -163,7 +160,7 @@ class Counter:
     def _told(self, lang: str, level: int, names: pa.Array, hashes: np.ndarray, times: np.ndarray, phrases: np.ndarray) -> Iterator[pa.RecordBatch]:
         seen = np.flatnonzero(times)
         if self.fields.possible is not None:
-            seen = seen[_has(self.fields.possible, _slots(hashes[seen]))]
+            seen = seen[_has(self.fields.possible, hashes[seen])]
         for start in range(0, len(seen), ROWS):
             rows = seen[start : start + ROWS]
             if self.by_hash:
@@ -181,7 +178,7 @@ class Counter:
                 texts.cast(pa.large_string()).cast(pa.string()),
                 pa.array(times.astype(np.int64)),
                 pa.array(hashes.view(np.int64)),
-                pa.array(_has(self.fields.now, _slots(hashes))),
+                pa.array(_has(self.fields.now, hashes)),
             ],
             ["lang", "words", "phrase", "f", "h", "known"],
         )
@@ -212,17 +209,23 @@ def count_phrases(docs: DataFrame, fields: Broadcast, levels: range) -> DataFram
     return some.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("f").alias("f"), F.max("h").alias("h"), F.max("known").alias("known"))
 
 
-def bit_field(phrases: DataFrame, base: np.ndarray | None = None) -> np.ndarray:
+def bit_field(phrases: DataFrame, bits: int, base: np.ndarray | None = None) -> np.ndarray:
     """``base`` with the bits of ``phrases``: at most one row for every 64 bits of the field comes to the driver."""
-    slot = F.shiftrightunsigned("h", 64 - FIELD_BITS)
+    slot = F.shiftrightunsigned("h", 64 - bits)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
     words = phrases.select((slot / 64).cast("int").alias("place"), bit.alias("bit")).groupBy("place").agg(F.bit_or("bit").alias("bits"))
     table = words.toArrow()
-    field = np.zeros(1 << (FIELD_BITS - 6), dtype="<i8") if base is None else base.view("<i8").copy()
+    field = np.zeros(1 << (bits - 6), dtype="<i8") if base is None else base.view("<i8").copy()
     field[table["place"].to_numpy()] |= table["bits"].to_numpy()
     return field.view(np.uint8)
 
 
+def field_bits(sample: DataFrame) -> int:
+    """Size of a field for a sample: a bit for every eight bytes of its text, between the bounds."""
+    size = sample.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED, proposed: int = PROPOSED) -> DataFrame:
     """``lang, words, phrase, f``: all phrases of 1 to :data:`LONGEST` words that occur ``least`` times or more.
 
@@ -231,24 +234,33 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
     The result does not depend on ``sampled`` (a document in so many is in the sample) and ``proposed``
     (times a phrase occurs there to be proposed); only the number of passes does.
     """
-    send = docs.sparkSession.sparkContext.broadcast
+    context = docs.sparkSession.sparkContext
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     sample = store(texts.filter(F.rand(7) * sampled < 1), "phrases-sample")
+    bits = field_bits(sample)
+
+    def possible_in(docs: DataFrame, levels: range, now: np.ndarray | None, least: int, base: np.ndarray | None = None) -> np.ndarray:
+        sent = context.broadcast(Fields(now=now))
+        field = bit_field(count_hashes(docs, sent, levels).filter(F.col("f") >= least), bits, base)
+        sent.destroy()
+        return field
+
     now = None
     for level in range(1, LONGEST):
-        found = count_hashes(sample, send(Fields(now=now)), range(level, level + 1)).filter(F.col("f") >= proposed)
-        now = bit_field(found, now)
+        now = possible_in(sample, range(level, level + 1), now, proposed, now)
     levels = range(1, LONGEST + 1)
-    possible = bit_field(count_hashes(texts, send(Fields(now=now)), levels).filter(F.col("f") >= least))
+    possible = possible_in(texts, levels, now, least)
     counted, before = [], None
     while True:
-        found = store(count_phrases(texts, send(Fields(before, now, possible)), levels).filter(F.col("f") >= least), "phrases-pass")
+        sent = context.broadcast(Fields(before, now, possible))
+        found = store(count_phrases(texts, sent, levels).filter(F.col("f") >= least), "phrases-pass")
+        sent.destroy()
         counted.append(found)
         failed = found.filter(~F.col("known") & F.col("words").between(1, LONGEST - 1)).select("h")
         if failed.isEmpty():
             break
         # What a failure allows is little, so it is counted by its words at once.
-        before, now, possible, levels = now, bit_field(failed, now), None, range(2, LONGEST + 1)
+        before, now, possible, levels = now, bit_field(failed, bits, now), None, range(2, LONGEST + 1)
     every = counted[0]
     for found in counted[1:]:
         every = every.unionByName(found)
