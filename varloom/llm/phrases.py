@@ -1,7 +1,7 @@
 """Phrases that recur, found by sampling with a negative border, and how tightly their words belong together.
 
-A sample of documents is mined level by level with a lowered threshold: it proposes phrases. One pass over
-all documents then counts the proposed phrases exactly, together with their negative border: all phrases
+Words are counted in all documents. Of longer phrases, a sample of documents is mined level by level with a
+lowered threshold: it proposes phrases. One pass over all documents then counts the proposed phrases exactly, together with their negative border: all phrases
 that are not proposed although the phrase without its first word and the one without its last word are.
 Where a phrase of the border turns out frequent, phrases that contain it may be frequent as well and have
 not been counted; another pass counts what it newly allows, until a pass brings no such failure. No
@@ -221,9 +221,9 @@ def bit_field(phrases: DataFrame, bits: int, base: np.ndarray | None = None) ->
 
 
 def field_bits(sample: DataFrame) -> int:
-    """Size of a field for a sample: a bit for every eight bytes of its text, between the bounds."""
+    """Size of a field for a sample: a bit for every byte of its text, between the bounds."""
     size = sample.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, size.bit_length()))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED, proposed: int = PROPOSED) -> DataFrame:
@@ -245,11 +245,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
         sent.destroy()
         return field
 
-    now = None
-    for level in range(1, LONGEST):
+    now = words = possible_in(texts, range(1, 2), None, least)
+    for level in range(2, LONGEST):
         now = possible_in(sample, range(level, level + 1), now, proposed, now)
     levels = range(1, LONGEST + 1)
-    possible = possible_in(texts, levels, now, least)
+    possible = possible_in(texts, range(2, LONGEST + 1), now, least, words)
     counted, before = [], None
     while True:
         sent = context.broadcast(Fields(before, now, possible))
