@@ -227,9 +227,9 @@ def test_collapse(spark):
 
 
 def test_override(spark):
-    rows = spark.createDataFrame([("9336431", None), ("9336431", "p"), ("1", None)], "Protein_ID string, Protein_Product string")
-    got = [r.Protein_Product for r in genes.annotate_override(rows, {"9336431": "exonuclease I (Exo1)"}).collect()]
-    assert got == ["NA;exonuclease I (Exo1)", "p;exonuclease I (Exo1)", None]
+    rows = spark.createDataFrame([("9000321", None), ("9000321", "p"), ("1", None)], "Protein_ID string, Protein_Product string")
+    got = [r.Protein_Product for r in genes.annotate_override(rows, {"9000321": "patched product (Exo1)"}).collect()]
+    assert got == ["NA;patched product (Exo1)", "p;patched product (Exo1)", None]
 
 
 def call_table(spark, rows):

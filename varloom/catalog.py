@@ -12,13 +12,14 @@ from varloom.operators import calls as C
 from varloom.operators import crosses as X
 from varloom.operators import flatten as L
 from varloom.operators import genes as G
+from varloom.operators import intervals
 from varloom.operators import qc as Q
 from varloom.operators import ranking as R
 from varloom.operators import sites as S
 from varloom.plans import annotations as PA
 from varloom.plans import crosses as PX
 from varloom.session import new_path
-from varloom.sources import store, tables, vcf
+from varloom.sources import blocks, store, tables, vcf
 from varloom.functions.text import pretty_label
 
 Query = Callable[[Inputs], DataFrame]
@@ -138,6 +139,16 @@ def scan_vcf_gz(i: Inputs) -> DataFrame:
     return rows.select("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "INFO")
 
 
+@_query
+def scan_vcf_blocks(i: Inputs) -> DataFrame:
+    """Records of a block-compressed file, read by ranges, in the order of its lines."""
+    path = new_path(i.spark, "vcf-blocks")
+    lines = vcf.to_lines(i.vcf().orderBy("ROW_ID"))
+    blocks.write_block_lines(lines, path)
+    rows = vcf.read_vcf(i.spark, path, genotypes=False, blocks=True)
+    return rows.select(F.col("ROW_ID").alias("row_no"), "CHROM", "POS", "ID", "REF", "ALT", "QUAL", "INFO")
+
+
 @_query
 def vcf_header(i: Inputs) -> DataFrame:
     return vcf.vcf_header(i.spark, _vcf_text(i))
@@ -266,18 +277,61 @@ def project_columns(i: Inputs) -> DataFrame:
     return kept.select([c for c in kept.columns if c in (*ALLELE, *ENTRY, "ID", "FILTER", "Debug", "S_PL", "S_AD")])
 
 
+def _spoilt(rows: DataFrame) -> DataFrame:
+    """Parsed records, of which some are malformed in a list length, in ANN, in LOF and, where there are cells, in one."""
+    columns = {
+        "AC": F.when(F.col("ROW_ID") % 83 == 2, "1,2,3,4").otherwise(F.col("AC")),
+        "ANN": F.when(F.col("ROW_ID") % 97 == 5, F.concat("ANN", F.lit(",x|y"))).otherwise(F.col("ANN")),
+        "LOF": F.when(F.col("ROW_ID") % 89 == 7, "a|b|c").otherwise(F.col("LOF")),
+    }
+    if "CELLS" in rows.columns:
+        columns["CELLS"] = F.when(F.col("ROW_ID") % 79 == 11, F.array_append("CELLS", F.lit("1:3,4"))).otherwise(F.col("CELLS"))
+    return rows.withColumns(columns)
+
+
 @_query
 def bad_records(i: Inputs) -> DataFrame:
     """Records that were spoilt in a list length, in ANN and in LOF, with the reasons found."""
-    rows = _parsed(i)
-    spoilt = rows.withColumns(
-        {
-            "AC": F.when(F.col("ROW_ID") % 83 == 2, "1,2,3,4").otherwise(F.col("AC")),
-            "ANN": F.when(F.col("ROW_ID") % 97 == 5, F.concat("ANN", F.lit(",x|y"))).otherwise(F.col("ANN")),
-            "LOF": F.when(F.col("ROW_ID") % 89 == 7, "a|b|c").otherwise(F.col("LOF")),
-        }
-    )
-    return L.bad_records(spoilt).select("ROW_ID", "CHROM", "POS", "Reason")
+    return L.bad_records(_spoilt(_parsed(i))).select("ROW_ID", "CHROM", "POS", "Reason")
+
+
+def _routed(i: Inputs) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    rows = _spoilt(PA.parsed_records(i.vcf(), STUDY))
+    return L.route_records(rows, new_path(i.spark, "routed"))
+
+
+@_query
+def route_records(i: Inputs) -> DataFrame:
+    """The malformed ones of all records with genotypes, as they were put aside by the scan that stored the rest."""
+    return _routed(i)[1].select("ROW_ID", "CHROM", "POS", "Reason")
+
+
+@_query
+def record_counts(i: Inputs) -> DataFrame:
+    """What that scan counted on its way."""
+    counts = _routed(i)[2]
+    kinds = ("records", "AC length", "ANN fields", "LOF fields", "cell fields")
+    return i.spark.createDataFrame([(k, counts[k]) for k in kinds], "Fault string, n bigint")
+
+
+@_query
+def info_keys(i: Inputs) -> DataFrame:
+    return L.info_keys(_sites(i))
+
+
+@_query
+def info_rest(i: Inputs) -> DataFrame:
+    """Undeclared INFO keys of each record, from the VARIANT column."""
+    rows = _parsed(i).select("ROW_ID", L.INFO_REST)
+    found = rows.lateralJoin(i.spark.tvf.variant_explode(F.col(L.INFO_REST).outer()))
+    return found.select("ROW_ID", F.col("key").alias("Key"), F.to_json("value").alias("Value"))
+
+
+@_query
+def info_discovered(i: Inputs) -> DataFrame:
+    """Undeclared INFO keys as columns, of the types that their values have."""
+    rows = _sites(i)
+    return L.parse_info(rows, L.discover_schema(rows)).select("ROW_ID", "LENG", "NOVEL")
 
 
 @_query
@@ -336,7 +390,7 @@ def distinct_annotations(i: Inputs) -> DataFrame:
 
 @_query
 def split_annotations(i: Inputs) -> DataFrame:
-    return PA.split_annotations(i.vcf(), STUDY).select(*ALLELE, "Variant_Type", *INFO, *ENTRY, *LOSS, "isLOF", "isNMD")
+    return PA.split_annotations(i.vcf(), STUDY).select(*ALLELE, "Variant_Type", *INFO, *ENTRY, *LOSS, "isLOF", "isNMD", "INFO_REST")
 
 
 @_query
@@ -491,6 +545,14 @@ def subset_sites_overlap(i: Inputs) -> DataFrame:
     return S.subset_sites(_sites(i), _stored_sites(i).withColumn("POS", F.col("POS") + 1), "overlap").select(*ALLELE)
 
 
+@_query
+def spans_on_genes(i: Inputs) -> DataFrame:
+    """Records longer than a base and the genes they reach, by position alone."""
+    spans = _sites(i).select("ROW_ID", "CHROM", "POS", S.span_end(_sites(i)).alias("last")).filter(F.col("last") > F.col("POS"))
+    genes = G.gff_features(i.gff()).filter(F.col("Type") == "gene").select("CHROM", "ID", "feature_start", "feature_end")
+    return intervals.overlaps(spans, genes, "CHROM", ("POS", "last"), ("feature_start", "feature_end")).drop("last")
+
+
 # ---- genes -------------------------------------------------------------------------------------
 
 
@@ -544,7 +606,7 @@ def gene_annotations(i: Inputs) -> DataFrame:
 @_query
 def annotate_override(i: Inputs) -> DataFrame:
     rows = G.fill_gene_ids(G.gff_features(i.gff()))
-    patched = G.annotate_override(rows, {"9000007": "exonuclease I (Exo1)", "9000009": "helicase"})
+    patched = G.annotate_override(rows, {"9000007": "patched product (Exo1)", "9000009": "helicase"})
     return patched.select(F.col("_row").alias("row_no"), "Protein_ID", "Protein_Product")
 
 
@@ -695,3 +757,9 @@ def cross_table(i: Inputs) -> DataFrame:
 @_query
 def cross_list(i: Inputs) -> DataFrame:
     return X.cross_list(_crosses(i))
+
+
+@_query
+def best_crosses(i: Inputs) -> DataFrame:
+    """The first 100 crosses, from the best variant rows only."""
+    return PX.best_crosses(_stored_ranked(i), i.header_samples(), _samples(i), STUDY)

@@ -25,9 +25,12 @@ LIST_PREFIX = "db.p_Gnm1_"
 STUDY = Params(
     ann_prefix=ANN_PREFIX,
     list_prefix=LIST_PREFIX,
-    product_overrides={"9000007": "exonuclease I (Exo1)"},
+    product_overrides={"9000007": "patched product (Exo1)"},
 )
 
+#: Positions that records with an END reach beyond their own.
+LONG_SPAN = 1_000_000
+
 _BASE = "substr('ACGT', cast(k % 4 as int) + 1, 1)"
 _OTHER = "substr('CGTA', cast(k % 4 as int) + 1, 1)"
 _THIRD = "substr('GTAC', cast(k % 4 as int) + 1, 1)"
@@ -101,6 +104,8 @@ _AC1, _AC2 = "cast(1 + k % 9 as string)", "cast(1 + k % 4 as string)"
 _AF1, _AF2 = "'0.' || lpad(cast((k * 13 + 1) % 40 as string), 2, '0')", "'0.' || lpad(cast((k * 13 + 2) % 40 as string), 2, '0')"
 _QD = "case when k % 8 <> 5 then cast(k % 30 as string) || '.5' end"
 _RAW = "case when k % 6 = 1 then cast(3600 + k % 10 as string) || ',30' end"
+# Keys that no schema declares: a number and a flag.
+_UNDECLARED = "case when k % 12 = 4 then ';LENG=' || cast(k % 7 as string) || case when k % 24 = 4 then ';NOVEL' else '' end else '' end"
 _LAST = "(select max(n_nationkey) from nation)"
 
 _MISSING = "((k * 31 + s * 17) % 23 = 22 or (k % 17 = 3 and s % 3 = 0))"
@@ -116,6 +121,11 @@ _CELL = {
 }
 
 
+def _place(entries: list[tuple[int, int, dict[str, str]]], at: int) -> str:
+    """Place of entry ``at`` in the list of its record: the entries before it that the record has, and one."""
+    return " + ".join(["1", *(f"case when {e['when']} then 1 else 0 end" for _, _, e in entries[:at])])
+
+
 def _union(parts: list[str]) -> str:
     return "\nunion all ".join(parts)
 
@@ -135,7 +145,8 @@ def _views() -> dict[str, str]:
  {_BASE} || case when k % 7 = 3 then 'AT' when k % 9 = 4 then 'G' else '' end as REF,
  case when k % 7 = 3 then {_BASE} when k % 9 = 4 then {_OTHER} || 'C' else {_OTHER} end as ALT1,
  case when k % 5 = 0 then {_BASE} || 'TT' when k % 11 = 0 then '*' when k % 13 = 0 then {_THIRD} end as ALT2,
- cast(20 + k % 60 as double) + cast(k % 4 as double) / 4 as QUAL, 300 + k % 200 as DP from src_orders""",
+ cast(20 + k % 60 as double) + cast(k % 4 as double) / 4 as QUAL, 300 + k % 200 as DP,
+ case when k % 501 = 7 then g * 1000 + 1 + (k * 37) % 997 + {LONG_SPAN} end as END_POS from src_orders""",
         "samples": """select cast(n_nationkey as int) as SAMPLE_POS, cast(n_nationkey + 101 as bigint) as SampleID,
  'ST.' || case when n_nationkey % 9 = 8 then 'X' when n_nationkey % 2 = 0 then 'F' else 'M' end || '.' || cast(n_nationkey as string) as GametophyteCode from nation""",
         "metadata": """select cast(c_custkey as bigint) as SampleID, 'ST.' || case when c_custkey % 9 = 8 then 'X' when c_custkey % 2 = 0 then 'F' else 'M' end
@@ -156,7 +167,7 @@ def _views() -> dict[str, str]:
         "curated": """select 9000000 + s_suppkey as protein, s_name as Note from supplier""",
         "vcf": f"""select k as ROW_ID, CHROM, POS, 'v' || cast(k as string) as ID, REF, {_per_alt("ALT1", "ALT2")} as ALT, QUAL, 'PASS' as FILTER,
  'AC=' || {_per_alt(_AC1, _AC2)} || ';AF=' || {_per_alt(_AF1, _AF2)} || ';AN=' || cast(20 + k % 5 as string) || ';DP=' || cast(DP as string)
- || case when k % 10 = 7 then ';DS' else '' end || ';MLEAC=' || {_per_alt(_AC1, _AC2)} || ';MLEAF=' || {_per_alt(_AF1, _AF2)} || ';MQ=60.25'
+ || case when k % 10 = 7 then ';DS' else '' end || coalesce(';END=' || cast(END_POS as string), '') || {_UNDECLARED} || ';MLEAC=' || {_per_alt(_AC1, _AC2)} || ';MLEAF=' || {_per_alt(_AF1, _AF2)} || ';MQ=60.25'
  || coalesce(';QD=' || {_QD}, '') || coalesce(';RAW_MQandDP=' || {_RAW}, '')
  || ';ANN=' || concat_ws(',', {", ".join(_entry_text(e) for _, _, e in entries)})
  || case when {_LOF[0][0]} then ';LOF=' || {_list_text(_LOF)} else '' end || case when {_NMD[0][0]} then ';NMD=' || {_list_text(_NMD)} else '' end as INFO,
@@ -181,14 +192,14 @@ def _views() -> dict[str, str]:
         ),
         "exp_entries": _union(
             [
-                f"""select k, {i} as ALT_IDX, {n} as ANN_N, {e['alt']} as Allele, {e['effect']} as Effect, {e['impact']} as Impact,
+                f"""select k, {i} as ALT_IDX, {n} as ANN_N, {_place(entries, at)} as ANN_IDX, {e['alt']} as Allele, {e['effect']} as Effect, {e['impact']} as Impact,
  cast(9000000 + {e['gene']} as string) as Protein_ID, 'gene_' || cast({e['gene']} as string) as Gene_ID, {e['hgvs']} as HGVS_c,
  'p.' || cast(k % 50 as string) as HGVS_p, {e['dist']} as Dist_to_Feature, {e['debug']} as Debug from sites where {e['when']}"""
-                for i, n, e in entries
+                for at, (i, n, e) in enumerate(entries)
             ]
         ),
         # Both alleles can be the same text; an entry describes the text.
-        "exp_ann": """select a.k, a.CHROM, a.POS, a.REF, a.ALT, a.ALT_IDX, a.QUAL, a.DP, a.AC, a.AF, a.QD, a.AN, a.RAW_MQandDP, a.DS, e.ALT_IDX * 10 + e.ANN_N as ANN_N,
+        "exp_ann": """select a.k, a.CHROM, a.POS, a.REF, a.ALT, a.ALT_IDX, a.QUAL, a.DP, a.AC, a.AF, a.QD, a.AN, a.RAW_MQandDP, a.DS, e.ALT_IDX * 10 + e.ANN_N as ANN_N, e.ANN_IDX,
  e.Effect, e.Impact, e.Protein_ID, e.Gene_ID, e.HGVS_c, e.HGVS_p, e.Dist_to_Feature, e.Debug
  from exp_alleles a join exp_entries e on a.k = e.k and a.ALT = e.Allele""",
         "exp_lof": _union(

@@ -13,17 +13,33 @@ def present(value: Column) -> Column:
     return F.when(~value.contains("."), value)
 
 
-def call_columns(parts: Column, keys: Column | None = None) -> dict[str, Column]:
+#: FORMAT of the fixed layout.
+FIXED_FORMAT = ":".join(CALL_FIELDS.values())
+
+
+def call_places(text: Column) -> Column:
+    """Where the call fields are in the cells of a record with FORMAT ``text``: a struct of places, NULL if absent.
+
+    Evaluate it once per record, never inside a function over its cells.
+    """
+    keys = F.split(text, ":")
+    fixed = text == FIXED_FORMAT
+
+    def place(at: int, key: str) -> Column:
+        return F.when(fixed, F.lit(at)).otherwise(F.nullif(F.array_position(keys, key), F.lit(0)).cast("int") - 1)
+
+    named = [(F.lit(name), place(at, key)) for at, (name, key) in enumerate(CALL_FIELDS.items())]
+    return F.named_struct(*[part for pair in named for part in pair])
+
+
+def call_columns(parts: Column, places: Column | None = None) -> dict[str, Column]:
     """Columns GT, AD, DP_S, GQ, PL from the split cell.
 
-    ``keys`` is the split FORMAT text for files whose layout varies; without it the layout is
-    the fixed one. AD keeps its text as it is; the others turn dots into NULL, and GT, DP_S and
-    GQ become integers.
+    ``places`` is what :func:`call_places` says of the record, for files whose layout varies; without it
+    the layout is the fixed one. AD keeps its text as it is; the others turn dots into NULL, and GT, DP_S
+    and GQ become integers.
     """
-    raw = {}
-    for at, (name, key) in enumerate(CALL_FIELDS.items()):
-        index = F.lit(at) if keys is None else F.nullif(F.array_position(keys, key), F.lit(0)).cast("int") - 1
-        raw[name] = F.get(parts, index)
+    raw = {name: F.get(parts, F.lit(at) if places is None else places[name]) for at, name in enumerate(CALL_FIELDS)}
     return {
         "GT": present(raw["GT"]).try_cast("int"),
         "AD": raw["AD"],

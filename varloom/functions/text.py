@@ -37,3 +37,8 @@ def blank_to_null(text: Column) -> Column:
 def reloaded(text: Column) -> Column:
     """Text as it reads back from a TSV: empty and ``NA`` are missing."""
     return F.when(text.isin("", "NA"), None).otherwise(text)
+
+
+def separators(text: Column, mark: str) -> Column:
+    """How often the single character ``mark`` occurs."""
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.text import sex_from_code
 from varloom.operators.order import with_rank
+from varloom.session import new_path
 
 VARIANT = ["CHROM", "POS", "REF", "ALT"]
 
@@ -145,13 +146,8 @@ def _order_key() -> Column:
     )
 
 
-def expand_crosses(calls: DataFrame) -> DataFrame:
-    """Every female with every male of one variant row, in rank order.
-
-    Takes the calls :func:`top_samples` kept, so a variant row holds a few calls only. Adds
-    ``F_ID``, ``M_ID``, ``Cross`` and ``Cross_Order``, the place of the cross: variant rows by
-    their best call, then the males, and the females fastest.
-    """
+def _variant_rows(calls: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+    """One row per variant row: its best call and the codes of its females and males, best first."""
     variant_columns = [c for c in calls.columns if c not in SAMPLE_COLUMNS]
     others = [c for c in variant_columns if c not in (*VARIANT, *ROW_KEYS)]
     keyed = calls.withColumn("_key", _order_key())
@@ -167,9 +163,24 @@ def expand_crosses(calls: DataFrame) -> DataFrame:
         side("F").alias("_females"),
         side("M").alias("_males"),
     )
+    return rows, variant_columns, others
+
+
+def _expanded(rows: DataFrame) -> DataFrame:
+    """Every female with every male of a row."""
     rows = rows.select("*", F.posexplode("_males").alias("_m", "M_ID"))
-    rows = rows.select("*", F.posexplode("_females").alias("_f", "F_ID"))
-    return rows.select(
+    return rows.select("*", F.posexplode("_females").alias("_f", "F_ID"))
+
+
+def expand_crosses(calls: DataFrame) -> DataFrame:
+    """Every female with every male of one variant row, in rank order.
+
+    Takes the calls :func:`top_samples` kept, so a variant row holds a few calls only. Adds
+    ``F_ID``, ``M_ID``, ``Cross`` and ``Cross_Order``, the place of the cross: variant rows by
+    their best call, then the males, and the females fastest.
+    """
+    rows, variant_columns, others = _variant_rows(calls)
+    return _expanded(rows).select(
         "F_ID",
         "M_ID",
         F.concat_ws(" x ", "F_ID", "M_ID").alias("Cross"),
@@ -182,3 +193,36 @@ def cross_list(crosses: DataFrame) -> DataFrame:
     """Each cross once, numbered in order of first appearance: Rank, Cross, F_ID, M_ID."""
     firsts = crosses.groupBy("Cross", "F_ID", "M_ID").agg(F.min("Cross_Order").alias("_order"))
     return with_rank(firsts, [F.col("_order")]).select("Rank", "Cross", "F_ID", "M_ID")
+
+
+def best_crosses(calls: DataFrame, n: int, rows_seen: list[int] | None = None) -> DataFrame:
+    """The first ``n`` rows of :func:`cross_list`, without expanding or ranking all crosses.
+
+    Crosses are numbered by the best variant row they appear in. So once the best rows give ``n`` crosses,
+    no later row can add one before them: rows are taken in growing numbers, best first, until they
+    do. Each round keeps a bounded number of rows. ``rows_seen`` gets how many variant rows each round
+    expanded.
+    """
+    spark = calls.sparkSession
+    rows, _, _ = _variant_rows(calls)
+    slim = rows.select("_best", "_females", "_males")
+    paired = slim.filter((F.size("_females") > 0) & (F.size("_males") > 0))
+    path = new_path(spark, "variant-rows")
+    paired.write.parquet(path)
+    stored = spark.read.parquet(path)
+    taken = n
+    while True:
+        head = _expanded(stored.orderBy("_best").limit(taken))
+        firsts = head.groupBy(F.concat_ws(" x ", "F_ID", "M_ID").alias("Cross"), "F_ID", "M_ID").agg(F.min(F.struct("_best", "_m", "_f")).alias("_order"))
+        best = firsts.orderBy("_order").limit(n)
+        kept = new_path(spark, "best-crosses")
+        best.write.parquet(kept)
+        found = spark.read.parquet(kept)
+        if rows_seen is not None:
+            rows_seen.append(taken)
+        if found.count() >= n or taken >= stored.count():
+            break
+        taken *= 4
+    # At most n rows, the report asked for.
+    rank = F.row_number().over(Window.orderBy("_order")).cast("bigint").alias("Rank")
+    return found.select(rank, "Cross", "F_ID", "M_ID")

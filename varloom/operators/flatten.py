@@ -7,13 +7,13 @@ record and one ALT. An *annotation* row is one allele and one ANN entry for it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from varloom.functions.alleles import variant_type
 from varloom.functions.scoring import any_of
-from varloom.functions.text import blank_to_null
-from varloom.params import ANN_FIELDS, INFO_SCHEMA, LOF_EFFECTS, LOF_FIELDS, MODES, NMD_FIELDS
+from varloom.functions.text import blank_to_null, separators
+from varloom.params import ANN_FIELDS, CALL_FIELDS, INFO_SCHEMA, LOF_EFFECTS, LOF_FIELDS, MODES, NMD_FIELDS
 
 # What makes LOF and NMD entries belong to an annotation row.
 GENE_KEYS = ["CHROM", "POS", "ALT", "Gene_ID", "Protein_ID"]
@@ -27,10 +27,23 @@ def drop_columns(df: DataFrame, *names: str, prefixes: tuple = (), suffixes: tup
     return df.select([c for c in df.columns if c not in gone])
 
 
-def parse_info(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
+#: Column of INFO keys that the schema does not have.
+INFO_REST = "INFO_REST"
+
+
+def _keyed(info: str | Column = "INFO") -> Column:
+    return F.str_to_map(info, F.lit(";"), F.lit("="))
+
+
+def parse_info(
+    records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA, rest: str | None = None
+) -> DataFrame:
     """Turn INFO into one column per key of ``schema``.
 
-    Per-allele keys stay text until :func:`decompose_alleles`. A flag is true when present.
+    Per-allele keys stay text until :func:`decompose_alleles`. A flag is true when present. Keys outside
+    the schema go to the VARIANT column ``rest``, if it is named: an object of their texts, true for those
+    without a value, and NULL where a record has none. Few records have any, so a record is first tested
+    for them by its keys alone. :func:`discover_schema` declares what a file has instead.
     """
 
     def typed(key: str, kind: str, number: str) -> str:
@@ -39,9 +52,70 @@ def parse_info(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCH
         value = f"try_element_at(_info, '{key}')"
         return f"{value} as `{key}`" if number == "A" or kind == "string" else f"try_cast({value} as {kind}) as `{key}`"
 
-    rest = [f"`{c}`" for c in records.columns if c != "INFO"]
-    keyed = records.withColumn("_info", F.str_to_map("INFO", F.lit(";"), F.lit("=")))
-    return keyed.selectExpr(*rest, *[typed(k, t, n) for k, (t, n) in schema.items()])
+    others = [f"`{c}`" for c in records.columns if c != "INFO"]
+    # An empty INFO is one key without a name.
+    keyed = records.withColumn("_info", _keyed())
+    columns = [F.expr(typed(k, t, n)) for k, (t, n) in schema.items()]
+    if rest:
+        known = F.array(*[F.lit(k) for k in schema], F.lit(""), F.lit("."))
+        unknown = F.map_filter("_info", lambda k, _: ~F.array_contains(known, k))
+        value = F.transform_values(unknown, lambda _, v: F.coalesce(v.cast("variant"), F.lit(True).cast("variant")))
+        found = F.size(F.array_except(F.map_keys("_info"), known)) > 0
+        columns.append(F.when(found, F.to_variant_object(value)).alias(rest))
+    return keyed.select(*[F.expr(c) for c in others], *columns)
+
+
+def info_keys(records: DataFrame) -> DataFrame:
+    """The INFO keys that occur, one row each: what :func:`discover_schema` decides by.
+
+    ``n`` entries; ``n_flags`` without a value; ``n_lists`` with commas; ``n_uneven`` whose number of values
+    is neither one nor that of the alleles; ``n_ints`` and ``n_numbers`` whose values are all whole numbers,
+    or numbers. Counted before the shuffle: a task sends one row per key.
+    """
+    alleles = F.size(F.split("ALT", ","))
+    rows = records.select(alleles.alias("_alleles"), F.explode(F.split("INFO", ";")).alias("_entry"))
+    at = F.instr("_entry", "=")
+    rows = rows.select(
+        "_alleles",
+        F.when(at > 0, F.left("_entry", at - 1)).otherwise(F.col("_entry")).alias("Key"),
+        F.when(at > 0, F.substring("_entry", at + 1, F.length("_entry"))).alias("_value"),
+    ).filter(~F.col("Key").isin("", "."))
+    values = F.size(F.split("_value", ","))
+    whole = F.col("_value").rlike(r"^[+-]?[0-9]{1,9}(?:,[+-]?[0-9]{1,9})*$")
+    number = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+    return rows.groupBy("Key").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("_value").isNull()).alias("n_flags"),
+        F.count_if(values > 1).alias("n_lists"),
+        F.count_if((values > 1) & (values != F.col("_alleles")) | (values == 1) & (F.col("_alleles") > 1)).alias("n_uneven"),
+        F.count_if(whole).alias("n_ints"),
+        F.count_if(F.col("_value").rlike(rf"^{number}(?:,{number})*$")).alias("n_numbers"),
+    )
+
+
+def discover_schema(
+    records: DataFrame, declared: dict[str, tuple[str, str]] = INFO_SCHEMA, most: int = 10_000
+) -> dict[str, tuple[str, str]]:
+    """``declared``, and the keys of ``records`` that it lacks, in order of their names.
+
+    A key that never has a value is a flag; one that has as many values as alleles in every record, and
+    several somewhere, is per allele; any other list is text. Keys are whole numbers, numbers or text, by
+    all their values. A file with more than ``most`` other keys is refused: they would be columns.
+    """
+    found = info_keys(records).filter(~F.col("Key").isin(*declared)).orderBy("Key").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} INFO keys are not declared: read them as one column (rest)")
+    schema = dict(declared)
+    for key in found:
+        valued = key.n - key.n_flags
+        kind = "int" if key.n_ints == valued else "double" if key.n_numbers == valued else "string"
+        if not valued:
+            schema[key.Key] = ("boolean", "0")
+        elif not key.n_lists:
+            schema[key.Key] = (kind, "1")
+        else:
+            schema[key.Key] = (kind, "A") if not key.n_uneven else ("string", ".")
+    return schema
 
 
 def clean_ids(records: DataFrame, ann_prefix: str | None = None, list_prefix: str | None = None) -> DataFrame:
@@ -64,14 +138,38 @@ def _per_allele(schema: dict[str, tuple[str, str]]) -> dict[str, str]:
     return {key: kind for key, (kind, number) in schema.items() if number == "A"}
 
 
-def decompose_alleles(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
+def refused(bad: Column, message: Column, value: Column) -> Column:
+    """``value``, unless ``bad``: then the job ends with ``message``, where the value is asked for."""
+    return F.when(bad, F.raise_error(message)).otherwise(value)
+
+
+def check_mode(mode: str) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode}")
+
+
+def uneven_list(key: str) -> Column:
+    """Whether a per-allele list has neither one value nor one per allele; false where it is missing."""
+    size = F.size(F.split(key, ","))
+    return F.coalesce(F.col(key).isNotNull() & (size != 1) & (size != F.size(F.split("ALT", ","))), F.lit(False))
+
+
+def decompose_alleles(
+    records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA, mode: str = "permissive"
+) -> DataFrame:
     """One row per ALT, with its 1-based ``ALT_IDX`` and its own value of each per-allele key.
 
     A single value is repeated for every allele. Lists of any other length give NULL beyond their
-    end; :func:`bad_records` finds such lines.
+    end, and :func:`bad_records` finds such lines; in failfast mode they end the job.
     """
+    check_mode(mode)
     keys = {k: t for k, t in _per_allele(schema).items() if k in records.columns}
-    rows = records.select("*", F.posexplode(F.split("ALT", ",")).alias("_pos", "_alt"))
+    alts = F.split("ALT", ",")
+    if mode == "failfast" and keys:
+        bad = F.array_compact(F.array(*[F.when(uneven_list(k), F.lit(k)) for k in keys]))
+        message = F.concat(F.lit("per-allele INFO of another length than ALT: "), F.array_join(bad, ", "), F.lit(" at "), "CHROM", F.lit(":"), "POS")
+        alts = refused(F.size(bad) > 0, message, alts)
+    rows = records.select("*", F.posexplode(alts).alias("_pos", "_alt"))
 
     def own(key: str, kind: str) -> str:
         values = f"split(`{key}`, ',')"
@@ -86,38 +184,67 @@ def decompose_alleles(records: DataFrame, schema: dict[str, tuple[str, str]] = I
     return rows.selectExpr(*out)
 
 
-def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
-    """Records that cannot be split cleanly, with the reason.
+def record_faults(columns: list[str], schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> dict[str, Column]:
+    """What can be wrong with a record that has ``columns``: fault -> whether it is there.
 
-    Takes records with INFO parsed and IDs cleaned. Looks at the length of per-allele lists, the
-    field count of ANN, LOF and NMD entries and, where there are genotypes, of every cell.
+    For records with INFO parsed and IDs cleaned: the length of per-allele lists, the field count of ANN,
+    LOF and NMD entries and, where there are genotypes, of every cell.
     """
 
-    def uneven(name: str, want: int, between: str = "\\|") -> Column:
+    def uneven(name: str, want: int | Column, between: str = "|") -> Column:
         entries = F.split(name, ",") if name != "CELLS" else F.col(name)
-        return F.exists(entries, lambda entry: F.size(F.split(entry, between)) != want)
+        return F.coalesce(F.exists(entries, lambda entry: separators(entry, between) != want - 1), F.lit(False))
 
-    alleles = F.size(F.split("ALT", ","))
-    tests = [
-        F.when(F.col(k).isNotNull() & ~F.size(F.split(k, ",")).isin(1) & (F.size(F.split(k, ",")) != alleles), f"{k} length")
-        for k in _per_allele(schema)
-        if k in records.columns
-    ]
+    faults = {f"{k} length": uneven_list(k) for k in _per_allele(schema) if k in columns}
     for name, want in (("ANN", len(ANN_FIELDS)), ("LOF", len(LOF_FIELDS)), ("NMD", len(NMD_FIELDS))):
-        tests.append(F.when(uneven(name, want), f"{name} fields"))
-    if "CELLS" in records.columns:
-        want_cells = F.size(F.split("FORMAT", ":")) if "FORMAT" in records.columns else F.lit(5)
-        tests.append(
-            F.when(F.exists("CELLS", lambda c: F.size(F.split(c, ":")) != want_cells), "cell fields")
-        )
+        if name in columns:
+            faults[f"{name} fields"] = uneven(name, want)
+    if "CELLS" in columns:
+        want_cells = separators(F.col("FORMAT"), ":") + 1 if "FORMAT" in columns else F.lit(len(CALL_FIELDS))
+        faults["cell fields"] = uneven("CELLS", want_cells, ":")
+    return faults
+
+
+def bad_records(records: DataFrame, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
+    """Records that cannot be split cleanly, with the reason: see :func:`record_faults`."""
+    tests = [F.when(bad, fault) for fault, bad in record_faults(records.columns, schema).items()]
     return records.withColumn("Reason", F.concat_ws(", ", *tests)).filter(F.col("Reason") != "")
 
 
+def observed(records: DataFrame, counts: Observation, schema: dict[str, tuple[str, str]] = INFO_SCHEMA) -> DataFrame:
+    """``records`` as they are; ``counts`` gets ``records`` and the number with each fault, as they pass by.
+
+    The numbers are there after the first action on the result, which they cost no pass of.
+    """
+    faults = record_faults(records.columns, schema)
+    return records.observe(counts, F.count("*").alias("records"), *[F.count_if(bad).alias(fault) for fault, bad in faults.items()])
+
+
+def route_records(
+    records: DataFrame, path: str, schema: dict[str, tuple[str, str]] = INFO_SCHEMA, mode: str = "permissive"
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Store ``records`` once, split by whether they are malformed: all of them, the malformed ones, and counts.
+
+    One scan tests, counts and writes each record; the malformed ones, with ``Reason``, lie in a folder of
+    their own. In failfast mode the first of them ends the job.
+    """
+    check_mode(mode)
+    counts = Observation("records")
+    tests = [F.when(bad, fault) for fault, bad in record_faults(records.columns, schema).items()]
+    reason = F.concat_ws(", ", *tests)
+    if mode == "failfast":
+        message = F.concat(F.lit("malformed record at "), "CHROM", F.lit(":"), "POS", F.lit(": "), reason)
+        reason = refused(reason != "", message, reason)
+    routed = observed(records, counts, schema).withColumn("Reason", reason).withColumn("malformed", F.col("Reason") != "")
+    routed.write.partitionBy("malformed").parquet(path)
+    stored = records.sparkSession.read.schema(routed.schema).parquet(path)
+    return stored.drop("Reason", "malformed"), stored.filter("malformed").drop("malformed"), counts.get
+
+
 def _entries(rows: DataFrame, want: int, mode: str, what: str) -> DataFrame:
     """Split ``_entry`` into ``_parts``. A wrong field count drops the entry or, in failfast mode, ends the job."""
-    if mode not in MODES:
-        raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode}")
-    pipes = F.length("_entry") - F.length(F.replace("_entry", F.lit("|"), F.lit("")))
+    check_mode(mode)
+    pipes = separators(F.col("_entry"), "|")
     parts = F.split("_entry", "\\|")
     if mode == "failfast":
         message = F.concat(F.lit(f"{what}: expected {want} fields in "), F.col("_entry"))
@@ -261,5 +388,9 @@ def explode_effects(annotations: DataFrame) -> DataFrame:
 
 
 def distinct_annotations(annotations: DataFrame) -> DataFrame:
-    """Drop the message columns and the list index, then keep each row once."""
-    return drop_columns(annotations, "ANN_IDX", prefixes=("Debug",)).distinct()
+    """Drop the message columns and the list index, then keep each row once.
+
+    VARIANT columns become their JSON text, whose keys are in order: variants have no equality.
+    """
+    rows = drop_columns(annotations, "ANN_IDX", prefixes=("Debug",))
+    return rows.withColumns({f.name: F.to_json(f.name) for f in rows.schema.fields if f.dataType.typeName() == "variant"}).distinct()

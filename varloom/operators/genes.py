@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from varloom.functions.scoring import any_of
 from varloom.functions.text import reloaded
-from varloom.operators.order import fill_down_up
+from varloom.operators.order import fill_down_up, ordered_text
 from varloom.params import NAME_COLUMNS, SEARCH_TERMS
 
 FILLED = ["Protein_ID", "Transcript_ID", "Protein_Product"]
@@ -15,6 +15,8 @@ TEXT_COLUMNS = ["GO", "IPR", "KEGG", "KOG", "Protein_Product"]
 
 # Rows of one gene that one task orders at a time when filling.
 FILL_CHUNK = 1 << 17
+# Lines of a table whose names are joined at a time for one protein.
+COLLAPSE_CHUNK = 1 << 12
 
 
 def gff_features(gff: DataFrame) -> DataFrame:
@@ -55,13 +57,14 @@ def fill_gene_ids(features: DataFrame, chunk_rows: int = FILL_CHUNK) -> DataFram
     return fill_down_up(features, "Gene_ID", "_row", FILLED, chunk)
 
 
-def collapse_annotations(table: DataFrame, source: str) -> DataFrame:
+def collapse_annotations(table: DataFrame, source: str, chunk_rows: int = COLLAPSE_CHUNK) -> DataFrame:
     """One row per protein: its names joined with ``;`` in file order, repeats kept.
 
     GO shows a missing name as ``NA``; the other tables leave it out, so that a protein with
-    missing names only gets empty text.
+    missing names only gets empty text. Names are joined in chunks of ``chunk_rows`` lines of the table, so
+    that no task gathers those of a protein one by one.
     """
-    return _collapse([(source, table)])
+    return _collapse([(source, table)], chunk_rows)
 
 
 def _named(source: str, table: DataFrame) -> DataFrame:
@@ -73,25 +76,22 @@ def _named(source: str, table: DataFrame) -> DataFrame:
     )
 
 
-def _collapse(tables: list[tuple[str, DataFrame]]) -> DataFrame:
+def _collapse(tables: list[tuple[str, DataFrame]], chunk_rows: int = COLLAPSE_CHUNK) -> DataFrame:
     rows = None
     for source, table in tables:
         part = _named(source, table)
         rows = part if rows is None else rows.unionByName(part)
-    aggregates = []
-    for source, _ in tables:
-        mine = F.col("_source") == source
-        names = F.collect_list(F.when(mine & F.col("_name").isNotNull(), F.struct("_row", "_name")))
-        text = F.array_join(F.array_sort(names)["_name"], ";")
-        aggregates.append(F.when(F.max(mine), text).alias(source))
-    return rows.groupBy("Protein_ID").agg(*aggregates)
+    chunk = F.floor(F.col("_row") / chunk_rows)
+    texts = ordered_text(rows, ["Protein_ID", "_source"], ["_row"], {"_names": F.col("_name")}, ";", chunk)
+    one = {source: F.max(F.when(F.col("_source") == source, F.col("_names"))).alias(source) for source, _ in tables}
+    return texts.groupBy("Protein_ID").agg(*one.values())
 
 
 def full_join_annotations(go: DataFrame, ipr: DataFrame, kegg: DataFrame, kog: DataFrame) -> DataFrame:
     """One row per protein of any table, with the collapsed text of each: GO, IPR, KEGG, KOG.
 
-    Equals a chain of full outer joins of the collapsed tables, but shuffles once: the tables are
-    stacked and grouped together.
+    Equals a chain of full outer joins of the collapsed tables; the tables are stacked and grouped
+    together instead.
     """
     return _collapse([("GO", go), ("IPR", ipr), ("KEGG", kegg), ("KOG", kog)])
 

@@ -66,3 +66,26 @@ def fill_down_up(df: DataFrame, group: str, order: str, columns: list[str], chun
             for c in df.columns
         ]
     )
+
+
+def ordered_text(
+    rows: DataFrame, keys: list[str], order: list[str], texts: dict[str, Column], between: str, chunk: Column
+) -> DataFrame:
+    """One row per ``keys``: for each of ``texts`` its values joined by ``between`` in ``order``, NULL values left out.
+
+    A text with no values in a group is empty. ``chunk`` must not decrease along ``order``. A first step
+    joins the values of one chunk, a second one the texts of the chunks: no list holds more than the rows
+    of a chunk or the chunks of a group, however many rows a key has.
+    """
+    listed = {
+        name: F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(*order, value.alias("_text")))))["_text"]
+        for name, value in texts.items()
+    }
+    some = rows.groupBy(*keys, chunk.alias("_chunk")).agg(
+        *[F.when(F.size(found) > 0, F.array_join(found, between)).alias(name) for name, found in listed.items()]
+    )
+    whole = {
+        name: F.array_join(F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("_chunk", name))))[name], between)
+        for name in texts
+    }
+    return some.groupBy(*keys).agg(*[text.alias(name) for name, text in whole.items()])

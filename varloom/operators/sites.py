@@ -8,12 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions.alleles import allele_class, is_transition, substitution
+from varloom.operators import intervals
 from varloom.params import VCF_FIXED
 
-# Width of the position bins that overlap joins meet in.
-BIN = 1000
-
-
 def sites_only(records: DataFrame) -> DataFrame:
     """Drop the genotypes."""
     return records.select([c for c in records.columns if c in (*VCF_FIXED, "ROW_ID")])
@@ -57,28 +54,31 @@ def multiallelic(records: DataFrame, kind: str, require: str = "all") -> DataFra
     return rows.filter(test("Classes", lambda c: c == kind)).drop("Classes")
 
 
+def span_end(records: DataFrame) -> Column:
+    """Last position of each record: that of its REF, or INFO ``END`` where that is further."""
+    last = F.col("POS") + F.length("REF") - 1
+    if "END" in records.columns:
+        return F.greatest(last, F.col("END").cast("bigint"))
+    if "INFO" in records.columns:
+        # Few records have one.
+        stated = F.when(F.contains("INFO", F.lit("END=")), F.regexp_extract("INFO", "(?:^|;)END=([0-9]+)(?=;|$)", 1))
+        return F.greatest(last, stated.try_cast("bigint"))
+    return last
+
+
 def subset_sites(records: DataFrame, sites: DataFrame, mode: str = "overlap") -> DataFrame:
-    """Records that cover a listed (CHROM, POS) with their REF; with mode ``pos``, records that begin there.
+    """Records that cover a listed (CHROM, POS); with mode ``pos``, records that begin there.
 
-    For an overlap the ends of records and the positions meet in bins of fixed width; a bin holds at
-    most one list row per position. Only numbers of records go through that join.
+    A record covers its REF, or what INFO ``END`` says. Spans of any length meet the list in one or two
+    bins each, see :mod:`varloom.operators.intervals`. Only numbers of records go through that join; the
+    records are then found by their own site and number, so a layout by site needs no shuffle.
     """
     wanted = sites.select("CHROM", F.col("POS").cast("bigint").alias("POS"))
     if mode == "pos":
         return records.join(wanted, ["CHROM", "POS"], "left_semi")
-    last = F.col("POS") + F.length("REF") - 1
-    bins = F.sequence(F.floor(F.col("POS") / BIN), F.floor(last / BIN))
-    ends = records.select("ROW_ID", "CHROM", "POS", F.length("REF").alias("_length"), F.explode(bins).alias("_bin"))
-    rows = ends.alias("r")
-    listed = wanted.distinct().withColumn("_bin", F.floor(F.col("POS") / BIN)).alias("l")
-    reach = (
-        (F.col("r.CHROM") == F.col("l.CHROM"))
-        & (F.col("r._bin") == F.col("l._bin"))
-        & (F.col("l.POS") >= F.col("r.POS"))
-        & (F.col("l.POS") <= F.col("r.POS") + F.col("r._length") - 1)
-    )
-    hits = rows.join(listed, reach, "left_semi").select("ROW_ID")
-    return records.join(hits, "ROW_ID", "left_semi")
+    spans = records.select("ROW_ID", "CHROM", "POS", span_end(records).alias("_last"))
+    hits = intervals.covering(spans, wanted.withColumnRenamed("POS", "_listed"), "CHROM", "POS", "_last", "_listed")
+    return records.join(hits.select("CHROM", "POS", "ROW_ID"), ["CHROM", "POS", "ROW_ID"], "left_semi")
 
 
 def _n_samples(header_samples: DataFrame | None) -> Column:

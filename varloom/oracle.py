@@ -47,9 +47,11 @@ def _klass(ref: str, alt: str) -> str:
 
 _GATED = """, nullif(HGVS_c, '') as HGVS_c, HGVS_p, nullif(Dist_to_Feature, '') as Dist_to_Feature"""
 
+_REST = """case when k % 12 = 4 then '{"LENG":"' || cast(k % 7 as varchar) || '"' || case when k % 24 = 4 then ',"NOVEL":true' else '' end || '}' end"""
+
 # Later views, in order; a query gets those it needs by getting all of them.
 _MORE = {
-    "ann": "select a.*, e.ANN_IDX from exp_ann a join (select k, ALT_IDX * 10 + ANN_N as ANN_N, row_number() over (partition by k order by ALT_IDX, ANN_N) as ANN_IDX from exp_entries) e on a.k = e.k and a.ANN_N = e.ANN_N",
+    "ann": "select * from exp_ann",
     "dlof": "select distinct CHROM, POS, ALT, Gene_ID, Protein_ID, Total_Transcripts_LOF, Percent_Transcripts_LOF from exp_lof",
     "dnmd": "select distinct CHROM, POS, ALT, Gene_ID, Protein_ID, Total_Transcripts_NMD, Percent_Transcripts_NMD from exp_nmd",
     "ann_lost": f"""select a.*, l.Total_Transcripts_LOF, l.Percent_Transcripts_LOF, n.Total_Transcripts_NMD, n.Percent_Transcripts_NMD,
@@ -61,7 +63,7 @@ _MORE = {
  join exp_list_text t on a.k = t.k""",
     "split_ann": f"""select distinct CHROM, POS, REF, ALT, {_VARIANT_TYPE} as Variant_Type, QUAL, AC, AF, AN, DP, DS, QD, RAW_MQandDP,
  Effect, Impact, Protein_ID, Gene_ID{_GATED}, LOF, Total_Transcripts_LOF, Percent_Transcripts_LOF, NMD, Total_Transcripts_NMD,
- Percent_Transcripts_NMD, isLOF, isNMD from ann_lost""",
+ Percent_Transcripts_NMD, isLOF, isNMD, {_REST} as INFO_REST from ann_lost""",
     "split_eff": "select * replace (unnest(string_split(Effect, '&')) as Effect) from split_ann",
     "messages": """select a.CHROM, a.POS, a.REF, a.ALT, a.Effect, a.Protein_ID, a.Debug from ann a
  left join exp_lof l on a.CHROM = l.CHROM and a.POS = l.POS and a.ALT = l.ALT and a.Gene_ID = l.Gene_ID and a.Protein_ID = l.Protein_ID
@@ -103,13 +105,13 @@ _MORE = {
  full join (select Protein_ID, names as KEGG from collapsed where source = 'KEGG') using (Protein_ID)
  full join (select Protein_ID, names as KOG from collapsed where source = 'KOG') using (Protein_ID)""",
     "genes": """select Protein_ID, GO, IPR, KEGG, KOG, CHROM, Type, feature_start, feature_end, Strand, Phase, ID, Transcript_ID, Parent, Gene_ID,
- case when Protein_ID = '9000007' then coalesce(Protein_Product, 'NA') || ';exonuclease I (Exo1)' else Protein_Product end as Protein_Product
+ case when Protein_ID = '9000007' then coalesce(Protein_Product, 'NA') || ';patched product (Exo1)' else Protein_Product end as Protein_Product
  from proteins join features using (Protein_ID) where Type <> 'mRNA' and Protein_ID in (select Protein_ID from wanted)""",
     "gene_rows": """select * replace (nullif(nullif(GO, ''), 'NA') as GO, nullif(nullif(IPR, ''), 'NA') as IPR, nullif(nullif(KEGG, ''), 'NA') as KEGG,
  nullif(nullif(KOG, ''), 'NA') as KOG, nullif(nullif(Protein_Product, ''), 'NA') as Protein_Product) from genes where Type = 'gene'""",
     "listed": """select distinct a.CHROM, a.POS from ann a join genes g on a.CHROM = g.CHROM and a.Protein_ID = g.Protein_ID and a.Gene_ID = g.Gene_ID
  where a.Impact = 'HIGH' and a.POS between g.feature_start and g.feature_end""",
-    "covered": """select distinct s.k from sites s join listed l on l.CHROM = s.CHROM and l.POS between s.POS and s.POS + length(s.REF) - 1""",
+    "covered": """select distinct s.k from sites s join listed l on l.CHROM = s.CHROM and l.POS between s.POS and greatest(s.POS + length(s.REF) - 1, s.END_POS)""",
     "covered_rows": "select * from call_rows where k in (select k from covered)",
     "covered_summary": """select CHROM, POS, cast(count(*) as int) as N_ALT_ALLELES, cast(count(distinct (REF, ALT)) as int) as N_ALT_DISTINCT,
  string_agg(N_ALT_GTS || ':' || REF || '>' || ALT, ', ' order by k, ALT_IDX, ANN_N) as ALT_SUMMARY from covered_rows group by CHROM, POS""",
@@ -172,6 +174,7 @@ _TEXTS = {
     "scan_vcf": """select CHROM, POS, ID, REF, ALT, QUAL, FILTER, INFO, FORMAT, c.cells from vcf join
  (select k, string_agg(gt || ':' || ad || ':' || dp || ':' || gq || ':' || pl, ' ' order by place) as cells from cells0 group by k) c on vcf.ROW_ID = c.k""",
     "scan_vcf_gz": "select CHROM, POS, ID, REF, ALT, QUAL, INFO from vcf",
+    "scan_vcf_blocks": "select row_number() over (order by ROW_ID) - 1 as row_no, CHROM, POS, ID, REF, ALT, QUAL, INFO from vcf",
     "vcf_header": f"""select '##fileformat=VCFv4.2' as value union all select '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'
  union all select replace('{_FIELDS}', '\\t', chr(9)) || chr(9) || string_agg(SampleID, chr(9) order by SAMPLE_POS) from samples""",
     "vcf_samples": "select SAMPLE_POS, SampleID from samples",
@@ -186,8 +189,8 @@ _TEXTS = {
     "stage_reuse": f"select {_ALLELE}, ALT_IDX, AF from exp_alleles",
     "range_layout": "select CHROM, count(*) as n, min(POS) as first_pos, max(POS) as last_pos, sum(POS)::bigint as sum_pos from sites group by CHROM",
     # flattening
-    "parse_info": """select CHROM, POS, ALT, list_text(INFO, 'AC') as AC, list_text(INFO, 'AF') as AF, AN::int as AN, DP::int as DP, DS, null::int as "END", 60.25::double as MQ, QD, RAW_MQandDP from
- (select v.*, e.AN, e.DP, e.DS, e.QD, e.RAW_MQandDP from vcf v join exp_alleles e on v.ROW_ID = e.k and e.ALT_IDX = 1)""".replace(
+    "parse_info": """select CHROM, POS, ALT, list_text(INFO, 'AC') as AC, list_text(INFO, 'AF') as AF, AN::int as AN, DP::int as DP, DS, END_POS::int as "END", 60.25::double as MQ, QD, RAW_MQandDP from
+ (select v.*, e.AN, e.DP, e.DS, e.QD, e.RAW_MQandDP, s.END_POS from vcf v join exp_alleles e on v.ROW_ID = e.k and e.ALT_IDX = 1 join sites s on s.k = e.k)""".replace(
         "list_text(INFO, 'AC')", "regexp_extract(INFO, '(?:^|;)AC=([^;]*)', 1)"
     ).replace("list_text(INFO, 'AF')", "regexp_extract(INFO, '(?:^|;)AF=([^;]*)', 1)"),
     "clean_ids": f"""select v.CHROM, v.POS, replace(regexp_extract(INFO, ';ANN=([^;]*)', 1), '{ANN_PREFIX}', '') as ANN, t.LOF, t.NMD
@@ -198,6 +201,18 @@ _TEXTS = {
     "project_columns": f"select {_ALLELE}, {_ENTRY} from ann",
     "bad_records": """select k as ROW_ID, CHROM, POS, Reason from (select k, CHROM, POS, concat_ws(', ', case when k % 83 = 2 then 'AC length' end,
  case when k % 97 = 5 then 'ANN fields' end, case when k % 89 = 7 then 'LOF fields' end) as Reason from sites) where Reason <> ''""",
+    "route_records": """select k as ROW_ID, CHROM, POS, Reason from (select k, CHROM, POS, concat_ws(', ', case when k % 83 = 2 then 'AC length' end,
+ case when k % 97 = 5 then 'ANN fields' end, case when k % 89 = 7 then 'LOF fields' end, case when k % 79 = 11 then 'cell fields' end) as Reason from sites) where Reason <> ''""",
+    "record_counts": """select unnest(['records', 'AC length', 'ANN fields', 'LOF fields', 'cell fields']) as Fault, unnest([count(*), count(*) filter (k % 83 = 2),
+ count(*) filter (k % 97 = 5), count(*) filter (k % 89 = 7), count(*) filter (k % 79 = 11)]) as n from sites""",
+    "info_keys": """select "Key", count(*) as n, count(*) filter (v is null) as n_flags, count(*) filter (len(string_split(v, ',')) > 1) as n_lists,
+ count(*) filter (len(string_split(v, ',')) > 1 and len(string_split(v, ',')) <> alleles or len(string_split(v, ',')) = 1 and alleles > 1) as n_uneven,
+ count(*) filter (regexp_full_match(v, '[0-9,]+')) as n_ints, count(*) filter (regexp_full_match(v, '[0-9,.]+')) as n_numbers
+ from (select string_split(e, '=')[1] as "Key", case when e like '%=%' then substr(e, instr(e, '=') + 1) end as v, alleles from
+ (select unnest(string_split(INFO, ';')) as e, len(string_split(ALT, ',')) as alleles from vcf)) group by "Key" """,
+    "info_rest": """select k as ROW_ID, 'LENG' as "Key", '"' || cast(k % 7 as varchar) || '"' as "Value" from sites where k % 12 = 4
+ union all select k, 'NOVEL', 'true' from sites where k % 24 = 4""",
+    "info_discovered": """select k as ROW_ID, case when k % 12 = 4 then cast(k % 7 as int) end as LENG, k % 24 = 4 as NOVEL from sites""",
     "sample_rows": """select * exclude (FORMAT, ALT2) from vcf where ('0x' || substr(md5('42|' || ROW_ID), 1, 8))::bigint < round(0.2 * 4294967296)""",
     "explode_lof": "select CHROM, POS, ALT, Protein_ID, Gene_ID, Total_Transcripts_LOF, Percent_Transcripts_LOF from exp_lof",
     "explode_nmd": "select CHROM, POS, ALT, Protein_ID, Gene_ID, Total_Transcripts_NMD, Percent_Transcripts_NMD from exp_nmd",
@@ -253,8 +268,10 @@ _TEXTS = {
  union all select DP_S, 0, 1 from cells) where Depth is not null group by Depth""",
     "site_list": "select * from listed",
     "subset_sites": "select v.CHROM, v.POS, v.REF, v.ALT, (select count(*) from samples)::int as n_samples from vcf v semi join listed using (CHROM, POS)",
-    "subset_sites_overlap": """select CHROM, POS, REF, ALT from vcf v where exists (select 1 from listed l where l.CHROM = v.CHROM
- and l.POS + 1 between v.POS and v.POS + length(v.REF) - 1)""",
+    "subset_sites_overlap": """select v.CHROM, v.POS, v.REF, v.ALT from vcf v join (select distinct s.k from sites s join listed l on l.CHROM = s.CHROM
+ and l.POS + 1 between s.POS and greatest(s.POS + length(s.REF) - 1, s.END_POS)) c on v.ROW_ID = c.k""",
+    "spans_on_genes": """select s.k as ROW_ID, s.CHROM, s.POS, g.ID, g.feature_start, g.feature_end from sites s join gff_wide g on g.CHROM = s.CHROM
+ and g.Type = 'gene' and g.feature_start <= greatest(s.POS + length(s.REF) - 1, s.END_POS) and s.POS <= g.feature_end where s.k % 501 = 7 or length(s.REF) > 1""",
     # genes
     "gff_features": "select * exclude (_row), _row as row_no from gff_gene",
     "gff_fill": "select _row as row_no, Gene_ID, Protein_ID, Transcript_ID, Protein_Product from features",
@@ -263,7 +280,7 @@ _TEXTS = {
     "proteins_of_interest": "select * from wanted",
     "full_join_annotations": "select * from proteins",
     "gene_annotations": "select * from genes",
-    "annotate_override": """select _row as row_no, Protein_ID, case Protein_ID when '9000007' then coalesce(Protein_Product, 'NA') || ';exonuclease I (Exo1)'
+    "annotate_override": """select _row as row_no, Protein_ID, case Protein_ID when '9000007' then coalesce(Protein_Product, 'NA') || ';patched product (Exo1)'
  when '9000009' then coalesce(Protein_Product, 'NA') || ';helicase' else Protein_Product end as Protein_Product from features""",
     "variants_in_genes": """select a.CHROM, a.POS, a.REF, a.ALT, a.Effect, a.Gene_ID, g.Type, g.feature_start, g.feature_end, g.GO from ann a
  join genes g on a.CHROM = g.CHROM and a.Protein_ID = g.Protein_ID and a.Gene_ID = g.Gene_ID and a.POS between g.feature_start and g.feature_end""",
@@ -294,6 +311,8 @@ _TEXTS = {
     "expand_crosses": f"""select F_ID, M_ID, "Cross", k as ROW_ID, {_ALLELE} from crossed""",
     "cross_table": f"""select F_ID, M_ID, "Cross", Comb_Rank, Effect_Rank, Matched_Terms, Annot_Rank, {_ALLELE}, AF, Effect, Gene_ID, Protein_ID, N_ALT_GTS,
  N_ALT_ALLELES, Annotations from crossed""",
+    "best_crosses": """select * from (select row_number() over (order by first) as "Rank", "Cross", F_ID, M_ID from
+ (select "Cross", F_ID, M_ID, min((gpos, mpos, fpos)) as first from crossed group by all)) where "Rank" <= 100""",
     "cross_list": """select row_number() over (order by first) as "Rank", "Cross", F_ID, M_ID from
  (select "Cross", F_ID, M_ID, min((gpos, mpos, fpos)) as first from crossed group by all)""",
 }

@@ -151,8 +151,9 @@ class Params:
     """Study settings.
 
     ``ann_prefix`` is removed from ANN and ``list_prefix`` from LOF and NMD, both as plain text.
-    ``product_overrides`` maps protein IDs to text added to their product. ``mode`` says what an entry of
-    a wrong field count does: end the job, or be left out and reported by ``bad_records``.
+    ``product_overrides`` maps protein IDs to text added to their product. ``mode`` says what an entry or
+    cell of a wrong field count or a per-allele list of a wrong length does: end the job, or be left out and
+    reported by ``bad_records``. ``info_rest`` names the column of INFO keys outside the schema; None drops them.
     """
 
     ann_prefix: str | None = None
@@ -173,6 +174,7 @@ class Params:
     strict_sexes: bool = True
     per_sample: bool = False
     mode: str = "failfast"
+    info_rest: str | None = "INFO_REST"
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:

@@ -10,14 +10,14 @@ from varloom.params import Params
 
 
 def parsed_records(records: DataFrame, params: Params) -> DataFrame:
-    """Records with INFO columns and bare IDs."""
-    parsed = flatten.parse_info(records, params.info_schema)
+    """Records with INFO columns and bare IDs; keys outside the schema are in the column ``params.info_rest``."""
+    parsed = flatten.parse_info(records, params.info_schema, params.info_rest)
     return flatten.clean_ids(parsed, params.ann_prefix, params.list_prefix)
 
 
 def alleles(records: DataFrame, params: Params) -> DataFrame:
     """One row per ALT of raw records."""
-    return flatten.decompose_alleles(parsed_records(records, params), params.info_schema)
+    return flatten.decompose_alleles(parsed_records(records, params), params.info_schema, params.mode)
 
 
 def having(records: DataFrame, text: str) -> DataFrame:

@@ -10,11 +10,12 @@ from varloom.operators.genes import annotate_variants
 from varloom.operators.sites import sites_only, subset_sites
 from varloom.params import Params
 from varloom.plans.annotations import having, lof_and_nmd, parsed_records
+from varloom.sources.store import bucketed
 
 
 def _call_rows(records: DataFrame, lof: DataFrame, nmd: DataFrame, params: Params) -> DataFrame:
-    parsed = calls.genotypes(parsed_records(records, params))
-    alleles = calls.allele_call_counts(flatten.decompose_alleles(parsed, params.info_schema)).drop("GTS")
+    parsed = calls.genotypes(parsed_records(records, params), params.mode)
+    alleles = calls.allele_call_counts(flatten.decompose_alleles(parsed, params.info_schema, params.mode)).drop("GTS")
     ann = flatten.explode_ann(alleles, distinct=True, mode=params.mode)
     joined = flatten.join_counted_lof_nmd(ann, lof, nmd, params.lof_effects)
     return flatten.add_variant_type(flatten.blank_fields(joined))
@@ -43,9 +44,21 @@ def high_calls(records: DataFrame, params: Params) -> DataFrame:
     return high.filter(F.col("Impact") == params.impact).join(summary, ["CHROM", "POS"])
 
 
+#: What the tables of records at listed sites are bucketed by.
+SITE = ("CHROM", "POS")
+
+
+def store_subset(records: DataFrame, sites: DataFrame) -> DataFrame:
+    """The records that cover a site of the list, stored once for all that follows, in buckets of their site.
+
+    LOF and NMD joins, the site summary and the high-impact rows all take them from there, by site.
+    """
+    return bucketed(subset_sites(records, sites), "subset", SITE)
+
+
 def calls_at(records: DataFrame, sites: DataFrame, params: Params) -> DataFrame:
     """:func:`high_calls` of the records that cover a site of the list; the others are left out first."""
-    return high_calls(subset_sites(records, sites), params)
+    return high_calls(store_subset(records, sites), params)
 
 
 def with_calls(variants: DataFrame) -> DataFrame:
@@ -109,3 +122,10 @@ def cross_table(ranked: DataFrame, header_samples: DataFrame, samples: DataFrame
 def cross_list(ranked: DataFrame, header_samples: DataFrame, samples: DataFrame, params: Params) -> DataFrame:
     """The ranked list of crosses."""
     return crosses.cross_list(cross_table(ranked, header_samples, samples, params))
+
+
+def best_crosses(
+    ranked: DataFrame, header_samples: DataFrame, samples: DataFrame, params: Params, n: int = 100
+) -> DataFrame:
+    """The first ``n`` crosses of :func:`cross_list`."""
+    return crosses.best_crosses(kept_samples(ranked, header_samples, samples, params), n)

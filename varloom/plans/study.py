@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from varloom.operators import crosses as X
-from varloom.operators import flatten, sites
+from varloom.operators import flatten
 from varloom.params import Params
 from varloom.plans import annotations, crosses
 from varloom.session import configure, new_path
@@ -65,9 +65,9 @@ def run_study(spark: SparkSession, files: Files, out: str, params: Params) -> di
 
     listed = stage("sites", annotations.high_impact_sites(records, ids, genes, params))
     report("sites", listed, header=False)
-    subset = stage("subset", sites.subset_sites(records, listed))
+    subset = crosses.store_subset(records, listed)
     paths["subset_vcf"] = f"{out}/subset_vcf"
-    vcf.write_vcf(subset, header, paths["subset_vcf"])
+    vcf.write_vcf(subset.orderBy("ROW_ID"), header, paths["subset_vcf"])
 
     ranked = stage("ranked", crosses.rank_variants(crosses.high_calls(subset, params), genes, params, ordered=False))
     report("ranked_variants", ranked.drop("CELLS", "FORMAT"))

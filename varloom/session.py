@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A table in buckets of (CHROM, POS) also serves joins on these and more columns.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Lists of genes and sites are often tens of MB when stored; below this size the other side,
     # which may hold all genotypes, need not be shuffled.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",

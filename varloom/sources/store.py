@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.params import ANN_FIELDS
+from varloom.session import new_path
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -22,6 +23,22 @@ def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Dat
     return spark.read.parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, keys: list[str] | tuple, buckets: int | None = None) -> DataFrame:
+    """Store ``df`` as a table in buckets of ``keys`` and read it back.
+
+    Joins and groups on columns that include ``keys`` find their rows in the bucket: they are not shuffled
+    again. The table lies in the shared folder; its name is new. Rows are dealt out before the write, so
+    that a bucket is one file.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    table = f"{name}_{path.rpartition('-')[2]}".replace("-", "_")
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(count, *keys).write.bucketBy(count, *keys).sortBy(*keys)
+    writer.option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def write_by_region(records: DataFrame, path: str, partitions: int | None = None) -> None:
     """Parquet sorted by (CHROM, POS), so that a region filter skips files and row groups.
 
@@ -38,7 +55,8 @@ def read_region(spark: SparkSession, path: str, chrom: str, start: int, end: int
 
 
 def report_names(df: DataFrame) -> DataFrame:
-    """Rename to the column names of the text reports."""
+    """Rename to the column names of the text reports; VARIANT columns become JSON text."""
+    df = df.withColumns({f.name: F.to_json(f.name) for f in df.schema.fields if f.dataType.typeName() == "variant"})
     names = {**ANN_FIELDS, "feature_start": "Start", "feature_end": "End", "ALT_SUMMARY": "N_ALT_GTS:REF>ALT"}
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns and k != v})
 

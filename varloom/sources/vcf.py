@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varloom.params import VCF_FIXED
+from varloom.sources.blocks import read_block_lines
 from varloom.sources.files import in_file_order
 
 
@@ -27,14 +28,17 @@ def parse_lines(lines: DataFrame, genotypes: bool = True) -> DataFrame:
     return cut.select(*rest, *[c.alias(n) for n, c in columns.items()])
 
 
-def read_vcf(spark: SparkSession, path: str, genotypes: bool = True, spread: bool = False) -> DataFrame:
+def read_vcf(
+    spark: SparkSession, path: str, genotypes: bool = True, spread: bool = False, blocks: bool = False
+) -> DataFrame:
     """Records of a VCF, plain or compressed, with ``ROW_ID`` in file order.
 
-    A gzip file is one task, whatever its size. ``spread`` deals its lines out by their number right after
-    the scan, over as many tasks as adaptive execution finds fit; write them to Parquet once and read that
-    after.
+    A gzip file is one task, whatever its size, unless it is block-compressed, as indexed files are:
+    ``blocks`` then reads it by as many tasks as a plain file of that size. ``spread`` deals lines of other
+    gzip files out by their number right after the scan, over as many tasks as adaptive execution finds
+    fit; write them to Parquet once and read that after.
     """
-    numbered = in_file_order(spark.read.text(path), "ROW_ID")
+    numbered = read_block_lines(spark, path) if blocks else in_file_order(spark.read.text(path), "ROW_ID")
     if spread:
         numbered = numbered.repartition("ROW_ID")
     return parse_lines(numbered, genotypes)
