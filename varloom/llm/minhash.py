@@ -22,13 +22,14 @@ groups of copies nor texts around a common passage pair off.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +48,8 @@ FINE = 512
 #: Prefixes of up to so many shingles are compared to find the first one shared.
 SHORT = 256
 BIN_BITS = 18
-#: Words whose hashes a Python worker remembers; only speed depends on it.
-REMEMBERED = 1_000_000
+#: Characters of texts whose words are hashed together, and bytes of a step.
+TOGETHER, SLICE = 1_000_000, 1 << 19
 TABLE_BITS, TABLES, MOST_SAMPLES = 14, 64, 4096
 
 #: Standard deviations below the expected agreement at the threshold where a pair stops being a candidate.
@@ -61,7 +62,6 @@ _SIGNATURE = T.StructType(
         T.StructField("sketch", T.ArrayType(T.LongType())),
     ]
 )
-_known: dict[str, int] = {}
 
 
 @dataclass(frozen=True)
@@ -77,16 +77,67 @@ NONE = Frequent(np.zeros(0, np.uint64), np.zeros(0))
 
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the lower-cased words."""
-    words = text.lower().split()
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    while True:
-        try:
-            return np.fromiter(map(_known.__getitem__, words), np.int64, len(words)).view(np.uint64)
-        except KeyError:
-            for w in set(words).difference(_known):
-                # Signed, as Python's large integers are slow to store.
-                _known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "replace")) - (1 << 63)
+    return next(_hashes([text]))
+
+
+def _hashes(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """:func:`word_hashes` of each text; none for a null. Words of many texts are hashed together.
+
+    Nothing is remembered between calls: a worker holds the words of :data:`TOGETHER` characters at most,
+    or of one text.
+    """
+    lists, held = [], 0
+    for text in texts:
+        lists.append(text.lower().split() if isinstance(text, str) else [])
+        held += len(text) if isinstance(text, str) else 0
+        if held > TOGETHER:
+            yield from _hashes_of(lists)
+            lists, held = [], 0
+    yield from _hashes_of(lists)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A random number for each byte; powers of an odd number modulo 2**64, and of its inverse."""
+    letters = np.random.default_rng(20240301).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    base = 0x9E3779B97F4A7C15
+    both = [np.full(SLICE, b, dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64))]
+    for row in both:
+        row[0] = 1
+    return letters, *[np.multiply.accumulate(row) for row in both]
+
+
+def _hashes_of(lists: list[list[str]]) -> Iterator[np.ndarray]:
+    flat = list(chain.from_iterable(lists))
+    try:
+        words = pa.array(flat, pa.large_string())
+    except UnicodeEncodeError:  # half of a character pair, which other sources than Spark may hold
+        words = pa.array([w.encode("utf-8", "replace") for w in flat], pa.large_binary())
+    del flat
+    found = np.zeros(len(words), np.uint64)
+    if len(words):
+        ends = np.frombuffer(words.buffers()[1], dtype=np.int64)[: len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], dtype=np.uint8)
+        letters, powers, inverse = _powers()
+        first = 0
+        while first < len(words):
+            # Words of a slice of bytes; one that is longer stands alone.
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, side="right")) - 1)
+            start, stop = int(ends[first]), int(ends[last])
+            if stop - start <= SLICE:
+                sums = np.zeros(stop - start + 1, dtype=np.uint64)
+                np.cumsum(letters[data[start:stop]] * powers[: stop - start], out=sums[1:])
+                at = ends[first : last + 1] - start
+                # A word may begin where the slice ends, if it is empty.
+                found[first:last] = (sums[at[1:]] - sums[at[:-1]]) * inverse[np.minimum(at[:-1], SLICE - 1)]
+            else:
+                found[first] = int.from_bytes(hashlib.blake2b(data[start:stop].tobytes(), digest_size=8).digest(), "little")
+            first = last
+        found = (found ^ (found >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    at = 0
+    for words_of in lists:
+        yield found[at : at + len(words_of)]
+        at += len(words_of)
 
 
 def shingle_hashes(words: np.ndarray) -> np.ndarray:
@@ -217,11 +268,6 @@ def most_differing(samples: int, similar: float, sigmas: float = SIGMAS) -> int:
     return int(np.ceil(samples * (1 - similar) + sigmas * np.sqrt(samples * similar * (1 - similar))))
 
 
-def _hashes(texts: pd.Series) -> Iterator[np.ndarray]:
-    for text in texts:
-        yield word_hashes(text) if isinstance(text, str) else np.zeros(0, np.uint64)
-
-
 def _drawn(texts: pd.Series, frequent: Frequent, samples: int) -> list[tuple[bytes | None, np.ndarray | None]]:
     """Node and samples of each text, drawn for many texts at once; nulls for a text without words."""
     out: list[tuple[bytes | None, np.ndarray | None]] = [(None, None)] * len(texts)
@@ -253,11 +299,14 @@ def frequent_shingles(docs: DataFrame, text: str = "text", rare: float = RARE) -
     def bins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, documents = np.zeros(1 << BIN_BITS, dtype=np.int64), 0
         for frame in frames:
+            found = []
             for words in _hashes(frame.text):
                 if len(words):
                     documents += 1
-                    one = distinct_of(shingle_hashes(words)) >> np.uint64(64 - BIN_BITS)
-                    np.add.at(counts, one.astype(np.int64), 1)
+                    # Repeats count here, which may only fill more bins.
+                    found.append((shingle_hashes(words) >> np.uint64(64 - BIN_BITS)).astype(np.int32))
+            if found:
+                counts += np.bincount(np.concatenate(found), minlength=len(counts))
         full = np.flatnonzero(counts)
         yield pd.DataFrame({"bin": np.append(full, -1), "n": np.append(counts[full], documents)})
 
@@ -278,8 +327,8 @@ def frequent_shingles(docs: DataFrame, text: str = "text", rare: float = RARE) -
             found = [np.zeros(0, np.uint64)]
             for words in _hashes(frame.text):
                 if len(words):
-                    one = distinct_of(shingle_hashes(words))
-                    found.append(one[flags[(one >> np.uint64(64 - BIN_BITS)).astype(np.int64)]])
+                    one = shingle_hashes(words)
+                    found.append(distinct_of(one[flags[(one >> np.uint64(64 - BIN_BITS)).astype(np.int64)]]))
             shingles, n = np.unique(np.concatenate(found), return_counts=True)
             yield pd.DataFrame({"shingle": shingles.view(np.int64), "n": n})
 
