@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varloom.fixtures import ANN_PREFIX, LIST_PREFIX, STUDY, Inputs
@@ -12,7 +12,7 @@ from varloom.operators import calls as C
 from varloom.operators import crosses as X
 from varloom.operators import flatten as L
 from varloom.operators import genes as G
-from varloom.operators import intervals
+from varloom.operators import intervals, order
 from varloom.operators import qc as Q
 from varloom.operators import ranking as R
 from varloom.operators import sites as S
@@ -161,21 +161,24 @@ def vcf_samples(i: Inputs) -> DataFrame:
 
 @_query
 def scan_gff(i: Inputs) -> DataFrame:
+    """Features of a file, with their line."""
     path = new_path(i.spark, "gff-text")
-    i.gff().drop("_row").write.csv(path, sep="\t", quote="")
-    return tables.read_gff(i.spark, path).drop("_row")
+    i.gff().orderBy("_row").drop("_row").write.csv(path, sep="\t", quote="")
+    return tables.read_gff(i.spark, path).withColumnRenamed("_row", "row_no")
 
 
 @_query
 def scan_annot(i: Inputs) -> DataFrame:
+    """Gene-function tables, with the order of their lines (which the line of names is one of)."""
     folder = new_path(i.spark, "tables")
     for source, table in i.annotation_tables().items():
         missing = "NA" if source == "GO" else "\\N"
-        named = table.drop("_row").withColumnRenamed("proteinId", "#proteinId")
+        named = table.orderBy("_row").drop("_row").withColumnRenamed("proteinId", "#proteinId")
         named.write.csv(f"{folder}/set1_{source}.1.tab.gz", sep="\t", header=True, nullValue=missing, compression="gzip")
     found = tables.discover_annotation_tables(i.spark, folder, "set1")
     parts = [
-        t.select(F.lit(s).alias("source"), "proteinId", F.col(G.NAME_COLUMNS[s]).alias("name")) for s, t in found.items()
+        order.with_rank(t.select("_row", F.lit(s).alias("source"), "proteinId", F.col(G.NAME_COLUMNS[s]).alias("name")), [F.col("_row")], "row_no").drop("_row")
+        for s, t in found.items()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -231,11 +234,14 @@ def stage_reuse(i: Inputs) -> DataFrame:
 
 @_query
 def range_layout(i: Inputs) -> DataFrame:
+    """Records by scaffold, and how many files of the layout reach over the begin of the next one there."""
     path = new_path(i.spark, "by-region")
-    store.write_by_region(_sites(i), path)
-    stored = i.spark.read.parquet(path)
-    return stored.groupBy("CHROM").agg(
-        F.count("*").alias("n"), F.min("POS").alias("first_pos"), F.max("POS").alias("last_pos"), F.sum("POS").alias("sum_pos")
+    store.write_by_region(_sites(i), path, 8)
+    stored = i.spark.read.parquet(path).withColumn("file", F.col("_metadata.file_name"))
+    files = stored.groupBy("CHROM", "file").agg(F.count("*").alias("n"), F.min("POS").alias("lo"), F.max("POS").alias("hi"), F.sum("POS").alias("sum_pos"))
+    reach = F.max("hi").over(Window.partitionBy("CHROM").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("over", F.coalesce(reach > F.col("lo"), F.lit(False))).groupBy("CHROM").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("first_pos"), F.max("hi").alias("last_pos"), F.sum("sum_pos").alias("sum_pos"), F.count_if("over").alias("n_over")
     )
 
 
@@ -690,8 +696,10 @@ def term_rank(i: Inputs) -> DataFrame:
 
 @_query
 def rank_variants(i: Inputs) -> DataFrame:
-    return _ranked(i, ordered=True).select(
-        "ROW_ID", *ALLELE, "ALT_IDX", "Effect", "Gene_ID", "Comb_Rank", "Effect_Rank", "Matched_Terms", "Annot_Rank",
+    """Ranked variant rows, with the place among alleles that their order gives them."""
+    ordered = order.with_rank(_ranked(i), R.rank_keys(), "Place")
+    return ordered.select(
+        "Place", "ROW_ID", *ALLELE, "ALT_IDX", "Effect", "Gene_ID", "Comb_Rank", "Effect_Rank", "Matched_Terms", "Annot_Rank",
         "AF", "N_ALT_GTS", "N_CALLS", "N_ALT_ALLELES", "Annotations", "Total_Transcripts_LOF", "Total_Transcripts_NMD",
     )
 
@@ -708,8 +716,8 @@ def sample_index(i: Inputs) -> DataFrame:
 
 @_query
 def sample_id_check(i: Inputs) -> DataFrame:
-    ids = i.table("part").select((F.col("p_partkey") + 20).alias("SampleID"))
-    return X.sample_id_check(i.view("metadata"), ids)
+    """Samples that only the metadata or only the header of the VCF has."""
+    return X.sample_id_check(i.view("metadata"), vcf.vcf_samples(i.spark, _vcf_text(i)))
 
 
 @_query

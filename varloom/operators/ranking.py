@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varloom.functions import scoring
@@ -33,7 +33,13 @@ def combined_rank(variants: DataFrame) -> DataFrame:
     return variants.withColumn("Comb_Rank", F.col("Effect_Rank") + F.col("Annot_Rank"))
 
 
-def rank_order(variants: DataFrame) -> DataFrame:
-    """Sort by rank, allele frequency and number of alleles, then by place in the file."""
+def rank_keys() -> list[Column]:
+    """Rank, allele frequency and number of alleles, then the place in the file and, last, what rows of one entry differ in."""
     keys = ["Comb_Rank", "AF", "N_ALT_ALLELES", "ROW_ID", "ALT_IDX", "ANN_IDX"]
-    return variants.orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    keys += ["Total_Transcripts_LOF", "Percent_Transcripts_LOF", "Total_Transcripts_NMD", "Percent_Transcripts_NMD", "ID"]
+    return [F.col(c).asc_nulls_last() for c in keys]
+
+
+def rank_order(variants: DataFrame) -> DataFrame:
+    """Sort by :func:`rank_keys`."""
+    return variants.orderBy(*rank_keys())

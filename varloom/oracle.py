@@ -175,19 +175,20 @@ _TEXTS = {
  (select k, string_agg(gt || ':' || ad || ':' || dp || ':' || gq || ':' || pl, ' ' order by place) as cells from cells0 group by k) c on vcf.ROW_ID = c.k""",
     "scan_vcf_gz": "select CHROM, POS, ID, REF, ALT, QUAL, INFO from vcf",
     "scan_vcf_blocks": "select row_number() over (order by ROW_ID) - 1 as row_no, CHROM, POS, ID, REF, ALT, QUAL, INFO from vcf",
-    "vcf_header": f"""select '##fileformat=VCFv4.2' as value union all select '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'
- union all select replace('{_FIELDS}', '\\t', chr(9)) || chr(9) || string_agg(SampleID, chr(9) order by SAMPLE_POS) from samples""",
+    "vcf_header": f"""select 0::int as LINE, '##fileformat=VCFv4.2' as value union all select 1, '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">'
+ union all select 2, replace('{_FIELDS}', '\\t', chr(9)) || chr(9) || string_agg(SampleID, chr(9) order by SAMPLE_POS) from samples""",
     "vcf_samples": "select SAMPLE_POS, SampleID from samples",
-    "scan_gff": """select CHROM, Source, Type, feature_start as "Start", feature_end as "End", Score, Strand, Phase, Attributes from gff""",
-    "scan_annot": """select 'GO' as source, proteinId::varchar as proteinId, goName as name from go union all select 'IPR', proteinId::varchar, iprDesc from ipr
- union all select 'KEGG', proteinId::varchar, definition from kegg union all select 'KOG', proteinId::varchar, kogdefline from kog""",
+    "scan_gff": """select row_number() over (order by _row) - 1 as row_no, CHROM, Source, Type, feature_start as "Start", feature_end as "End", Score, Strand, Phase, Attributes from gff""",
+    "scan_annot": """select row_number() over (partition by source order by _row) as row_no, source, proteinId, name from
+ (select 'GO' as source, _row, proteinId::varchar as proteinId, goName as name from go union all select 'IPR', _row, proteinId::varchar, iprDesc from ipr
+ union all select 'KEGG', _row, proteinId::varchar, definition from kegg union all select 'KOG', _row, proteinId::varchar, kogdefline from kog)""",
     "scan_csv": "select * from metadata",
     "scan_ids": "select SampleID from metadata",
     "typed_reload": "select CHROM, POS::double as POS, REF, ALT, ALT_IDX, QUAL, AF, QD, DS from exp_alleles",
     "sink_roundtrip": "select _row as row_no, proteinId, kogdefline from kog",
     "sites_only": "select CHROM, POS, ID, REF, ALT, QUAL, FILTER, INFO from vcf",
     "stage_reuse": f"select {_ALLELE}, ALT_IDX, AF from exp_alleles",
-    "range_layout": "select CHROM, count(*) as n, min(POS) as first_pos, max(POS) as last_pos, sum(POS)::bigint as sum_pos from sites group by CHROM",
+    "range_layout": "select CHROM, count(*) as n, min(POS) as first_pos, max(POS) as last_pos, sum(POS)::bigint as sum_pos, 0::bigint as n_over from sites group by CHROM",
     # flattening
     "parse_info": """select CHROM, POS, ALT, list_text(INFO, 'AC') as AC, list_text(INFO, 'AF') as AF, AN::int as AN, DP::int as DP, DS, END_POS::int as "END", 60.25::double as MQ, QD, RAW_MQandDP from
  (select v.*, e.AN, e.DP, e.DS, e.QD, e.RAW_MQandDP, s.END_POS from vcf v join exp_alleles e on v.ROW_ID = e.k and e.ALT_IDX = 1 join sites s on s.k = e.k)""".replace(
@@ -298,12 +299,13 @@ _TEXTS = {
     "effect_severity": f"select {_ALLELE}, Effect, {_EFFECT_RANK} as Effect_Rank from ann",
     "merge_annotations": f"select Protein_ID, ID, {_MERGED} as Annotations from genes",
     "term_rank": f"select Protein_ID, ID, {_MATCHED} as Matched_Terms, {_ANNOT_RANK} as Annot_Rank from (select *, {_MERGED} as Annotations from genes)",
-    "rank_variants": f"""select k as ROW_ID, {_ALLELE}, ALT_IDX, Effect, Gene_ID, Comb_Rank, Effect_Rank, Matched_Terms, Annot_Rank, AF, N_ALT_GTS, N_CALLS,
+    "rank_variants": f"""select row_number() over (order by Comb_Rank nulls last, AF nulls last, N_ALT_ALLELES, k, ALT_IDX, ANN_N, Total_Transcripts_LOF nulls last,
+ Percent_Transcripts_LOF nulls last, Total_Transcripts_NMD nulls last, Percent_Transcripts_NMD nulls last, ID nulls last) as Place, k as ROW_ID, {_ALLELE}, ALT_IDX, Effect, Gene_ID, Comb_Rank, Effect_Rank, Matched_Terms, Annot_Rank, AF, N_ALT_GTS, N_CALLS,
  N_ALT_ALLELES, Annotations, Total_Transcripts_LOF, Total_Transcripts_NMD from ranked""",
     # crosses
     "sample_index": "select SampleID, GametophyteCode, nullif(regexp_extract(GametophyteCode, '\\.([MF])\\.', 1), '') as Sex from (select distinct SampleID, GametophyteCode from metadata)",
     "sample_id_check": """select coalesce(a, b) as SampleID, case when b is null then 'metadata' else 'vcf' end as Found_In from (select distinct SampleID as a from metadata)
- full join (select distinct p_partkey + 20 as b from part) on a = b where a is null or b is null""",
+ full join (select distinct SampleID as b from samples) on a = b where a is null or b is null""",
     "calls_with_sample": f"select {_KEPT} from sampled",
     "filter_calls": f"select {_KEPT} from good",
     "both_sexes": f"select {_KEPT} from paired",
