@@ -1,17 +1,17 @@
 """Phrases that recur, found by sampling with a negative border, and how tightly their words belong together.
 
 Words are counted in all documents. Of longer phrases, a sample of documents is mined level by level with a
-lowered threshold: it proposes phrases. One pass over all documents then counts the proposed phrases exactly, together with their negative border: all phrases
-that are not proposed although the phrase without its first word and the one without its last word are.
-Where a phrase of the border turns out frequent, phrases that contain it may be frequent as well and have
-not been counted; another pass counts what it newly allows, until a pass brings no such failure. No
-phrase is counted in two passes.
+lowered threshold: it proposes phrases. One pass over all documents then counts the proposed phrases
+exactly, together with their negative border: all phrases that are not proposed although the phrase without
+its first word and the one without its last word are. Where a phrase of the border turns out frequent,
+phrases that contain it may be frequent as well and have not been counted; another pass counts what it newly
+allows, until a pass brings no such failure. No phrase is counted in two passes.
 
 The border is wide: most of its phrases occur once or twice. The pass therefore first adds up counts by a
-64-bit hash of the phrase, which is never below the count of the phrase, and then counts by the words
-themselves what can reach the threshold. What has been proposed, and what can reach it, are bit fields of
-fixed size (:data:`FIELD_BITS`), so that every task can hold them whatever the corpus. Phrases that share
-a bit are counted without need, never left out.
+hash of the phrase, which is never below the count of the phrase, and then counts by the words themselves
+what can reach the threshold. What has been proposed, and what can reach it, are bit fields of bounded size
+(:data:`MOST_BITS`), so that every task can hold them whatever the corpus. Phrases that share a bit are
+counted without need, never left out.
 
 Nulls: a null text is empty, a null ``lang`` counts as ``und``. A single text of any length is read in
 stretches. Repeated rows count each time. Ties of scores are cut by count and phrase. Without documents, or
@@ -69,11 +69,13 @@ class Fields:
 
     A phrase of several words is counted if its two parts of one word less are in ``now`` and not both in
     ``before``, what earlier passes built on; and, if ``possible`` is given, if it is in there itself.
+    Counts by hash tell ``hash_bits`` apart.
     """
 
     before: np.ndarray | None = None
     now: np.ndarray | None = None
     possible: np.ndarray | None = None
+    hash_bits: int = 64
 
 
 class Counter:
@@ -81,6 +83,7 @@ class Counter:
 
     def __init__(self, fields: Fields, levels: range, by_hash: bool) -> None:
         self.fields, self.levels, self.by_hash = fields, levels, by_hash
+        self.cut = np.uint64(max(0, 64 - fields.hash_bits))
         self.texts: dict[str, list[bytes]] = {}
         self.held, self.carried = 0, b""
 
@@ -164,7 +167,9 @@ class Counter:
         for start in range(0, len(seen), ROWS):
             rows = seen[start : start + ROWS]
             if self.by_hash:
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[rows].view(np.int64)), pa.array(times[rows].astype(np.int64))], ["h", "f"])
+                # Some bits more than a field has tell phrases apart well enough here, and are less to send.
+                short = hashes[rows] >> self.cut << self.cut
+                yield pa.RecordBatch.from_arrays([pa.array(short.view(np.int64)), pa.array(times[rows].astype(np.int32))], ["h", "f"])
             else:
                 words = [names.take(pa.array(phrases[rows, k])) for k in range(level)]
                 texts = words[0] if level == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
@@ -194,7 +199,7 @@ def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -
                     yield from counter.add(value.encode(), lang.as_py())
         yield from counter.count()
 
-    kinds = "h long, f long" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
+    kinds = "h long, f int" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
     return small_batches(docs.select("lang", "text")).mapInArrow(run, kinds)
 
 
@@ -240,7 +245,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
     bits = field_bits(sample)
 
     def possible_in(docs: DataFrame, levels: range, now: np.ndarray | None, least: int, base: np.ndarray | None = None) -> np.ndarray:
-        sent = context.broadcast(Fields(now=now))
+        sent = context.broadcast(Fields(now=now, hash_bits=bits + 8))
         field = bit_field(count_hashes(docs, sent, levels).filter(F.col("f") >= least), bits, base)
         sent.destroy()
         return field
