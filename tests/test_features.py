@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from varloom import catalog
 from varloom.fixtures import STUDY
-from varloom.operators import calls, crosses, flatten, genes, intervals, order, sites
+from varloom.operators import calls, crosses, flatten, genes, intervals, order, qc, sites, terms
 from varloom.params import INFO_SCHEMA
 from varloom.plans import annotations as PA
 from varloom.plans import crosses as PX
 from varloom.session import new_path
 from varloom.sources import blocks, files, store
+from varloom.streaming import tallies
 
 
 def record(spark, info="AC=1", alt="G", row=1, cells=("0:1,2:3:4:5",), layout="GT:AD:DP:GQ:PL"):
@@ -311,3 +312,86 @@ def test_best_crosses_are_the_first_of_the_list(inputs, n):
     assert best.orderBy("Rank").collect() == whole[:n]
     if n <= 7:
         assert max(seen) < kept.select("ROW_ID", "ALT_IDX", "ANN_IDX").distinct().count()
+
+
+# ---- terms -------------------------------------------------------------------------------------
+
+
+def test_terms_of_any_number_and_length(spark):
+    rng = random.Random(4)
+    texts = [(i, "".join(rng.choices("abAB é%_", k=rng.choice([0, 1, 2, 5, 40])))) for i in range(300)] + [(301, None)]
+    wanted = ["".join(rng.choices("abAB é%_", k=rng.choice([1, 2, 3, 4, 6]))) for _ in range(200)] + ["", None, "zzzz", "z"]
+    table, listed = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame([(w,) for w in wanted], "term string")
+    found = sorted((r.id, r.term) for r in terms.matches(table, listed, ["id"], "t").collect())
+    assert found == sorted({(i, w) for i, t in texts for w in wanted if t and w and w.lower() in t.lower()})
+    assert terms.matches(table, listed.limit(0), ["id"], "t").count() == 0
+    assert terms.matches(table.limit(0), listed, ["id"], "t").count() == 0
+
+
+def test_many_terms_find_what_the_few_do(inputs, spark):
+    kegg = inputs.annotation_tables()["KEGG"]
+    many = spark.range(50_000).select(F.concat(F.lit("no such term "), "id").alias("term")).union(spark.createDataFrame([(t,) for t in STUDY.search_terms], "term string"))
+    found = terms.matches(kegg.select(F.col("proteinId").cast("string").alias("p"), "definition"), many, ["p"], "definition")
+    want = genes.search_terms(kegg, "KEGG")
+    assert {r.p for r in found.collect()} == {r.Protein_ID for r in want.collect()} != set()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+# ---- stages, tallies, sketches -----------------------------------------------------------------
+
+
+def test_stages_follow_their_inputs(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "stages")
+    count = lambda: len(list((tmp_path / "stages").iterdir()))
+
+    def stage(factor=2):
+        return store.stage_by_content(spark.read.parquet(source).select((F.col("id") * factor).alias("x")), folder, "doubled").agg(F.sum("x")).first()[0]
+
+    spark.range(10).write.parquet(source)
+    assert (stage(), count()) == (90, 1)
+    assert (stage(), count()) == (90, 1)
+    assert (stage(3), count()) == (135, 2)
+    spark.range(5).write.mode("append").parquet(source)
+    assert (stage(), count()) == (110, 3)
+    assert (stage(3), stage(), count()) == (165, 110, 4)
+
+
+def test_batches_count_once(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    runs = []
+
+    def partial(batch):
+        runs.append(1)
+        return batch.groupBy("value").agg(F.count("*").alias("n"))
+
+    def totals():
+        tallies.fold(spark.readStream.text(folder), out, partial)
+        return {r.value: r.n for r in tallies.summed(tallies.folded(spark, out), ["value"], ["n"]).collect()}
+
+    spark.createDataFrame([("a",), ("b",), ("a",)], "value string").write.text(folder)
+    assert totals() == {"a": 2, "b": 1}
+    assert totals() == {"a": 2, "b": 1} and len(runs) == 1
+    spark.createDataFrame([("a",), ("c",)], "value string").write.mode("append").text(folder)
+    assert totals() == {"a": 3, "b": 1, "c": 1} and len(runs) == 2
+    # A batch that failed after it was stored runs again under its number.
+    (tmp_path / "out" / "progress" / "commits" / "1").unlink()
+    (tmp_path / "out" / "progress" / "commits" / ".1.crc").unlink(missing_ok=True)
+    assert totals() == {"a": 3, "b": 1, "c": 1} and len(runs) == 3
+
+
+@pytest.mark.parametrize("k", [64, 512])
+def test_merged_sketches_keep_their_rank_bound(spark, k):
+    rng = random.Random(k)
+    values = [rng.lognormvariate(0, 2) for _ in range(60_000)]
+    rows = spark.createDataFrame([("e", v) for v in values] + [("e", None), ("e", float("nan")), ("f", 1.0)], "by string, AF double")
+    parts = [qc.box_sketches(rows.filter(F.pmod(F.xxhash64("AF"), F.lit(5)) == i), "by", ["AF"], k) for i in range(5)]
+    sketches = parts[0]
+    for part in parts[1:]:
+        sketches = sketches.unionByName(part)
+    boxes = {r.by: r for r in qc.boxes_of_sketches(sketches, "by").collect()}
+    box = boxes["e"]
+    assert (box.n, box.least, box.most) == (len(values), min(values), max(values))
+    for q, p in (("q1", 0.25), ("med", 0.5), ("q3", 0.75)):
+        assert abs(sum(v <= box[q] for v in values) / len(values) - p) <= qc.rank_error(k) + 1 / len(values)
+    assert (boxes["f"].q1, boxes["f"].q3, boxes["f"].n) == (1.0, 1.0, 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from varloom.fixtures import ANN_PREFIX, LIST_PREFIX, STUDY, Inputs
@@ -12,7 +12,7 @@ from varloom.operators import calls as C
 from varloom.operators import crosses as X
 from varloom.operators import flatten as L
 from varloom.operators import genes as G
-from varloom.operators import intervals, order
+from varloom.operators import intervals, order, terms
 from varloom.operators import qc as Q
 from varloom.operators import ranking as R
 from varloom.operators import sites as S
@@ -20,6 +20,7 @@ from varloom.plans import annotations as PA
 from varloom.plans import crosses as PX
 from varloom.session import new_path
 from varloom.sources import blocks, store, tables, vcf
+from varloom.streaming import tallies
 from varloom.functions.text import pretty_label
 
 Query = Callable[[Inputs], DataFrame]
@@ -232,6 +233,16 @@ def stage_reuse(i: Inputs) -> DataFrame:
     return store.stage(i.spark, path, _must_not_run).drop("ROW_ID")
 
 
+@_query
+def stage_by_content(i: Inputs) -> DataFrame:
+    """A stage that is built once for the same inputs and plan, and again for another plan."""
+    folder = new_path(i.spark, "stages")
+    for least in (0.1, 0.2, 0.2):
+        rows = _alleles(i).select("ROW_ID", *ALLELE, "ALT_IDX", "AF").filter(F.col("AF") >= least)
+        kept = store.stage_by_content(rows, folder, "alleles")
+    return kept.drop("ROW_ID")
+
+
 @_query
 def range_layout(i: Inputs) -> DataFrame:
     """Records by scaffold, and how many files of the layout reach over the begin of the next one there."""
@@ -454,6 +465,45 @@ def qc_box_by_type(i: Inputs) -> DataFrame:
     return _rounded(Q.box_stats(_stored_split(i), "Variant_Type"))
 
 
+@_query
+def qc_sketch_by_effect(i: Inputs) -> DataFrame:
+    """Rows per effect and metric, and whether quartiles of merged sketches are where their error bound says.
+
+    Sketches are built and stored for four parts of the table on their own.
+    """
+    rows = L.explode_effects(_stored_split(i))
+    path = new_path(i.spark, "sketches")
+    for part in range(4):
+        of_part = rows.filter(F.pmod(F.xxhash64("CHROM", "POS"), F.lit(4)) == part)
+        Q.box_sketches(of_part, "Effect").write.parquet(f"{path}/part={part}")
+    boxes = Q.boxes_of_sketches(i.spark.read.parquet(path), "Effect")
+    pairs = [F.struct(F.lit(m).alias("Metric"), F.col(m).cast("double").alias("Value")) for m in Q.BOX_METRICS]
+    values = rows.select("Effect", F.inline(F.array(*pairs))).filter("Value is not null")
+
+    def inside(q: str, p: float) -> Column:
+        below, upto = F.count_if(F.col("Value") < F.col(q)) / F.count("*"), F.count_if(F.col("Value") <= F.col(q)) / F.count("*")
+        return (below - Q.rank_error() <= p) & (upto + Q.rank_error() >= p)
+
+    ranks = [inside(q, p).alias(f"{q}_inside") for q, p in (("q1", 0.25), ("med", 0.5), ("q3", 0.75))]
+    return values.join(boxes, ["Effect", "Metric"]).groupBy("Effect", "Metric", "n", "least", "most").agg(*ranks)
+
+
+@_query
+def kept_counts(i: Inputs) -> DataFrame:
+    """Effects of a folder of VCF texts that grows between two runs of a stream, from stored partial counts."""
+    folder, out = new_path(i.spark, "growing"), new_path(i.spark, "tallies")
+    halves = [vcf.to_lines(i.vcf().filter(F.pmod(F.xxhash64("ROW_ID"), F.lit(2)) == half)) for half in (0, 1)]
+
+    def partial(lines: DataFrame) -> DataFrame:
+        rows = L.explode_ann(PA.alleles(vcf.parse_lines(lines, genotypes=False), STUDY), distinct=True)
+        return L.explode_effects(rows).groupBy("Effect", "Impact").agg(F.count("*").alias("n"))
+
+    for half in halves:
+        half.write.mode("append").text(folder)
+        tallies.fold(i.spark.readStream.text(folder), out, partial)
+    return tallies.summed(tallies.folded(i.spark, out), ["Effect", "Impact"], ["n"])
+
+
 @_query
 def pretty_labels(i: Inputs) -> DataFrame:
     rows = _stored_split(i).groupBy("Effect").agg(F.count("*").alias("n"))
@@ -593,6 +643,18 @@ def search_terms(i: Inputs) -> DataFrame:
     return parts
 
 
+@_query
+def term_table(i: Inputs) -> DataFrame:
+    """Proteins and the terms in their names, from a table of terms: the search terms, brands, types and segments."""
+    parts = i.table("part").select(F.explode(F.array("p_brand", "p_type")).alias("term"))
+    wanted = parts.union(i.table("customer").select("c_mktsegment")).union(i.spark.createDataFrame([(t,) for t in STUDY.search_terms], "term string")).distinct()
+    names = None
+    for source, table in i.annotation_tables().items():
+        part = table.select(F.lit(source).alias("source"), F.col("proteinId").cast("string").alias("Protein_ID"), F.col(G.NAME_COLUMNS[source]).alias("name"))
+        names = part if names is None else names.unionByName(part)
+    return terms.matches(names.dropDuplicates(), wanted, ["source", "Protein_ID"], "name")
+
+
 @_query
 def proteins_of_interest(i: Inputs) -> DataFrame:
     return _gene_table(i)[0]

@@ -188,6 +188,7 @@ _TEXTS = {
     "sink_roundtrip": "select _row as row_no, proteinId, kogdefline from kog",
     "sites_only": "select CHROM, POS, ID, REF, ALT, QUAL, FILTER, INFO from vcf",
     "stage_reuse": f"select {_ALLELE}, ALT_IDX, AF from exp_alleles",
+    "stage_by_content": f"select {_ALLELE}, ALT_IDX, AF from exp_alleles where AF >= 0.2",
     "range_layout": "select CHROM, count(*) as n, min(POS) as first_pos, max(POS) as last_pos, sum(POS)::bigint as sum_pos, 0::bigint as n_over from sites group by CHROM",
     # flattening
     "parse_info": """select CHROM, POS, ALT, list_text(INFO, 'AC') as AC, list_text(INFO, 'AF') as AF, AN::int as AN, DP::int as DP, DS, END_POS::int as "END", 60.25::double as MQ, QD, RAW_MQandDP from
@@ -242,6 +243,11 @@ _TEXTS = {
     "row_totals": "select count(*) as n, 'n = ' || format('{:,}', count(*)) as label from split_ann",
     "qc_box_by_effect": _box("split_eff", "Effect"),
     "qc_box_by_type": _box("split_ann", "Variant_Type"),
+    "qc_sketch_by_effect": "select Effect, Metric, count(*) as n, min(v) as least, max(v) as most, true as q1_inside, true as med_inside, true as q3_inside from ("
+    + " union all ".join(f"select Effect, '{m}' as Metric, {m}::double as v from split_eff where {m} is not null" for m in ("AF", "QUAL", "DP", "QD", "AC"))
+    + ") group by Effect, Metric",
+    "kept_counts": """select Effect, Impact, count(*) as n from (select unnest(string_split(Effect, '&')) as Effect, Impact from
+ (select distinct k, ALT_IDX, ALT, Effect, Impact, Protein_ID, Gene_ID, HGVS_c, HGVS_p, Dist_to_Feature from ann)) group by all""",
     "pretty_labels": """select Effect, count(*) as n, regexp_replace(replace(replace(replace(Effect, '_variant', ''), '_', ' '), '&', ' & '), '(?i)prime', '''', 'g') as label
  from split_ann group by Effect""",
     # record filters and tallies
@@ -278,6 +284,11 @@ _TEXTS = {
     "gff_fill": "select _row as row_no, Gene_ID, Protein_ID, Transcript_ID, Protein_Product from features",
     "collapse_annotations": "select * from collapsed",
     "search_terms": "select * from found",
+    "term_table": f"""select distinct n.source, n.Protein_ID, t.term from (select distinct source, Protein_ID, name from
+ (select 'GO' as source, proteinId::varchar as Protein_ID, goName as name from go union all select 'IPR', proteinId::varchar, iprDesc from ipr
+ union all select 'KEGG', proteinId::varchar, definition from kegg union all select 'KOG', proteinId::varchar, kogdefline from kog)) n
+ join (select p_brand as term from part union select p_type from part union select c_mktsegment from customer
+ union select unnest([{", ".join("'" + t + "'" for t in SEARCH_TERMS)}])) t on contains(lower(n.name), lower(t.term))""",
     "proteins_of_interest": "select * from wanted",
     "full_join_annotations": "select * from proteins",
     "gene_annotations": "select * from genes",

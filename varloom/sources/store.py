@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,33 @@ def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Dat
     return spark.read.parquet(path)
 
 
+def fingerprint(df: DataFrame) -> str:
+    """A name for what ``df`` computes from what: its plan, and path, size and time of change of every file it reads."""
+    spark = df.sparkSession
+    limit = "spark.sql.debug.maxToStringFields"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "1000000")
+    try:
+        plan = df._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set(limit, usual)
+    # Numbers of columns and of plan nodes differ between runs.
+    facts = [re.sub(r"#\d+L?|plan_id=\d+", "#", plan)]
+    for file in sorted(df.inputFiles()):
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+        facts.append(f"{file} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(facts).encode()).hexdigest()[:24]
+
+
+def stage_by_content(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """The stored result of ``df`` below ``folder``, computed only if nothing finished has its :func:`fingerprint`.
+
+    A changed input file, parameter or operator makes another stage; the earlier one stays.
+    """
+    return stage(df.sparkSession, f"{folder}/{name}-{fingerprint(df)}", lambda: df)
+
+
 def bucketed(df: DataFrame, name: str, keys: list[str] | tuple, buckets: int | None = None) -> DataFrame:
     """Store ``df`` as a table in buckets of ``keys`` and read it back.
 
