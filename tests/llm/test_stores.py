@@ -234,3 +234,38 @@ def test_pipeline_stages_hold_what_they_say(spark):
     ids = {r.doc_id for r in kept[2].collect()}
     assert {r.doc_id for r in kept[3].collect()} <= ids <= {r.doc_id for r in kept[1].collect()}
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(8 if i % 3 else 5).tolist()) for i in range(90)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in neighbours.nearest(table, lambda i: i % 10 == 0, 5).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    by_id = {i: np.array(v) for i, v in rows}
+    assert set(found) == set(range(0, 90, 10))
+    hits = 0
+    for q, got in found.items():
+        same = [i for i in by_id if i != q and len(by_id[i]) == len(by_id[q])]
+        want = sorted(same, key=lambda i: (-float(by_id[i] @ by_id[q]), i))[:5]
+        assert all(len(by_id[v]) == len(by_id[q]) and abs(by_id[v] @ by_id[q] - s) < 1e-9 for _, v, s in got)
+        hits += len({v for _, v, _ in got} & set(want))
+    assert hits >= 0.9 * 45
+
+
+def test_names_used_on_the_way_may_be_columns(spark, docs):
+    from varloom.llm import exact, mixing
+    from varloom.llm.common import keep_rows
+
+    names = sorted(resharding.OWN | {"kept0", "key0", "row_key0", "row_copies", "copies", "mix", "class", "node", "bands", "sketch", "target", "bits", "chunk", "recipe"})
+    odd = docs.withColumns({n: F.lit(n) for n in names})
+    placed, plan = resharding.reshard(odd, F.lit(0), 3)
+    rows = resharding.with_slots(resharding.rewrite(placed, plan)).collect()
+    assert len(rows) == docs.count() and {r["_line"] for r in rows} == {"line"} and {r["_slot"] for r in rows} == {"slot"}
+    assert sorted(r.slot for r in rows if r.new_shard == 0) == list(range(sum(r.new_shard == 0 for r in rows)))
+    kept = docs.select(F.col("doc_id").alias("key0")).groupBy("key0").agg(F.count("*").alias("copies"))
+    assert keep_rows(odd, [F.col("doc_id")], kept).columns == odd.columns
+    assert keep_rows(odd, [F.col("doc_id")], kept).count() == docs.select("doc_id").distinct().count()
+    assert exact.drop_exact_duplicates(odd).columns == odd.columns
+    assert set(odd.columns) <= set(mixing.mixture(odd).columns)

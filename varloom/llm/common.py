@@ -52,10 +52,11 @@ def keep_rows(docs: DataFrame, keys: list[Column], kept: DataFrame) -> DataFrame
     Only keys that more than one row carries are shuffled a second time to leave one row.
     """
     names = [fresh(docs, f"row_key{i}") for i in range(len(keys))]
+    theirs = [fresh(docs, f"kept{i}") for i in range(len(keys))]
     copies = fresh(docs, "row_copies")
-    small = kept.select(*(F.col(f"key{i}").alias(f"kept{i}") for i in range(len(keys))), F.col("copies").alias(copies))
+    small = kept.select(*(F.col(f"key{i}").alias(n) for i, n in enumerate(theirs)), F.col("copies").alias(copies))
     wide = docs.withColumns(dict(zip(names, keys, strict=True)))
-    same = [F.col(n).eqNullSafe(F.col(f"kept{i}")) for i, n in enumerate(names)]
+    same = [F.col(n).eqNullSafe(F.col(t)) for n, t in zip(names, theirs, strict=True)]
     met = wide.join(small, on=same, how="inner")
     once = met.filter(F.col(copies) == 1).select(*docs.columns)
     again = met.filter(F.col(copies) > 1).dropDuplicates(names).select(*docs.columns)

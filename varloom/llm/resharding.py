@@ -14,13 +14,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from varloom.llm.common import store
+from varloom.llm.common import fresh, store
 from varloom.session import new_path
 
 #: Bytes of a block, about; the number of hash ranges follows the size of the largest shard.
 BLOCK_BYTES = 16 << 20
 LEAST_RANGES = 16
 NEW = -1
+#: Names that columns have on the way.
+OWN = {
+    "old_shard", "new_shard", "line", "shard", "slot", "row_size", "row_key", "size_class", "row_range", "middle", "cuts",
+    "bytes", "rows", "bytes_before", "rows_before", "base", "first",
+}
 
 
 def row_size(text: Column) -> Column:
@@ -107,11 +112,19 @@ def reshard(docs: DataFrame, old: Column, shards: int, doc_id: str = "doc_id", t
     """``docs`` columns with ``old_shard, new_shard, line`` (place on the old shard's line), and the plan.
 
     ``old`` is the number of the shard that holds a row; null marks a row that no shard holds yet. Sizes
-    of new shards differ by a few rows' bytes at most. An empty table gives no row and an empty plan.
+    of new shards differ by a few rows' bytes at most. An empty table gives no row and an empty plan. Null
+    and very long texts have their size; rows that repeat each other each have a place. Columns of
+    ``docs`` with a name of :data:`OWN` come back with an underscore in front; not ``doc_id`` and ``text``.
     """
     spark = docs.sparkSession
     size = row_size(F.col(text))
-    base = docs.withColumn("old_shard", F.coalesce(old.cast("int"), F.lit(NEW))).withColumn("row_size", size)
+    held = docs.select("*", F.coalesce(old.cast("int"), F.lit(NEW)).alias(fresh(docs, "old_shard")))
+    *names, last = held.columns
+    taken = [c for c in names if c.lower() in OWN]
+    for name in taken:
+        held = held.withColumnRenamed(name, fresh(held, f"_{name}"))
+    base = held.withColumnRenamed(last, "old_shard").withColumn("row_size", size)
+    columns = held.columns[:-1]
     sizes = {r.old_shard: r.bytes for r in base.groupBy("old_shard").agg(F.sum("row_size").alias("bytes")).collect()}
     plan = solve(sizes, even_capacities(sum(sizes.values()), shards))
     ranges = max(LEAST_RANGES, -(-max(sizes.values(), default=0) // BLOCK_BYTES))
@@ -134,7 +147,7 @@ def reshard(docs: DataFrame, old: Column, shards: int, doc_id: str = "doc_id", t
     table = F.broadcast(spark.createDataFrame(cuts, "old_shard int, cuts array<struct<end: long, shard: int>>"))
     placed = placed.join(table, "old_shard")
     new = F.filter("cuts", lambda c: F.col("middle") < c["end"])[0]["shard"]
-    return placed.withColumn("new_shard", new).select(*docs.columns, "old_shard", "new_shard", "line"), plan
+    return placed.withColumn("new_shard", new).select(*columns, "old_shard", "new_shard", "line"), plan
 
 
 def rewrite(placed: DataFrame, plan: Plan, path: str | None = None) -> DataFrame:
