@@ -16,7 +16,7 @@ from varloom.params import INFO_SCHEMA
 from varloom.plans import annotations as PA
 from varloom.plans import crosses as PX
 from varloom.session import new_path
-from varloom.sources import blocks, files, store
+from varloom.sources import blocks, files, store, vcf
 from varloom.streaming import tallies
 
 
@@ -395,3 +395,28 @@ def test_merged_sketches_keep_their_rank_bound(spark, k):
     for q, p in (("q1", 0.25), ("med", 0.5), ("q3", 0.75)):
         assert abs(sum(v <= box[q] for v in values) / len(values) - p) <= qc.rank_error(k) + 1 / len(values)
     assert (boxes["f"].q1, boxes["f"].q3, boxes["f"].n) == (1.0, 1.0, 1)
+
+
+# ---- scans -------------------------------------------------------------------------------------
+
+
+def test_records_and_their_numbers_come_from_one_scan(spark, tmp_path, small_ranges):
+    lines = [f"c\t{i}\t.\tA\tG\t.\tPASS\tAC=1" for i in range(4000)]
+    for name, part in (("a b", lines[:10]), ("b", lines[10:3000]), ("c", lines[3000:])):
+        (tmp_path / f"{name}.vcf").write_text("##x\n#CHROM\n" + "\n".join(part) + "\n")
+    one = vcf.read_vcf(spark, str(tmp_path / "b.vcf"), genotypes=False)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    rows = vcf.read_vcf(spark, str(tmp_path), genotypes=False)
+    assert rows.rdd.getNumPartitions() > 3
+    assert [r.POS for r in rows.orderBy("ROW_ID").collect()] == list(range(4000))
+    assert rows.select("ROW_ID").distinct().count() == 4000
+    head = vcf.vcf_header(spark, str(tmp_path), first=1)
+    assert [(r.LINE, r.value) for r in head.orderBy("LINE").collect()] == [(0, "##x"), (1, "#CHROM")]
+
+
+def test_empty_tables_read_as_such(spark, tmp_path):
+    from varloom.sources import tables
+
+    (tmp_path / "x_KEGG.tab").write_text("")
+    assert tables.read_annotation_table(spark, str(tmp_path / "x_KEGG.tab"), "KEGG").columns == ["_row", "proteinId", "definition"]

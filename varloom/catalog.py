@@ -582,7 +582,7 @@ def quality_histogram(i: Inputs) -> DataFrame:
 @_query
 def depth_histogram(i: Inputs) -> DataFrame:
     records = i.vcf()
-    return S.depth_histogram(L.parse_info(records), C.cells_long(records, i.header_samples()))
+    return S.depth_histogram(L.parse_info(records), C.cells_long(records, None))
 
 
 @_query

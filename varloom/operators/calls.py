@@ -89,12 +89,12 @@ def calls_long(calls: DataFrame, header_samples: DataFrame) -> DataFrame:
 
 
 def cells_long(
-    records: DataFrame, header_samples: DataFrame, by_format: bool = False, mode: str = "permissive"
+    records: DataFrame, header_samples: DataFrame | None, by_format: bool = False, mode: str = "permissive"
 ) -> DataFrame:
     """:func:`parse_calls`, :func:`ref_alt_depth` and :func:`calls_long` in one, keeping AD and PL.
 
     The cells are exploded as text and split as columns, which runs as generated code; the places of
-    the fields are found before that, once per record.
+    the fields are found before that, once per record. Without ``header_samples`` there is no SampleID.
     """
     rest = [c for c in records.columns if c != "CELLS"]
     places = [call_places(F.col("FORMAT")).alias("_places")] if by_format else []
@@ -104,7 +104,7 @@ def cells_long(
     rows = rows.select(*kept, F.split("_cell", ":").alias("_parts"))
     rows = rows.withColumns(call_columns(F.col("_parts"), F.col("_places") if by_format else None)).drop("_parts", "_places")
     rows = rows.withColumns(ref_alt_columns(F.col("GT"), F.col("AD"), F.col("PL")))
-    return rows.join(header_samples, "SAMPLE_POS")
+    return rows if header_samples is None else rows.join(header_samples, "SAMPLE_POS")
 
 
 def site_allele_summary(rows: DataFrame, chunk_records: int = SUMMARY_CHUNK) -> DataFrame:

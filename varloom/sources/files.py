@@ -31,6 +31,8 @@ def in_file_order(rows: DataFrame, name: str) -> DataFrame:
 
 #: Bits of a row's place in its task, and of its range, in the numbers of :func:`in_scan_order`.
 PLACE_BITS, RANGE_BITS = 31, 32
+#: Paths of files that are sent to every task; more are joined by a shuffle.
+MOST_SENT = 100_000
 _SLASHES = "^([a-zA-Z0-9+.-]+:)/+"
 
 
@@ -61,6 +63,9 @@ def in_scan_order(rows: DataFrame, name: str) -> DataFrame:
     rank = F.lit(0).cast("bigint")
     if len(files) > 1:
         ranks = spark.createDataFrame(list(enumerate(files)), "_rank bigint, _path string")
+        if len(files) <= MOST_SENT:
+            # Lines then stay where they are.
+            ranks = F.broadcast(ranks)
         marked = marked.join(ranks, F.col("_file") == F.col("_path"), "left")
         rank = F.col("_rank")
     number = (rank * most + F.col("_range")) * (1 << PLACE_BITS) + F.col("_place")

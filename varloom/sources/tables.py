@@ -35,10 +35,13 @@ def read_gff(spark: SparkSession, path: str) -> DataFrame:
 def read_annotation_table(spark: SparkSession, path: str, source: str) -> DataFrame:
     """A gene-function table with ``_row`` in file order; ``#`` is taken off the column names.
 
-    ``\\N`` is missing; in the GO table empty and ``NA`` are, instead.
+    ``\\N`` is missing; in the GO table empty and ``NA`` are, instead. An empty file is a table without rows.
     """
     lines = spark.read.text(path)
-    first = lines.first()["value"]
+    head = lines.first()
+    if head is None:
+        return spark.createDataFrame([], f"_row bigint, proteinId string, {NAME_COLUMNS[source]} string")
+    first = head["value"]
     names = [n.strip('"').replace("#", "") for n in first.split("\t")]
     numbered = in_file_order(lines, "_row")
     parts = numbered.filter(F.col("value") != first).select("_row", F.split("value", "\t").alias("_f"))

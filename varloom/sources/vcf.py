@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def vcf_header(spark: SparkSession, path: str, first: int = 1000) -> DataFrame:
     The header is where the file begins: growing numbers of lines are taken, from ``first`` on, until one
     is a record. The rest of the file is not read.
     """
-    file = sorted(spark.read.text(path).inputFiles())[:1]
+    file = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())[:1]]
     lines = spark.read.text(file).where(F.col("_metadata.file_block_start") == 0) if file else None
     taken, found = first, []
     while lines is not None:
