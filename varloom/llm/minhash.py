@@ -44,7 +44,7 @@ RARE = 0.01
 #: idf of a shingle of every document. Damped, so that similarities stay near those of plain sets.
 LEAST_IDF = 0.8
 #: Samples of the finer sketches of nodes that are compared across classes.
-FINE = 512
+FINE = 1024
 #: Prefixes of up to so many shingles are compared to find the first one shared.
 SHORT = 256
 BIN_BITS = 18
