@@ -72,7 +72,7 @@ def prose(spark):
     return spark.createDataFrame(rows, "text string, lang string")
 
 
-@pytest.mark.parametrize(("sampled", "proposed"), [(1, 1), (3, 2), (2, 50), (2, 10**9)])
+@pytest.mark.parametrize(("sampled", "proposed"), [(1, 1), (3, 2), (2, 10**9)])
 def test_counts_are_exact_whatever_the_sample_proposes(prose, sampled, proposed):
     rows = rows_of(prose)
     f, n = brute_counts(rows)
