@@ -98,24 +98,55 @@ def test_no_documents_no_phrases(spark, prose):
 def test_long_texts_are_counted_in_stretches(monkeypatch):
     rng = np.random.default_rng(5)
     text = "".join(rng.choice(["a", "b", "c", "dd"]) + str(rng.choice([" ", "  ", ".", ", "], p=[0.7, 0.1, 0.1, 0.1])) for _ in range(3000))
-    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8))
+    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8), hash_bits=35)
     f, n = brute_counts([(text, "en"), (text, "de"), (text, "en")])
     for chunk in (50, 7, 1, 10**6):
         monkeypatch.setattr(phrases, "CHUNK", chunk)
+        monkeypatch.setattr(phrases, "SUMS", 40 * chunk)
         for by_hash in (False, True):
             counter, found = phrases.Counter(everything, range(1, 6), by_hash), Counter()
             batches = []
             for lang in ("en", "de", "en"):
                 batches += list(counter.add(text.encode(), lang))
-            for b in [*batches, *counter.count()]:
+            for b in [*batches, *counter.end()]:
                 for r in b.to_pylist():
-                    found[r["h"] if by_hash else (r["lang"], r["phrase"])] += r["f"]
+                    if by_hash:
+                        for both in phrases.unpacked(r["range"], r["sums"], 35).tolist():
+                            found[both >> 29] += both % 2**29
+                    else:
+                        found[r["lang"], r["phrase"]] += r["f"]
             if by_hash:
                 assert sorted(found.values()) == sorted(f.values())
             else:
                 assert found == f + Counter({(lang, ""): v for lang, v in n.items()})
 
 
+@pytest.mark.parametrize("bits", [26, 35])
+def test_counts_by_hash_survive_packing(bits):
+    rng = np.random.default_rng(bits)
+    keys = np.concatenate([rng.integers(0, 1 << bits, 5000), rng.integers(0, 50, 5000), [0, (1 << bits) - 1]])
+    times = np.concatenate([rng.integers(1, 4, 9000), rng.integers(1, 10**6, 1002)])
+    want = Counter()
+    for k, v in zip(keys.tolist(), times.tolist(), strict=True):
+        want[k] += v
+    both = keys.astype(np.uint64) << np.uint64(64 - bits) | times.astype(np.uint64)
+    counts = phrases.summed([both[:7], both[7:]], bits)
+    rows = phrases.packed(counts, bits)
+    assert len(set(rows["range"].to_pylist())) == rows.num_rows
+    back = np.concatenate([phrases.unpacked(r["range"], r["sums"], bits) for r in rows.to_pylist()])
+    assert {x >> (64 - bits): x % (1 << (64 - bits)) for x in back.tolist()} == want
+
+
+def test_hashes_met_often_are_found_over_many_tasks(spark, prose):
+    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8), hash_bits=35)
+    texts = prose.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").repartition(5)
+    sent = spark.sparkContext.broadcast(everything)
+    f, _ = brute_counts(rows_of(prose))
+    for least in (1, 10):
+        found = rows_of(phrases.frequent_hashes(texts, sent, range(1, 6), least))
+        assert len(set(found)) == len(found) == sum(v >= least for v in f.values())
+
+
 def test_scores_beyond_64_bits(spark):
     big = 4 * 10**15
     rows = [("en", 0, "", big), ("en", 1, "a", big // 2), ("en", 1, "b", big // 3), ("en", 2, "a b", big // 5)]

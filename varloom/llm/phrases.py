@@ -9,7 +9,8 @@ allows, until a pass brings no such failure. No phrase is counted in two passes.
 
 The border is wide: most of its phrases occur once or twice. The pass therefore first adds up counts by a
 hash of the phrase, which is never below the count of the phrase, and then counts by the words themselves
-what can reach the threshold. What has been proposed, and what can reach it, are bit fields of bounded size
+what can reach the threshold. Counts by hash travel sorted, as steps from one hash to the next in a row for
+each range of hashes: two to three bytes a phrase. What has been proposed, and what can reach it, are bit fields of bounded size
 (:data:`MOST_BITS`), so that every task can hold them whatever the corpus. Phrases that share a bit are
 counted without need, never left out.
 
@@ -46,6 +47,8 @@ LEAST_BITS, MOST_BITS = 18, 27
 CHUNK = 12_000_000
 #: Rows that a task sends at once.
 ROWS = 50_000
+#: Hashes of a range, as a power of two, and counts by hash that a task gathers before it sends them.
+RANGE_BITS, SUMS = 22, 2_000_000
 UNKNOWN = "und"
 
 _STOP = b"\xff"  # never part of UTF-8
@@ -63,19 +66,63 @@ def _has(field: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
     return (field[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
 
+def summed(parts: list[np.ndarray], hash_bits: int) -> np.ndarray:
+    """Counts added up, ordered by hash. A count is one number: the hash above, how often it was met below."""
+    low = np.uint64(64 - hash_bits)
+    most = np.uint64((1 << (64 - hash_bits)) - 1)
+    every = np.concatenate(parts)
+    every.sort()
+    keys = every >> low
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    every &= most
+    return keys[first] << low | np.minimum(np.add.reduceat(every, first), most)
+
+
+def _bytes_apart(numbers: np.ndarray) -> np.ndarray:
+    """All lowest bytes, then all second ones, and so on: the upper ones are nearly all zero and compress well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def packed(counts: np.ndarray, hash_bits: int) -> pa.RecordBatch:
+    """``range, sums``: what :func:`summed` gives, a row for each range of hashes."""
+    keys = counts >> np.uint64(64 - hash_bits)
+    times = np.minimum(counts & np.uint64((1 << (64 - hash_bits)) - 1), np.uint64((1 << 32) - 1))
+    ranges = keys >> np.uint64(RANGE_BITS)
+    first = np.flatnonzero(np.concatenate([[True], ranges[1:] != ranges[:-1]]))
+    steps = np.diff(keys, prepend=np.uint64(0))
+    steps[first] = keys[first] & np.uint64((1 << RANGE_BITS) - 1)
+    steps, widths = _bytes_apart(steps)[:3], np.where(np.maximum.reduceat(times, first) < 256, 1, 4)
+    times = _bytes_apart(times)
+    rows = [
+        bytes([width]) + steps[:, start:end].tobytes() + times[:width, start:end].tobytes()
+        for width, start, end in zip(widths.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True)
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(ranges[first].astype(np.int32)), pa.array(rows, pa.binary())], ["range", "sums"])
+
+
+def unpacked(place: int, sums: bytes, hash_bits: int) -> np.ndarray:
+    """The counts of one row of :func:`packed`."""
+    parts = np.frombuffer(sums, dtype=np.uint8, offset=1).reshape(3 + sums[0], -1).astype(np.uint64)
+    keys = (parts[0] | parts[1] << np.uint64(8) | parts[2] << np.uint64(16)).cumsum() + np.uint64(place << RANGE_BITS)
+    times = parts[3]
+    for k in range(1, sums[0]):
+        times = times | parts[3 + k] << np.uint64(8 * k)
+    return keys << np.uint64(64 - hash_bits) | times
+
+
 @dataclass(frozen=True)
 class Fields:
     """Bit fields of a pass.
 
     A phrase of several words is counted if its two parts of one word less are in ``now`` and not both in
     ``before``, what earlier passes built on; and, if ``possible`` is given, if it is in there itself.
-    Counts by hash tell ``hash_bits`` apart.
+    Counts by hash tell ``hash_bits`` apart, at most 35.
     """
 
     before: np.ndarray | None = None
     now: np.ndarray | None = None
     possible: np.ndarray | None = None
-    hash_bits: int = 64
+    hash_bits: int = LEAST_BITS + 8
 
 
 class Counter:
@@ -83,9 +130,10 @@ class Counter:
 
     def __init__(self, fields: Fields, levels: range, by_hash: bool) -> None:
         self.fields, self.levels, self.by_hash = fields, levels, by_hash
-        self.cut = np.uint64(max(0, 64 - fields.hash_bits))
         self.texts: dict[str, list[bytes]] = {}
         self.held, self.carried = 0, b""
+        self.sums: list[np.ndarray] = []
+        self.gathered = 0
 
     def add(self, text: bytes, lang: str) -> Iterator[pa.RecordBatch]:
         # Stops become words of their own.
@@ -108,6 +156,25 @@ class Counter:
         for lang, parts in texts.items():
             yield from self._count(lang, b" \xff ".join(parts), 0)
 
+    def end(self) -> Iterator[pa.RecordBatch]:
+        """All that has not been sent."""
+        yield from self.count()
+        yield from self._send()
+
+    def _send(self) -> Iterator[pa.RecordBatch]:
+        parts, self.sums, self.gathered = self.sums, [], 0
+        if parts:
+            yield packed(summed(parts, self.fields.hash_bits), self.fields.hash_bits)
+
+    def _gather(self, hashes: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keeps counts by hash until there are many."""
+        low = np.uint64(64 - self.fields.hash_bits)
+        most = (1 << (64 - self.fields.hash_bits)) - 1
+        self.sums.append(hashes >> low << low | np.minimum(times, most).astype(np.uint64))
+        self.gathered += len(hashes)
+        if self.gathered > SUMS:
+            yield from self._send()
+
     def _count(self, lang: str, data: bytes, open_words: int) -> Iterator[pa.RecordBatch]:
         """Counts of phrases but those that start in the last ``open_words``, which go to ``carried``."""
         words = pc.list_flatten(pc.split_pattern(pa.array([data], pa.large_binary()), pattern=b" ")).dictionary_encode()
@@ -164,16 +231,15 @@ class Counter:
         seen = np.flatnonzero(times)
         if self.fields.possible is not None:
             seen = seen[_has(self.fields.possible, hashes[seen])]
+        if self.by_hash:
+            # Some bits more than a field has tell phrases apart well enough here, and are less to send.
+            yield from self._gather(hashes[seen], times[seen])
+            return
         for start in range(0, len(seen), ROWS):
             rows = seen[start : start + ROWS]
-            if self.by_hash:
-                # Some bits more than a field has tell phrases apart well enough here, and are less to send.
-                short = hashes[rows] >> self.cut << self.cut
-                yield pa.RecordBatch.from_arrays([pa.array(short.view(np.int64)), pa.array(times[rows].astype(np.int32))], ["h", "f"])
-            else:
-                words = [names.take(pa.array(phrases[rows, k])) for k in range(level)]
-                texts = words[0] if level == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-                yield self._batch(lang, level, texts, times[rows], hashes[rows])
+            words = [names.take(pa.array(phrases[rows, k])) for k in range(level)]
+            texts = words[0] if level == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
+            yield self._batch(lang, level, texts, times[rows], hashes[rows])
 
     def _batch(self, lang: str, level: int, texts: pa.Array, times: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -197,15 +263,42 @@ def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -
                 value = text.as_py()
                 if value:
                     yield from counter.add(value.encode(), lang.as_py())
-        yield from counter.count()
+        yield from counter.end()
 
-    kinds = "h long, f int" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
+    kinds = "range int, sums binary" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
     return small_batches(docs.select("lang", "text")).mapInArrow(run, kinds)
 
 
-def count_hashes(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
-    """``h, f``: counts by the hash of the phrase. No phrase occurs more often."""
-    return _counted(docs, fields, levels, True).groupBy("h").agg(F.sum("f").alias("f"))
+def frequent_hashes(docs: DataFrame, fields: Broadcast, levels: range, least: int) -> DataFrame:
+    """``h``: hashes met ``least`` times or more. No phrase occurs more often than its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = fields.value.hash_bits
+        low, most = np.uint64(64 - bits), np.uint64((1 << (64 - bits)) - 1)
+        place, parts, held = None, [], 0
+
+        def often() -> pa.RecordBatch:
+            counts = summed(parts, bits)
+            found = counts[(counts & most) >= least] >> low << low
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["h"])
+
+        for batch in batches:
+            for this, sums in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if this != place and parts:
+                    yield often()
+                    parts, held = [], 0
+                place = this
+                parts.append(unpacked(this, sums.as_py(), bits))
+                held += len(parts[-1])
+                # A range has no more different hashes than half of this.
+                if held > 2 << RANGE_BITS:
+                    parts = [summed(parts, bits)]
+                    held = len(parts[0])
+        if parts:
+            yield often()
+
+    ranges = _counted(docs, fields, levels, True).repartition("range").sortWithinPartitions("range")
+    return ranges.mapInArrow(run, "h long")
 
 
 def count_phrases(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
@@ -246,7 +339,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
 
     def possible_in(docs: DataFrame, levels: range, now: np.ndarray | None, least: int, base: np.ndarray | None = None) -> np.ndarray:
         sent = context.broadcast(Fields(now=now, hash_bits=bits + 8))
-        field = bit_field(count_hashes(docs, sent, levels).filter(F.col("f") >= least), bits, base)
+        field = bit_field(frequent_hashes(docs, sent, levels, least), bits, base)
         sent.destroy()
         return field
 
