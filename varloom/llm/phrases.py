@@ -32,6 +32,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from varloom.llm.common import small_batches, store
 
@@ -110,6 +111,32 @@ def unpacked(place: int, sums: bytes, hash_bits: int) -> np.ndarray:
     return keys << np.uint64(64 - hash_bits) | times
 
 
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """The hash of each word as a phrase of ``lang``."""
+    seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], dtype=np.uint64)
+
+
+def longer_hashes(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """The hashes of phrases from those of all words but the last, and of the last."""
+    mixed = (heads ^ (tails >> np.uint64(1))) * _FACTOR + tails
+    return (mixed ^ (mixed >> np.uint64(29))) * _SPREAD
+
+
+@F.pandas_udf(LongType())
+def phrase_hash(lang: pd.Series, phrase: pd.Series) -> pd.Series:
+    """The hash that counting gives a phrase."""
+
+    def of(lang: str, phrase: str) -> int:
+        hashes = word_hashes(lang, phrase.encode().split(b" "))
+        whole = hashes[:1]
+        for k in range(1, len(hashes)):
+            whole = longer_hashes(whole, hashes[k : k + 1])
+        return int(whole.view(np.int64)[0])
+
+    return pd.Series([of(*both) for both in zip(lang, phrase, strict=True)], dtype="int64")
+
+
 @dataclass(frozen=True)
 class Fields:
     """Bit fields of a pass.
@@ -192,8 +219,7 @@ class Counter:
             self.carried = b" ".join(w or _STOP for w in tail) + b" "
         size, starts = len(names), max(0, len(stream) - open_words)
         stream = np.concatenate([stream, np.zeros(LONGEST, dtype=np.int32)])
-        seed = xxhash.xxh64_intdigest(lang.encode())
-        hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in names.to_pylist()], dtype=np.uint64)
+        hashes = word_hashes(lang, names.to_pylist())
         fields = self.fields
         if 1 in self.levels:
             times = np.bincount(stream[:starts], minlength=size)
@@ -201,11 +227,11 @@ class Counter:
             if not self.by_hash and times.any():
                 yield self._batch(lang, 0, pa.array([b""], pa.large_binary()), times.sum(keepdims=True), np.zeros(1, dtype=np.uint64))
             yield from self._told(lang, 1, names, hashes, times, np.arange(size)[:, None])
-        phrases, phrase_hash, met = np.arange(size, dtype=np.int32)[:, None], hashes, np.ones(size, dtype=bool)
+        phrases, whole, met = np.arange(size, dtype=np.int32)[:, None], hashes, np.ones(size, dtype=bool)
         # Of each place: the number of the phrase that starts there, 0 where none of interest does.
         number = stream
         for level in range(2, max(self.levels) + 1):
-            usable, old = _has(fields.now, phrase_hash), _has(fields.before, phrase_hash) & met
+            usable, old = _has(fields.now, whole), _has(fields.before, whole) & met
             usable[0] = False
             at = np.flatnonzero(usable[number[:-1]] & usable[number[1:]])
             if not len(at):
@@ -218,14 +244,13 @@ class Counter:
             met[inverse + 1] = old[left] & old[number[at + 1]]
             heads, tails = codes // size, codes % size
             phrases = np.concatenate([np.zeros((1, level), dtype=np.int32), np.column_stack([phrases[heads], tails.astype(np.int32)])])
-            mixed = (phrase_hash[heads] ^ (hashes[tails] >> np.uint64(1))) * _FACTOR + hashes[tails]
-            phrase_hash = np.concatenate([np.zeros(1, dtype=np.uint64), (mixed ^ (mixed >> np.uint64(29))) * _SPREAD])
+            whole = np.concatenate([np.zeros(1, dtype=np.uint64), longer_hashes(whole[heads], hashes[tails])])
             number = np.zeros(len(number) - 1, dtype=np.int32)
             number[at] = inverse + 1
             if level in self.levels:
                 times = np.bincount(inverse[at < starts] + 1, minlength=len(codes) + 1)
                 times[met] = 0
-                yield from self._told(lang, level, names, phrase_hash, times, phrases)
+                yield from self._told(lang, level, names, whole, times, phrases)
 
     def _told(self, lang: str, level: int, names: pa.Array, hashes: np.ndarray, times: np.ndarray, phrases: np.ndarray) -> Iterator[pa.RecordBatch]:
         seen = np.flatnonzero(times)
@@ -248,10 +273,9 @@ class Counter:
                 pa.array(np.full(len(texts), level, dtype=np.int32)),
                 texts.cast(pa.large_string()).cast(pa.string()),
                 pa.array(times.astype(np.int64)),
-                pa.array(hashes.view(np.int64)),
                 pa.array(_has(self.fields.now, hashes)),
             ],
-            ["lang", "words", "phrase", "f", "h", "known"],
+            ["lang", "words", "phrase", "f", "known"],
         )
 
 
@@ -265,7 +289,7 @@ def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -
                     yield from counter.add(value.encode(), lang.as_py())
         yield from counter.end()
 
-    kinds = "range int, sums binary" if by_hash else "lang string, words int, phrase string, f long, h long, known boolean"
+    kinds = "range int, sums binary" if by_hash else "lang string, words int, phrase string, f long, known boolean"
     return small_batches(docs.select("lang", "text")).mapInArrow(run, kinds)
 
 
@@ -302,9 +326,9 @@ def frequent_hashes(docs: DataFrame, fields: Broadcast, levels: range, least: in
 
 
 def count_phrases(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
-    """``lang, words, phrase, f, h, known``: counts by the phrase itself, exact."""
+    """``lang, words, phrase, f, known``: counts by the phrase itself, exact."""
     some = _counted(docs, fields, levels, False)
-    return some.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("f").alias("f"), F.max("h").alias("h"), F.max("known").alias("known"))
+    return some.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("f").alias("f"), F.max("known").alias("known"))
 
 
 def bit_field(phrases: DataFrame, bits: int, base: np.ndarray | None = None) -> np.ndarray:
@@ -354,7 +378,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
         found = store(count_phrases(texts, sent, levels).filter(F.col("f") >= least), "phrases-pass")
         sent.destroy()
         counted.append(found)
-        failed = found.filter(~F.col("known") & F.col("words").between(1, LONGEST - 1)).select("h")
+        failed = found.filter(~F.col("known") & F.col("words").between(1, LONGEST - 1)).select(phrase_hash("lang", "phrase").alias("h"))
         if failed.isEmpty():
             break
         # What a failure allows is little, so it is counted by its words at once.
