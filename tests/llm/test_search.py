@@ -147,6 +147,42 @@ def test_hashes_met_often_are_found_over_many_tasks(spark, prose):
         assert len(set(found)) == len(found) == sum(v >= least for v in f.values())
 
 
+def test_exact_counts_leave_a_task_in_a_row_for_each_range_and_language(spark):
+    # 10,000 words in every task: 49,990 phrases of each language.
+    words = " ".join(f"w{i}" for i in range(10_000))
+    texts = spark.createDataFrame([(words, lang) for lang in ("en", "de")] * 3, "text string, lang string").repartition(3)
+    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8), hash_bits=35)
+    sent = spark.sparkContext.broadcast(everything)
+    assert phrases._counted(texts, sent, range(1, 6), False).count() <= 3 * 2 * 1024
+    found = phrases.count_phrases(texts, sent, range(1, 6), 3)
+    # Also the number of words, as an empty phrase.
+    assert found.groupBy("lang", "words").count().count() == 2 * 6
+    assert found.count() == 2 * 49_991 == found.filter("f = if(words = 0, 30000, 3)").count()
+
+
+@pytest.mark.parametrize("least", [1, 10])
+def test_exact_counts_are_added_up_over_many_tasks(spark, prose, least):
+    everything = phrases.Fields(now=np.full(1 << 10, 255, dtype=np.uint8), hash_bits=35)
+    texts = prose.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").repartition(7)
+    f, n = brute_counts(rows_of(prose))
+    want = [(*k, v) for k, v in f.items() if v >= least] + [(lang, "", v) for lang, v in n.items() if v >= least]
+    found = phrases.count_phrases(texts, spark.sparkContext.broadcast(everything), range(1, 6), least).collect()
+    assert sorted((r.lang, r.phrase, r.f) for r in found) == sorted(want)
+    # One word of the fixture holds a no-break space.
+    assert all(r.known and r.words == (len(r.phrase.split(" ")) if r.phrase else 0) for r in found)
+
+
+def test_joined_counts_come_apart_again():
+    rng = np.random.default_rng(11)
+    names = ["", "a", "a b", "日本 語", "x\\ny"]
+    rows = {(int(rng.integers(0, 5)), str(rng.choice(["en", "", "de"])), str(rng.choice(names)), 2**40) for _ in range(200)}
+    counts = phrases.pa.table([list(c) for c in zip(*rows, strict=True)], ["range", "lang", "phrase", "f"])
+    once = phrases.joined(phrases.added(counts))
+    assert once.num_rows == len({r[:2] for r in rows})
+    twice = phrases.added(phrases.pa.concat_tables([phrases.separate(once)] * 2))
+    assert {tuple(r.values()) for r in twice.to_pylist()} == {(*r[:3], 2**41) for r in rows}
+
+
 def test_scores_beyond_64_bits(spark):
     big = 4 * 10**15
     rows = [("en", 0, "", big), ("en", 1, "a", big // 2), ("en", 1, "b", big // 3), ("en", 2, "a b", big // 5)]

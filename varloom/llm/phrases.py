@@ -10,7 +10,8 @@ allows, until a pass brings no such failure. No phrase is counted in two passes.
 The border is wide: most of its phrases occur once or twice. The pass therefore first adds up counts by a
 hash of the phrase, which is never below the count of the phrase, and then counts by the words themselves
 what can reach the threshold. Counts by hash travel sorted, as steps from one hash to the next in a row for
-each range of hashes: two to three bytes a phrase. What has been proposed, and what can reach it, are bit fields of bounded size
+each range of hashes: two to three bytes a phrase. Counts by the words are first added up in the task, and
+travel in a row for each language and range of hashes as well. What has been proposed, and what can reach it, are bit fields of bounded size
 (:data:`MOST_BITS`), so that every task can hold them whatever the corpus. Phrases that share a bit are
 counted without need, never left out.
 
@@ -50,9 +51,12 @@ CHUNK = 12_000_000
 ROWS = 50_000
 #: Hashes of a range, as a power of two, and counts by hash that a task gathers before it sends them.
 RANGE_BITS, SUMS = 22, 2_000_000
+#: Counts by the words: how many ranges of hashes, as a power of two, and bytes that a task gathers.
+PLACE_BITS, GATHERED = 10, 32_000_000
 UNKNOWN = "und"
 
 _STOP = b"\xff"  # never part of UTF-8
+_BETWEEN = "\n"  # a stop, never part of a phrase
 _TABLE = bytes(
     32 if i in (0x20, 0x09) else 0xFF if 0x0A <= i <= 0x0D or chr(i) in ".,;:!?" else i + 32 if 65 <= i <= 90 else i for i in range(256)
 )
@@ -123,18 +127,19 @@ def longer_hashes(heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(29))) * _SPREAD
 
 
-@F.pandas_udf(LongType())
-def phrase_hash(lang: pd.Series, phrase: pd.Series) -> pd.Series:
-    """The hash that counting gives a phrase."""
+def hash_of(lang: str, phrase: str) -> np.ndarray:
+    """The hash that counting gives a phrase, as an array of one."""
+    hashes = word_hashes(lang, phrase.encode().split(b" "))
+    whole = hashes[:1]
+    for k in range(1, len(hashes)):
+        whole = longer_hashes(whole, hashes[k : k + 1])
+    return whole
 
-    def of(lang: str, phrase: str) -> int:
-        hashes = word_hashes(lang, phrase.encode().split(b" "))
-        whole = hashes[:1]
-        for k in range(1, len(hashes)):
-            whole = longer_hashes(whole, hashes[k : k + 1])
-        return int(whole.view(np.int64)[0])
 
-    return pd.Series([of(*both) for both in zip(lang, phrase, strict=True)], dtype="int64")
+@F.pandas_udf(LongType())
+def phrase_hash(lang: pd.Series, phrase: pd.Series) -> pd.Series:
+    """:func:`hash_of` for columns."""
+    return pd.Series([int(hash_of(*both).view(np.int64)[0]) for both in zip(lang, phrase, strict=True)], dtype="int64")
 
 
 @dataclass(frozen=True)
@@ -225,7 +230,7 @@ class Counter:
             times = np.bincount(stream[:starts], minlength=size)
             times[0] = 0
             if not self.by_hash and times.any():
-                yield self._batch(lang, 0, pa.array([b""], pa.large_binary()), times.sum(keepdims=True), np.zeros(1, dtype=np.uint64))
+                yield self._batch(lang, pa.array([b""], pa.large_binary()), times.sum(keepdims=True), np.zeros(1, dtype=np.uint64))
             yield from self._told(lang, 1, names, hashes, times, np.arange(size)[:, None])
         phrases, whole, met = np.arange(size, dtype=np.int32)[:, None], hashes, np.ones(size, dtype=bool)
         # Of each place: the number of the phrase that starts there, 0 where none of interest does.
@@ -264,23 +269,53 @@ class Counter:
             rows = seen[start : start + ROWS]
             words = [names.take(pa.array(phrases[rows, k])) for k in range(level)]
             texts = words[0] if level == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
-            yield self._batch(lang, level, texts, times[rows], hashes[rows])
+            yield self._batch(lang, texts, times[rows], hashes[rows])
 
-    def _batch(self, lang: str, level: int, texts: pa.Array, times: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    def _batch(self, lang: str, texts: pa.Array, times: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
+                pa.array((hashes >> np.uint64(64 - PLACE_BITS)).astype(np.int32)),
                 pa.array([lang], pa.string()).take(pa.array(np.zeros(len(texts), dtype=np.int32))),
-                pa.array(np.full(len(texts), level, dtype=np.int32)),
                 texts.cast(pa.large_string()).cast(pa.string()),
                 pa.array(times.astype(np.int64)),
-                pa.array(_has(self.fields.now, hashes)),
             ],
-            ["lang", "words", "phrase", "f", "known"],
+            ["range", "lang", "phrase", "f"],
         )
 
 
+def added(counts: pa.Table) -> pa.Table:
+    """``range, lang, phrase, f`` with the counts of each phrase added up."""
+    return counts.group_by(["range", "lang", "phrase"], use_threads=False).aggregate([("f", "sum")]).rename_columns(["range", "lang", "phrase", "f"])
+
+
+def joined(counts: pa.Table) -> pa.RecordBatch:
+    """``range, lang, phrases, times``: what :func:`added` gives, a row for each range and language."""
+    counts = counts.sort_by([(c, "ascending") for c in ("range", "lang", "phrase")]).combine_chunks()
+    ranges, langs, phrases, times = (c.combine_chunks() for c in counts.columns)
+    codes = langs.dictionary_encode().indices.to_numpy()
+    same = (np.diff(ranges.to_numpy()) == 0) & (np.diff(codes) == 0)
+    first = np.flatnonzero(np.concatenate([[True], ~same]))
+    starts = pa.array(np.append(first, len(codes)).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            ranges.take(pa.array(first)),
+            langs.take(pa.array(first)),
+            pc.binary_join(pa.ListArray.from_arrays(starts, phrases), _BETWEEN),
+            pa.ListArray.from_arrays(starts, times),
+        ],
+        ["range", "lang", "phrases", "times"],
+    )
+
+
+def separate(rows: pa.RecordBatch) -> pa.Table:
+    """The counts of rows of :func:`joined`."""
+    lists = pc.split_pattern(rows["phrases"], pattern=_BETWEEN)
+    of = pc.list_parent_indices(lists)
+    return pa.table([rows["range"].take(of), rows["lang"].take(of), pc.list_flatten(lists), pc.list_flatten(rows["times"])], ["range", "lang", "phrase", "f"])
+
+
 def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(fields.value, levels, by_hash)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -289,8 +324,24 @@ def _counted(docs: DataFrame, fields: Broadcast, levels: range, by_hash: bool) -
                     yield from counter.add(value.encode(), lang.as_py())
         yield from counter.end()
 
-    kinds = "range int, sums binary" if by_hash else "lang string, words int, phrase string, f long, known boolean"
-    return small_batches(docs.select("lang", "text")).mapInArrow(run, kinds)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for part in counts(batches):
+            parts.append(pa.table(part))
+            held += part.nbytes
+            if held > GATHERED:
+                parts = [added(pa.concat_tables(parts))]
+                held = parts[0].nbytes
+                if 2 * held > GATHERED:
+                    yield joined(parts[0])
+                    parts, held = [], 0
+        if parts:
+            yield joined(added(pa.concat_tables(parts)))
+
+    texts = small_batches(docs.select("lang", "text"))
+    if by_hash:
+        return texts.mapInArrow(counts, "range int, sums binary")
+    return texts.mapInArrow(run, "range int, lang string, phrases string, times array<long>")
 
 
 def frequent_hashes(docs: DataFrame, fields: Broadcast, levels: range, least: int) -> DataFrame:
@@ -325,10 +376,40 @@ def frequent_hashes(docs: DataFrame, fields: Broadcast, levels: range, least: in
     return ranges.mapInArrow(run, "h long")
 
 
-def count_phrases(docs: DataFrame, fields: Broadcast, levels: range) -> DataFrame:
-    """``lang, words, phrase, f, known``: counts by the phrase itself, exact."""
-    some = _counted(docs, fields, levels, False)
-    return some.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("f").alias("f"), F.max("known").alias("known"))
+def count_phrases(docs: DataFrame, fields: Broadcast, levels: range, least: int) -> DataFrame:
+    """``lang, words, phrase, f, known``: counts by the phrase itself, exact, of ``least`` or more."""
+
+    def often(counts: pa.Table) -> pa.RecordBatch:
+        found = counts.filter(pc.greater_equal(counts["f"], least)).combine_chunks()
+        langs, phrases = found["lang"].to_pylist(), found["phrase"].to_pylist()
+        hashes = [hash_of(*both) for both in zip(langs, phrases, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(langs, pa.string()),
+                pa.array([len(p.split(" ")) if p else 0 for p in phrases], pa.int32()),
+                pa.array(phrases, pa.string()),
+                pa.array(found["f"].to_numpy()),
+                pa.array(_has(fields.value.now, np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]))),
+            ],
+            ["lang", "words", "phrase", "f", "known"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of the range and language that the rows before ended with: there may be more.
+        open_ = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counts = separate(batch)
+            counts = added(counts if open_ is None else pa.concat_tables([open_, counts]))
+            last = pc.and_(pc.equal(counts["range"], batch["range"][-1]), pc.equal(counts["lang"], batch["lang"][-1]))
+            yield often(counts.filter(pc.invert(last)))
+            open_ = counts.filter(last)
+        if open_ is not None:
+            yield often(open_)
+
+    rows = _counted(docs, fields, levels, False).repartition("range", "lang").sortWithinPartitions("range", "lang")
+    return rows.mapInArrow(run, "lang string, words int, phrase string, f long, known boolean")
 
 
 def bit_field(phrases: DataFrame, bits: int, base: np.ndarray | None = None) -> np.ndarray:
@@ -375,7 +456,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, sampled: int = SAMPLED
     counted, before = [], None
     while True:
         sent = context.broadcast(Fields(before, now, possible))
-        found = store(count_phrases(texts, sent, levels).filter(F.col("f") >= least), "phrases-pass")
+        found = store(count_phrases(texts, sent, levels, least), "phrases-pass")
         sent.destroy()
         counted.append(found)
         failed = found.filter(~F.col("known") & F.col("words").between(1, LONGEST - 1)).select(phrase_hash("lang", "phrase").alias("h"))
