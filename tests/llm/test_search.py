@@ -88,6 +88,26 @@ def test_collocations_are_those_of_brute_force(prose):
     assert sorted(rows_of(phrases.collocations(prose, top=15, least=10))) == brute_collocations(rows, 10, 15)
 
 
+def test_no_task_ranks_all_phrases_of_a_language(spark, monkeypatch):
+    rows = [("en", 0, "", 10**6)] + [("en", 1, f"w{i}", 10) for i in range(700)]
+    rows += [("en", 2, f"w{i} w{j}", 2) for i in range(700) for j in (i // 2, i // 3)]
+    counts = spark.createDataFrame(sorted(set(rows)), "lang string, words int, phrase string, f long")
+    monkeypatch.setattr(phrases, "frequent_phrases", lambda docs, least: counts)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = phrases.scored_phrases(counts)
+        assert not re.search(r"hashpartitioning\(lang#\d+, \d+\)", scored._jdf.queryExecution().executedPlan().toString())
+        tops = phrases.collocations(counts, top=3)
+        # The last task of a language gets the first three of each part of it.
+        assert rows_of(tops.select("rank", "phrase")) == [
+            (i, p) for i, (p,) in enumerate(rows_of(scored.orderBy(F.desc("score"), F.desc("a"), "phrase").select("phrase").limit(3)), 1)
+        ]
+        assert len(re.findall(r"hashpartitioning\(lang#\d+, part#\d+L?, \d+\)", tops._jdf.queryExecution().executedPlan().toString())) >= 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
 def test_no_documents_no_phrases(spark, prose):
     assert phrases.collocations(prose.limit(0)).count() == 0
     assert phrases.collocations(spark.createDataFrame([(None, None)] * 3, "text string, lang string"), least=1).count() == 0

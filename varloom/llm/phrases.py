@@ -53,6 +53,8 @@ ROWS = 50_000
 RANGE_BITS, SUMS = 22, 2_000_000
 #: Counts by the words: how many ranges of hashes, as a power of two, and bytes that a task gathers.
 PLACE_BITS, GATHERED = 10, 32_000_000
+#: Parts in which the phrases of a language are ranked before the first ones of all parts are.
+PARTS = 64
 UNKNOWN = "und"
 
 _STOP = b"\xff"  # never part of UTF-8
@@ -495,7 +497,8 @@ def scored_phrases(phrases: DataFrame) -> DataFrame:
     heads = phrases.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     rests = phrases.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
     totals = phrases.filter(F.col("words") == 0).select("lang", F.col("f").alias("n"))
-    met = cuts.join(heads, ["lang", "head"]).join(rests, ["lang", "rest"]).join(totals, "lang")
+    # A row for each language, so that no task gets all phrases of one.
+    met = cuts.join(heads, ["lang", "head"]).join(rests, ["lang", "rest"]).join(F.broadcast(totals), "lang")
     # Up to 38 digits, without rounding.
     over = F.lit(1000).cast("decimal(4,0)") * F.col("a").cast("decimal(16,0)") * F.col("n").cast("decimal(16,0)")
     under = F.col("l").cast("decimal(18,0)") * F.col("r").cast("decimal(18,0)")
@@ -507,6 +510,9 @@ def scored_phrases(phrases: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST) -> DataFrame:
     """The first ``top`` phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
     scored = scored_phrases(frequent_phrases(docs, least))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # What is among the first of a language is among the first of its part.
+    parts = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    first = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
