@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from varloom import catalog
 from varloom.fixtures import STUDY
-from varloom.operators import calls, crosses, flatten, genes, order, qc, sites
+from varloom.operators import calls, crosses, flatten, genes, intervals, order, qc, sites
 from varloom.params import Params
 from varloom.plans import annotations as PA
 from varloom.plans import crosses as PX
@@ -287,3 +287,21 @@ def test_a_whole_study_writes_its_reports(spark, inputs, tmp_path):
     assert spark.read.csv(paths["sites"], sep="\t").count() == listed.count()
     assert vcf.read_vcf(spark, paths["subset_vcf"]).count() == sites.subset_sites(inputs.vcf(), listed).count()
     assert tables.read_typed(spark, paths["split_annotations"], "CHROM string").count() == catalog._stored_split(inputs).count()
+
+
+def test_listed_points_are_never_broadcast(spark):
+    """Their files are far smaller than the rows that they become, so the size of the files says nothing."""
+    folder = f"{shared_dir(spark)}/points-{random.random()}"
+    spark.range(400).selectExpr("'s' || id % 3 as CHROM", "id * 211 as at").write.parquet(f"{folder}/points")
+    spans = spark.range(900).selectExpr("id", "'s' || id % 4 as CHROM", "id * 97 as POS", "id * 97 + if(id % 50 = 7, 4000, id % 60) as last")
+    spans.write.parquet(f"{folder}/spans")
+    points, spans = spark.read.parquet(f"{folder}/points"), spark.read.parquet(f"{folder}/spans")
+    found = intervals.covering(spans, points, "CHROM", "POS", "last", "at")
+    listed = {}
+    for p in points.collect():
+        listed.setdefault(p.CHROM, []).append(p.at)
+    want = {r.id for r in spans.collect() if any(r.POS <= at <= r.last for at in listed.get(r.CHROM, []))}
+    assert 0 < len(want) < 900
+    assert {r.id for r in found.collect()} == want
+    # Once from the estimate, once from what was counted.
+    assert "Broadcast" not in plan(found) and "SortMergeJoin" in plan(found)
