@@ -1,6 +1,7 @@
 """Plans, hot groups, stored stages, and sources."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -305,3 +306,16 @@ def test_listed_points_are_never_broadcast(spark):
     assert {r.id for r in found.collect()} == want
     # Once from the estimate, once from what was counted.
     assert "Broadcast" not in plan(found) and "SortMergeJoin" in plan(found)
+
+
+def test_gene_tables_are_never_broadcast(inputs):
+    """Their texts take several times the size of their files; at this size all of them would be broadcast."""
+    gene = r"\[CHROM#\d+, Protein_ID#\d+, Gene_ID#\d+\]"
+    for built in (
+        PA.high_impact_sites(inputs.vcf(), catalog._stored_ids(inputs), catalog._stored_genes(inputs), STUDY),
+        catalog._ranked(inputs),
+    ):
+        text = plan(built)
+        assert re.search(rf"SortMergeJoin {gene}", text) and not re.search(rf"BroadcastHashJoin {gene}", text)
+        # Of the listed sites, too, and of the proteins of interest.
+        assert not re.search(r"BroadcastHashJoin \[(CHROM#\d+, _at#\d+\.level|Protein_ID#\d+\])", text)
